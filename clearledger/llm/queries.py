@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, pieces, quality, toxicity
-from .common import fold, small_batches
+from . import language, mixing, pieces, quality, toxicity, warc
+from .common import fold, scratch, small_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = warc.round_trip(spark, pages, scratch(spark, "warc"), min_revisit=100)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     return quality.judge(docs, labels).select(
@@ -41,12 +47,24 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "_lid.lang_pred", "_lid.score")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, sf_dir, "documents"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pieces.token_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op4_toxicity, op6_language_id, op10_sentencepiece)
+    f.__name__: f for f in (op1_warc, op2_quality_rules, op4_toxicity, op6_language_id, op9_mixing, op10_sentencepiece)
+}
+ORACLES: dict[str, str] = {
+    "op1_warc": """
+WITH p AS (SELECT page_id, COALESCE(html, '') AS html, CAST(STRLEN(COALESCE(html, '')) AS BIGINT) AS payload_bytes, SHA256(COALESCE(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN MIN(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first <> page_id THEN first END AS refers_to FROM f
+""",
+    "op9_mixing": mixing.MIX_SQL,
 }
-ORACLES: dict[str, str] = {}
