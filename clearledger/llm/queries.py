@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, pieces, quality, toxicity, warc
+from . import language, mixing, neardup, pieces, quality, toxicity, warc
 from .common import fold, scratch, small_batches
 
 
@@ -47,6 +47,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "_lid.lang_pred", "_lid.score")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
@@ -57,7 +61,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_quality_rules, op4_toxicity, op6_language_id, op9_mixing, op10_sentencepiece)
+    f.__name__: f for f in (op1_warc, op2_quality_rules, op4_toxicity, op6_language_id, op7_minhash, op9_mixing, op10_sentencepiece)
 }
 ORACLES: dict[str, str] = {
     "op1_warc": """
@@ -66,5 +70,6 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN MIN(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to FROM f
 """,
+    "op7_minhash": neardup.NEAR_SQL,
     "op9_mixing": mixing.MIX_SQL,
 }
