@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, mixing, neardup, pieces, quality, toxicity, warc
+from . import language, linededup, mixing, neardup, pieces, quality, toxicity, warc
 from .common import fold, scratch, small_batches
 
 
@@ -40,6 +40,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linededup.drop_recurring_lines(table(spark, sf_dir, "documents"), info="_lines")
+    return done.select("doc_id", "_lines.n_lines", "_lines.n_dropped", "text")
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold(F.col("doc_id"), 3) == 1
@@ -61,7 +66,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_quality_rules, op4_toxicity, op6_language_id, op7_minhash, op9_mixing, op10_sentencepiece)
+    f.__name__: f for f in (op1_warc, op2_quality_rules, op4_toxicity, op5_line_dedup, op6_language_id, op7_minhash, op9_mixing, op10_sentencepiece)
 }
 ORACLES: dict[str, str] = {
     "op1_warc": """
@@ -70,6 +75,7 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN MIN(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to FROM f
 """,
+    "op5_line_dedup": linededup.LINES_SQL,
     "op7_minhash": neardup.NEAR_SQL,
     "op9_mixing": mixing.MIX_SQL,
 }
