@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 #: Words are runs of anything but the six ASCII white-space characters; bytes.split() cuts at the same ones.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -103,3 +104,20 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
     stars = now.select(F.col("a").alias("id"), F.col("b").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())
+
+
+def running_sum(df: DataFrame, order: list[str], value: str, into: str) -> DataFrame:
+    """df with `into`: the sum of `value` over all rows before, in the given total order.
+
+    One range sort that is written, a sum for each written partition, and an offset for each; only the
+    table of partitions is summed in one place.
+    """
+    n = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1)
+    sorted_ = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    placed = materialise(sorted_, "running").withColumn("_part", F.shiftright("_at", 33))
+    parts = placed.groupBy("_part").agg(F.sum(value).alias("_sum"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    skip = parts.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_skip"))  # a row a partition
+    inside = F.sum(value).over(W.partitionBy("_part").orderBy("_at").rowsBetween(W.unboundedPreceding, -1))
+    joined = placed.join(F.broadcast(skip), "_part").withColumn(into, F.coalesce(inside, F.lit(0)) + F.col("_skip"))
+    return joined.select(*df.columns, into)

@@ -30,9 +30,8 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
-from .common import materialise
+from .common import materialise, running_sum
 
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -83,7 +82,7 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "ur
     # shards: payload bytes before each block of ids
     block = F.coalesce(F.floor(F.col("page") / block_ids), F.lit(-(1 << 62)))
     sizes = rows.groupBy(block.alias("b")).agg(F.sum(F.octet_length("payload") + 400).alias("n"))
-    before = _running_sum(sizes)
+    before = running_sum(sizes, ["b"], "n", "before")
     shards = materialise(before.select(F.col("b").alias("_b"), F.floor(F.col("before") / shard_bytes).alias("shard")), "shards")
     first = decided(rows, "page", "payload", min_revisit)
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -118,17 +117,6 @@ def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "ur
     return spark.read.schema("path string, records long, bytes long, sha256 string").parquet(f"{folder}/manifest")
 
 
-def _running_sum(sizes: DataFrame) -> DataFrame:
-    """(b, n) -> with the sum of n before b. Two levels, so no task sees all blocks."""
-    spark = sizes.sparkSession
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    placed = materialise(sizes.repartitionByRange(n, "b").sortWithinPartitions("b").withColumn("at", F.monotonically_increasing_id()), "blocks").withColumn("part", F.shiftright("at", 33))
-    parts = placed.groupBy("part").agg(F.sum("n").alias("pn"))
-    skip = parts.withColumn("skip", F.coalesce(F.sum("pn").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("part", "skip")  # a row for each partition
-    within = F.coalesce(F.sum("n").over(W.partitionBy("part").orderBy("at").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return placed.join(F.broadcast(skip), "part").select("b", "n", (within + F.col("skip")).alias("before"))
-
-
 def _write_shards(batches, attempt: str, file_bytes: int):
     """Write the sorted rows of a task; yields a manifest row for each finished file."""
     store, base = _store(attempt)
