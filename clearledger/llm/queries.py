@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, linededup, mixing, neardup, pieces, quality, toxicity, warc
+from . import chat, language, linededup, mixing, neardup, pieces, quality, toxicity, vectors, warc
 from .common import fold, scratch, small_batches
 
 
@@ -30,6 +30,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
     held_out = fold(F.col("doc_id"), 5) == 0
@@ -73,7 +77,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_quality_rules, op4_toxicity, op5_line_dedup, op6_language_id, op7_minhash, op8_chat_format, op9_mixing, op10_sentencepiece)
+    f.__name__: f for f in (op1_warc, op2_quality_rules, op3_hnsw, op4_toxicity, op5_line_dedup, op6_language_id, op7_minhash, op8_chat_format, op9_mixing, op10_sentencepiece)
 }
 ORACLES: dict[str, str] = {
     "op1_warc": """
@@ -82,6 +86,7 @@ f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN MIN(page_id) OVER (PARTITION
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN first <> page_id THEN first END AS refers_to FROM f
 """,
+    "op3_hnsw": vectors.VECTORS_SQL,
     "op5_line_dedup": linededup.LINES_SQL,
     "op7_minhash": neardup.NEAR_SQL,
     "op8_chat_format": chat.CHAT_SQL,
