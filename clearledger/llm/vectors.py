@@ -150,7 +150,10 @@ class Layer:
             sims = np.take_along_axis(own, near, 1)
             near = np.where(sims > -2, new[near], -1)
             if size:
-                f, s = self.search(q, entries(q), BEAM, size)
+                start = entries(q)
+                start = np.where(start < size, start, -1)  # nodes of the layer above may still be missing here
+                start[(start < 0).all(axis=1), 0] = 0
+                f, s = self.search(q, start, BEAM, size)
                 near, sims = np.concatenate([near, f], axis=1), np.concatenate([sims, s], axis=1)
             self.link(new, near, sims)
             size += len(new)
