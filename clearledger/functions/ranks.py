@@ -1,0 +1,28 @@
+"""Rank statistics over entities."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
+
+
+def average_rank(value: str, by: list[str]) -> Column:
+    """Rank from 0 to 1 with ties at their average and nulls left out (null)."""
+    order, same = W.partitionBy(*by).orderBy(F.col(value).asc_nulls_last()), W.partitionBy(*by, value)
+    known = F.count(value).over(W.partitionBy(*by))
+    return F.when(F.col(value).isNotNull(), F.try_divide(F.rank().over(order) + (F.count(F.lit(1)).over(same) - 1) / F.lit(2.0), known))
+
+
+def percent_rank(value: str, by: list[str]) -> Column:
+    """Share of rows strictly below, times 100; nulls are lowest."""
+    return F.percent_rank().over(W.partitionBy(*by).orderBy(F.col(value).asc_nulls_first())) * 100
+
+
+def deviation(df: DataFrame, value: str, by: list[str] | None = None) -> DataFrame:
+    """(by, med, mad): median and median absolute deviation; a deviation of 0 becomes 1e-9. One row without `by`."""
+    by = by or []
+    med = df.groupBy(*by).agg(F.percentile(value, F.lit(0.5)).alias("med"))
+    both = df.join(med, by) if by else df.crossJoin(F.broadcast(med))  # one row
+    off = both.groupBy(*by, "med").agg(F.percentile(F.abs(F.col(value) - F.col("med")), F.lit(0.5)).alias("mad"))
+    return off.withColumn("mad", F.when(F.coalesce(F.col("mad"), F.lit(0.0)) == 0, F.lit(1e-9)).otherwise(F.col("mad")))
