@@ -30,7 +30,7 @@ _LAST = 9_223_372_036_854_775_807
 def _tokens(text: Column) -> Column:
     """The generalised tokens of each line."""
     lines = F.split(F.regexp_replace(text, _NUMBERED, "<*>"), "\n")
-    return F.transform(lines, lambda x: F.filter(F.split(x, _BLANK), lambda t: t != ""))
+    return F.transform(lines, lambda x: F.split(F.btrim(x, F.lit(" \t\x0b\x0c\r")), _BLANK))  # a blank line has one empty token
 
 
 def _seen_from(r: int):
