@@ -190,7 +190,7 @@ class Graph:
 
     def near(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         base = self.layers[0]
-        if len(base.x) <= 2 * beam:  # as wide as the shard
+        if len(base.x) <= 2 * LINKS * beam:  # so wide a beam sees as many nodes as the shard has
             sims = q @ base.x.T
             return np.broadcast_to(np.arange(len(base.x)), sims.shape), sims
         return base.search(q, self.entries(q, 0), beam, len(base.x))
