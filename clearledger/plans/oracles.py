@@ -237,7 +237,7 @@ ORACLES: dict[str, str] = {
     "top_code_share": SVC + f", {_patterns('s', 'servicing_id', 'servicing_id', 'n')} SELECT * FROM stop",
     "servicing_features": WINDOWS + f', {_SERVING} SELECT win AS "window", * EXCLUDE (win) FROM sdone',
     "billing_features": WINDOWS + f', {_BILLING} SELECT win AS "window", * EXCLUDE (win), ROUND(COALESCE(paid_on_cap_days * 100 / NULLIF(timed_paid, 0), 0), 6) AS pct_timed_paid_on_cap_days FROM bdone',
-    "pattern_table": WINDOWS + f', {_PATTERN} SELECT win AS "window", * EXCLUDE (win, driven) REPLACE (ROUND(other_share, 6) AS other_share, ROUND(self_units_per_day, 6) AS self_units_per_day, ROUND(other_units_per_day, 6) AS other_units_per_day, ROUND(units_ratio, 6) AS units_ratio) FROM pattern',
+    "pattern_table": WINDOWS + f', {_PATTERN} SELECT win AS "window", * EXCLUDE (win, driven) REPLACE (CAST(days_over_24h AS BIGINT) AS days_over_24h, CAST(days_over_24h_with_other AS BIGINT) AS days_over_24h_with_other, ROUND(other_share, 6) AS other_share, ROUND(self_units_per_day, 6) AS self_units_per_day, ROUND(other_units_per_day, 6) AS other_units_per_day, ROUND(units_ratio, 6) AS units_ratio) FROM pattern',
     "primary_billers": WINDOWS + f", {_PATTERN} SELECT win AS \"window\", top_other_biller AS billing_id, ARRAY_TO_STRING(LIST_SORT(LIST(DISTINCT servicing_id)), ',') AS matched_clinicians FROM pattern WHERE pattern IN ('Full', 'Close') AND top_other_biller IS NOT NULL GROUP BY ALL",
     "dup_groups": _dups(_COHORT) + " SELECT * FROM shown",
     "dup_pairs": _dups(_COHORT) + f", o AS (SELECT per.*, same_units FROM per JOIN grp USING (member_id, code, svc_dt)) SELECT a.billing_id AS biller_a, b.billing_id AS biller_b, COUNT(*) AS services, COUNT(*) FILTER (a.same_units) AS services_same_units, COUNT(DISTINCT a.member_id) AS members, {_money('LEAST(a.paid, b.paid)')} AS possible_duplicate_paid, {_money('CAST(a.paid AS DECIMAL(18,2)) + CAST(b.paid AS DECIMAL(18,2))')} AS paid_by_both FROM o a JOIN o b ON a.member_id = b.member_id AND a.code = b.code AND a.svc_dt = b.svc_dt AND a.billing_id < b.billing_id GROUP BY ALL",
@@ -268,5 +268,5 @@ ORACLES: dict[str, str] = {
     "quarter_completeness": _FILES + " SELECT q.quarter, e.edit, s.service FROM (SELECT DISTINCT quarter FROM c WHERE kind = 'edit') q, (VALUES ('ptp'), ('mue')) e(edit), (VALUES ('practitioner'), ('outpatient'), ('dme')) s(service) WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.kind = 'edit' AND c.quarter = q.quarter AND c.edit = e.edit AND c.service = s.service)",
     "revision_plan": _FILES + ", h AS (SELECT quarter, edit, service, MAX(revision) AS have FROM c WHERE kind = 'edit' AND quarter < '1998Q1' AND revision < 2 GROUP BY ALL), p AS (SELECT c.*, have, ROW_NUMBER() OVER (PARTITION BY quarter, edit, service ORDER BY revision DESC, path) AS rk FROM c LEFT JOIN h USING (quarter, edit, service) WHERE kind = 'edit') SELECT path, edit, service, quarter, revision, kind, CASE WHEN rk > 1 THEN 'superseded' WHEN have IS NULL THEN 'load' WHEN revision > have THEN 'replace' ELSE 'skipped_exists' END AS status FROM p",
     "missing_quarters": _FILES + ", l AS (SELECT DISTINCT quarter FROM c WHERE kind = 'edit' AND edit = 'ptp' AND service = 'dme' AND revision = 2), r AS (SELECT UNNEST(RANGE((SELECT MIN(CAST(quarter[1:4] AS INTEGER) * 4 + CAST(quarter[6:6] AS INTEGER) - 1) FROM l), 2001 * 4 + 4)) AS i) SELECT (i // 4) || 'Q' || (i % 4 + 1) AS quarter FROM r WHERE (i // 4) || 'Q' || (i % 4 + 1) NOT IN (SELECT quarter FROM l)",
-    "load_baseline": _FILES + ", k AS (SELECT edit, service, quarter, COUNT(*) AS rows, ROW_NUMBER() OVER (PARTITION BY edit, service ORDER BY quarter DESC) AS rk FROM c WHERE kind = 'edit' GROUP BY ALL) SELECT edit, service, quarter, rows FROM k WHERE rk = 1",
+    "load_baseline": _FILES + ", g AS (SELECT edit, service, quarter, COUNT(*) AS rows FROM c WHERE kind = 'edit' GROUP BY ALL), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY edit, service ORDER BY quarter DESC) AS rk FROM g) SELECT edit, service, quarter, rows FROM k WHERE rk = 1",
 }
