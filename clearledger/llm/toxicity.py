@@ -137,8 +137,9 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id"
     n = {r._label: r.n for r in taught.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return None
-    # the informative prior spreads `prior` pseudo-texts a class over features as all sampled texts use them
+    # the informative prior spreads pseudo-texts over features as all sampled texts use them: `prior` a class, fewer in a small sample
     all_n = n[0] + n[1]
+    prior = min(prior, 0.02 * all_n)
     a = (F.col("toxic") + F.col("other")) * F.lit(prior / all_n) + 0.01
     odds = lambda hit, size: F.log((F.col(hit) + a) / (F.lit(float(size + prior)) - F.col(hit) - a + 1))
     delta = odds("toxic", n[1]) - odds("other", n[0])
@@ -150,7 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id"
         .where((F.col("g") >= F.lit(2 * math.log(tests))) & (F.col("d") >= least)).orderBy(F.desc("g"), "f").limit(most_features)
     )
     model = Model({r.f: r.d for r in scored.collect()})
-    _calibrate(model, taught)
+    if model.score:
+        _calibrate(model, taught)
     return model
 
 
@@ -198,7 +200,9 @@ def _calibrate(model: Model, taught: DataFrame) -> None:
         a, b = a - step[0], b - step[1]
         if np.abs(step).max() < 1e-9:
             break
-    model.slope, model.cut = float(a), float(-b / a) if a else 0.0
+    # a text without evidence stays below one half whatever the sample
+    model.slope = max(float(a), 1e-3)
+    model.cut = max(float(-b / model.slope), 1e-3)
 
 
 def scorer(model: Model | None):
