@@ -83,20 +83,16 @@ class Layer:
             second = np.where(more, open_.argmax(axis=1), first)
             done[live, first] = True
             done[live, second] = True
-            near = np.concatenate([self.links[found[live, first]], np.where(more[:, None], self.links[found[live, second]], -1)], axis=1)
-            ok = near >= 0
-            at = np.maximum(near, 0)
-            ok &= ~seen[live[:, None], at]
+            parts = []
+            for near in (self.links[found[live, first]], np.where(more[:, None], self.links[found[live, second]], -1)):
+                ok = (near >= 0) & ~seen[live[:, None], np.maximum(near, 0)]
+                r, c = np.nonzero(ok)
+                seen[live[r], near[r, c]] = True  # so that the second node's links pass over the first's
+                parts.append((near, ok))
+            at, ok = np.maximum(np.concatenate([p[0] for p in parts], axis=1), 0), np.concatenate([p[1] for p in parts], axis=1)
             r, c = np.nonzero(ok)
-            seen[live[r], at[r, c]] = True
-            s = np.full(near.shape, -2.0, dtype=np.float32)
+            s = np.full(ok.shape, -2.0, dtype=np.float32)
             s[r, c] = np.einsum("kd,kd->k", q[live[r]], self.x[at[r, c]])
-            twice = np.sort(np.where(ok, at, -1 - np.arange(near.shape[1])), axis=1)
-            if (twice[:, 1:] == twice[:, :-1]).any():  # a node that both expanded nodes link
-                first_at = np.argsort(np.where(ok, at, -1 - np.arange(near.shape[1])), axis=1, kind="stable")
-                dup = np.zeros(near.shape, dtype=bool)
-                np.put_along_axis(dup, first_at[:, 1:], twice[:, 1:] == twice[:, :-1], 1)
-                s[dup] = -2.0
             all_s = np.concatenate([sims[live], s], axis=1)
             top = np.argsort(-all_s, axis=1, kind="stable")[:, :beam]
             all_f = np.concatenate([found[live], at], axis=1)
