@@ -43,6 +43,11 @@ def duck(sf_dir):
     return c
 
 
+def as_sql_frame(duck, df):
+    """A Spark result by way of Arrow and the SQL engine, so that both sides have the same pandas types."""
+    return duck.from_arrow(df.toArrow()).df()
+
+
 def same_rows(got, want) -> None:
     """Both frames have the same columns and the same rows in any order."""
     assert sorted(got.columns) == sorted(want.columns)
