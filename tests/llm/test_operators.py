@@ -21,7 +21,7 @@ from clearledger.llm import chat, language, linededup, mixing, neardup, pieces,
 from clearledger.llm.common import connected_components, scratch
 from clearledger.llm.queries import ORACLES, QUERIES
 
-from ..conftest import same_rows
+from ..conftest import as_sql_frame, same_rows
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, n_words long, key string, size long, score double, component_id long"
@@ -50,7 +50,7 @@ def labels(spark):
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, duck, sf_dir, name):
-    same_rows(QUERIES[name](spark, sf_dir).toPandas(), duck.execute(ORACLES[name]).fetchdf())
+    same_rows(as_sql_frame(duck, QUERIES[name](spark, sf_dir)), duck.execute(ORACLES[name]).fetchdf())
 
 
 # ---- archives
