@@ -182,6 +182,11 @@ pt AS (SELECT *, other_paid / NULLIF(self_paid + other_paid, 0) AS other_share,
 pr AS (SELECT *, other_units_per_day / NULLIF(self_units_per_day, 0) AS units_ratio FROM pt), pl AS (SELECT *, COALESCE(other_share >= 0.5, FALSE) AND (self_lines = 0 OR COALESCE(units_ratio >= 5, FALSE) OR COALESCE(self_units_per_day = 0 AND other_units_per_day > 0, FALSE)) AS driven FROM pr),
 pattern AS (SELECT *, CASE WHEN days_over_24h_with_other >= 2 AND self_lines > 0 AND other_lines > 0 AND driven THEN 'Full' WHEN days_over_24h_with_other >= 2 AND driven THEN 'Close' WHEN days_over_24h >= 2 THEN 'Impossible only' ELSE '' END AS pattern FROM pl)"""
 SERVING_FEATURES = ["avg_hours_day", "max_hours_day", "pct_days_over_8h", "pct_days_over_cap", "pct_days_over_24h", "avg_members_day", "avg_session_hours", "paid_per_member", "pct_days_dup_pattern", "pct_members_in_dup", "pct_members_repeat_pkg", "top_code_share"]
+_RANKS = f"""{_SERVING}, peers AS (SELECT * FROM sdone WHERE (active_days >= CASE win WHEN 'Full' THEN 20 WHEN '1Y' THEN 8 ELSE 4 END OR servicing_id = 7) AND win IN (SELECT win FROM sdone WHERE servicing_id = 7)),
+long AS ({" UNION ALL ".join(f"SELECT win, servicing_id, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM peers" for f in SERVING_FEATURES)}),
+pct AS (SELECT *, CASE WHEN value IS NOT NULL THEN (RANK() OVER (PARTITION BY win, feature ORDER BY value NULLS LAST) + (COUNT(*) OVER (PARTITION BY win, feature, value) - 1) / 2.0) / COUNT(value) OVER (PARTITION BY win, feature) END AS pct FROM long),
+ref AS (SELECT win, feature, pct AS ref FROM pct WHERE servicing_id = 7), pairs AS (SELECT * FROM pct JOIN ref USING (win, feature)),
+looks AS (SELECT win, servicing_id, COUNT(*) FILTER (pct >= 0.95) AS n_red_flags, COALESCE(STRING_AGG(feature, ', ' ORDER BY feature) FILTER (pct >= 0.95), '') AS red_flags, AVG(CASE WHEN ref >= 0.9 THEN CAST(COALESCE(pct >= 0.9, FALSE) AS INTEGER) END) AS signature_match, 1 - AVG(ABS(pct - ref)) AS similarity FROM pairs GROUP BY ALL)"""
 
 
 def _dups(where: str) -> str:
@@ -237,6 +242,8 @@ ORACLES: dict[str, str] = {
     "top_code_share": SVC + f", {_patterns('s', 'servicing_id', 'servicing_id', 'n')} SELECT * FROM stop",
     "servicing_features": WINDOWS + f', {_SERVING} SELECT win AS "window", * EXCLUDE (win) FROM sdone',
     "billing_features": WINDOWS + f', {_BILLING} SELECT win AS "window", * EXCLUDE (win), ROUND(COALESCE(paid_on_cap_days * 100 / NULLIF(timed_paid, 0), 0), 6) AS pct_timed_paid_on_cap_days FROM bdone',
+    "lookalike_score": WINDOWS + f', {_RANKS} SELECT win AS "window", servicing_id, n_red_flags, red_flags, ROUND(signature_match, 6) AS signature_match, ROUND(similarity, 6) AS similarity, servicing_id = 7 AS is_reference, servicing_id = 7 OR (n_red_flags >= 3 AND COALESCE(signature_match >= 0.6, FALSE)) AS is_hit FROM looks',
+    "signature_features": WINDOWS + f", {_RANKS} SELECT win AS \"window\", 'servicing' AS level, '7' AS reference, COUNT(*) AS n, STRING_AGG(feature, ', ' ORDER BY feature) AS features FROM ref WHERE ref >= 0.9 GROUP BY ALL",
     "pattern_table": WINDOWS + f', {_PATTERN} SELECT win AS "window", * EXCLUDE (win, driven) REPLACE (CAST(days_over_24h AS BIGINT) AS days_over_24h, CAST(days_over_24h_with_other AS BIGINT) AS days_over_24h_with_other, ROUND(other_share, 6) AS other_share, ROUND(self_units_per_day, 6) AS self_units_per_day, ROUND(other_units_per_day, 6) AS other_units_per_day, ROUND(units_ratio, 6) AS units_ratio) FROM pattern',
     "primary_billers": WINDOWS + f", {_PATTERN} SELECT win AS \"window\", top_other_biller AS billing_id, ARRAY_TO_STRING(LIST_SORT(LIST(DISTINCT servicing_id)), ',') AS matched_clinicians FROM pattern WHERE pattern IN ('Full', 'Close') AND top_other_biller IS NOT NULL GROUP BY ALL",
     "dup_groups": _dups(_COHORT) + " SELECT * FROM shown",
