@@ -1,39 +1,18 @@
-"""Helpers that the operators share: scratch tables, bounded samples, components."""
+"""Helpers that the operators share: bounded samples, folds, running sums; scratch tables and components are the library's."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from ..functions.scratch import connected_components, materialise, scratch
+
+__all__ = ["WORD", "connected_components", "fold", "labelled_sample", "materialise", "running_sum", "scratch", "small_batches", "words_of"]
 #: Words are runs of anything but the six ASCII white-space characters; bytes.split() cuts at the same ones.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's address below spark.checkpoint.dir, which all executors share.
-
-    Only where that setting is missing (tests, a laptop) a folder of this machine is taken, once per session.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.conf.get("clearledger.local.scratch", None)
-        if not root:
-            root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
-            spark.conf.set("clearledger.local.scratch", root)
-    return f"{root.rstrip('/')}/clearledger/{name}-{uuid.uuid4().hex}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df once and go on from the written table: cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Fewer rows per Arrow batch: texts are long, and a Python worker holds a batch at a time."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -68,44 +47,6 @@ def labelled_sample(
     return docs.join(F.broadcast(taken[0].unionByName(taken[1])), docs[id_col] == F.col("_id"))
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """(id, component) of every id in edges (a, b); component is the smallest id reachable.
-
-    Alternates the large-star and small-star steps: each is one grouped minimum (combined before the
-    shuffle) and one join back, so a hub's links are never gathered in one place. Every round is written
-    to the shared folder, and the rounds end when one changes nothing. Ids must not be null.
-    """
-    spark = edges.sparkSession
-    now = materialise(
-        edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(),
-        "edges",
-    )
-    seen = None
-    for _ in range(rounds):
-        both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        large = (
-            both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
-        ).distinct()
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = (
-            large.join(down, "a")
-            .select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(down.select("a", F.col("m").alias("b")))
-            .where("a <> b")
-            .distinct()
-        )
-        now = materialise(small, "star")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == state:
-            break
-        seen = state
-    else:
-        raise RuntimeError(f"components did not settle in {rounds} rounds")
-    stars = now.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return stars.unionByName(stars.select(F.col("component").alias("id"), "component").distinct())
-
-
 def running_sum(df: DataFrame, order: list[str], value: str, into: str) -> DataFrame:
     """df with `into`: the sum of `value` over all rows before, in the given total order.
 
