@@ -8,9 +8,10 @@ the two first meet, and pairs above the match threshold become candidates. Candi
 Skew. A posting list longer than LIST is refined by the values of the next two coordinates. A list that is still longer is dealt
 into blocks of LIST by a hash, differently under each coordinate, and its first class is added to every block: inside blocks
 all pairs are counted, and the shared member ties the blocks. Lists are counted in two passes. The first verifies for each
-class its four best partners. The second verifies all pairs of different components that are left; there, candidates outside a
-long list's largest component also meet every candidate of the list, in a grid of blocks. Pairs inside a component cannot change
-the result, so groups of thousands cost a few links for each member.
+class its four best partners. The second verifies all pairs of different components that are left; there, classes outside a
+long list's largest component also meet every class of the list by match count, in a grid of blocks, whether or not the first
+pass named them. Pairs inside a component cannot change the result, so groups of thousands cost a few links for each member;
+classes that merely share a passage are compared pair by pair, but only pairs that pass the match threshold read their sets.
 
 Null ids are never linked and kept, with a null component. Null and blank texts have no shingles and link with nothing. Rows with the
 same id are one document. Texts of fewer words than a shingle are one shingle; long ones are hashed in blocks.
@@ -126,26 +127,8 @@ def _sets(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("doc", run("text").alias("hashes"))
 
 
-def _strays(near: DataFrame, comps: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """(a, b): for candidates outside a long list's largest component, their best partner in each other component.
-
-    Strays meet all candidates of the list in a grid of bounded blocks. A pair is handled in the list of its first shared
-    coordinate alone, and compared by match count and then by shingle sets within the task, so no pair that fails leaves it.
-    """
-    sets = materialise(_sets(texts, size), "sets")
-    own = near.where(F.col("many") > LIST).select("at", "value", "doc", "n", "post", "sig").join(comps.withColumnRenamed("id", "doc"), "doc", "left")
-    hot = own.withColumn("comp", F.coalesce("component", "doc")).drop("component").join(sets.select("doc"), "doc", "left_semi")
-    by_comp = hot.groupBy("at", "value", "comp").agg(F.count("*").alias("rows"))
-    side = 4 * LIST
-    main = by_comp.groupBy("at", "value").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.sum("rows").alias("all"), F.max("rows").alias("most")).where(F.col("all") > F.col("most"))
-    main = main.select("at", "value", "main", F.ceil(F.col("all") / side).cast("int").alias("blocks"), F.ceil((F.col("all") - F.col("most")) / side).cast("int").alias("chunks"))
-    placed = hot.join(main, ["at", "value"]).withColumn("stray", F.col("comp") != F.col("main"))
-    b, c = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("chunks")).cast("int")
-    cell = F.xxhash64("at", "value", "b", "c").alias("list")
-    cols = [cell, "at", "doc", "n", "comp", "post", "sig"]
-    members = placed.withColumn("b", b).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*cols, F.lit(1).alias("role"))
-    guests = placed.where("stray").withColumn("c", c).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*cols, F.lit(0).alias("role"))
-    cells = members.unionByName(guests).join(sets, "doc").repartition("list").sortWithinPartitions("list", "role")
+def _whole_lists(done):
+    """A function of Arrow batches, sorted by list, that calls done with tables of whole lists."""
 
     def run(batches):
         held = None
@@ -159,32 +142,90 @@ def _strays(near: DataFrame, comps: DataFrame, texts: DataFrame, size: int, perc
         if held is not None and held.num_rows:
             yield from done(held)
 
+    return run
+
+
+def _hot(near: DataFrame, comps: DataFrame) -> DataFrame:
+    """(at, value, doc, n, post, sig, comp): the classes of long lists."""
+    own = near.where(F.col("many") > LIST).select("at", "value", "doc", "n", "post", "sig").join(comps.withColumnRenamed("id", "doc"), "doc", "left")
+    return own.withColumn("comp", F.coalesce("component", "doc")).drop("component")
+
+
+def _grid(hot: DataFrame) -> DataFrame:
+    """(list, at, doc, n, comp, stray, post, sig, role): each long list as a grid of bounded cells.
+
+    In its cells every class outside the list's largest component (a guest, role 0) meets every class of the list (role 1).
+    """
+    by_comp = hot.groupBy("at", "value", "comp").agg(F.count("*").alias("rows"))
+    side = 4 * LIST
+    main = by_comp.groupBy("at", "value").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.sum("rows").alias("all"), F.max("rows").alias("most")).where(F.col("all") > F.col("most"))
+    main = main.select("at", "value", "main", F.ceil(F.col("all") / side).cast("int").alias("blocks"), F.ceil((F.col("all") - F.col("most")) / side).cast("int").alias("chunks"))
+    placed = hot.join(main, ["at", "value"]).withColumn("stray", F.col("comp") != F.col("main"))
+    b, c = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("chunks")).cast("int")
+    cols = [F.xxhash64("at", "value", "b", "c").alias("list"), "at", "doc", "n", "comp", "stray", "post", "sig"]
+    members = placed.withColumn("b", b).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*cols, F.lit(1).alias("role"))
+    guests = placed.where("stray").withColumn("c", c).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*cols, F.lit(0).alias("role"))
+    return members.unionByName(guests)
+
+
+def _met(t: pa.Table, percent: int):
+    """(x, ys) for each guest x of the cells: the rows of other components that pass the size and match tests.
+
+    A pair is handled in the list of its first shared coordinate alone, and two guests from the smaller one's side.
+    """
+    lists_, at, doc, n, comp, role = (t.column(k).to_numpy() for k in ("list", "at", "doc", "n", "comp", "role"))
+    stray = t.column("stray").to_numpy(zero_copy_only=False)
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, COORDS)
+    post = np.array(t.column("post").to_pylist(), dtype=np.int32)[:, :PREFIX]
+    for start, end in zip(s := np.flatnonzero(np.r_[True, lists_[1:] != lists_[:-1]]), np.r_[s[1:], len(lists_)], strict=True):
+        first = start + int((role[start:end] == 0).sum())
+        m = np.arange(first, end)
+        for x in range(start, first):
+            k = m[(comp[m] != comp[x]) & (~stray[m] | (doc[m] > doc[x])) & (100 * np.minimum(n[m], n[x]) >= percent * np.maximum(n[m], n[x]))]
+            k = k[(post[k] == post[x]).argmax(axis=1) == at[x]] if len(k) else k
+            k = k[(sig[k] == sig[x]).sum(axis=1) >= MATCHES] if len(k) else k
+            if len(k):
+                yield x, k
+
+
+def _named(hot: DataFrame, percent: int) -> DataFrame:
+    """(doc): the classes of long lists with a partner in another component by match count. All classes meet; sets are not read."""
+
     def done(t):
-        lists_, at, doc, n, comp, role = (t.column(k).to_numpy() for k in ("list", "at", "doc", "n", "comp", "role"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, COORDS)
-        post = np.array(t.column("post").to_pylist(), dtype=np.int32)[:, :PREFIX]
+        doc = t.column("doc").to_numpy()
+        rows = [np.r_[x, k] for x, k in _met(t, percent)]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(np.unique(doc[np.concatenate(rows)]))], names=["doc"])
+
+    cells = _grid(hot).repartition("list").sortWithinPartitions("list", "role")
+    return cells.mapInArrow(_whole_lists(done), "doc long").distinct()
+
+
+def _strays(hot: DataFrame, named: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b): for named classes outside a long list's largest component, their best partner in each other component.
+
+    Compared by match count and then by shingle sets within the task, so no pair that fails leaves it.
+    """
+    sets = materialise(_sets(texts.join(named, "doc", "left_semi"), size), "sets")
+    cells = _grid(hot.join(named, "doc", "left_semi")).join(sets, "doc").repartition("list").sortWithinPartitions("list", "role")
+
+    def done(t):
+        doc, comp = t.column("doc").to_numpy(), t.column("comp").to_numpy()
         hashes = [np.frombuffer(h, dtype=np.uint32) for h in t.column("hashes").to_pylist()]
         found = []
-        for start, end in zip(s := np.flatnonzero(np.r_[True, lists_[1:] != lists_[:-1]]), np.r_[s[1:], len(lists_)], strict=True):
-            first = start + int((role[start:end] == 0).sum())
-            m = np.arange(first, end)
-            for x in range(start, first):
-                k = m[(comp[m] != comp[x]) & (100 * np.minimum(n[m], n[x]) >= percent * np.maximum(n[m], n[x]))]
-                same = post[k] == post[x]
-                k = k[same.argmax(axis=1) == at[x]] if len(k) else k
-                k = k[(sig[k] == sig[x]).sum(axis=1) >= MATCHES] if len(k) else k
-                best: dict[int, tuple[float, int]] = {}
-                for y in k:
-                    both = len(np.intersect1d(hashes[x], hashes[y], assume_unique=True))
-                    share = both / max(1, len(hashes[x]) + len(hashes[y]) - both)
-                    if 100 * share >= percent - 0.5:
-                        best[comp[y]] = max(best.get(comp[y], (0.0, 0)), (share, int(doc[y])))
-                found.extend((min(int(doc[x]), y), max(int(doc[x]), y)) for _, y in best.values())
+        for x, k in _met(t, percent):
+            best: dict[int, tuple[float, int]] = {}
+            for y in k:
+                both = len(np.intersect1d(hashes[x], hashes[y], assume_unique=True))
+                share = both / max(1, len(hashes[x]) + len(hashes[y]) - both)
+                if 100 * share >= percent - 0.5:
+                    best[comp[y]] = max(best.get(comp[y], (0.0, 0)), (share, int(doc[y])))
+            found.extend((min(int(doc[x]), y), max(int(doc[x]), y)) for _, y in best.values())
         if found:
             a, d = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(d, pa.int64())], names=["a", "b"])
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return cells.mapInArrow(_whole_lists(done), "a long, b long").distinct()
 
 
 def _pairs(lists: DataFrame, most: int | None, percent: int) -> DataFrame:
@@ -290,16 +331,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     classes = materialise(classes, "classes")
     near = materialise(_postings(classes.select("doc", "n", "post", "sig")), "postings")
     lists = materialise(_lists(near), "lists")
+    source = work.select(F.col(id_col).alias("doc"), "text")
     texts = tried = edges = comps = None
     for most in (4, None):
         marked = lists.withColumn("comp", F.col("doc")) if comps is None else lists.join(comps.withColumnRenamed("id", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
         pairs = _pairs(marked, most, percent)
         if comps is not None:
-            pairs = pairs.unionByName(_strays(near, comps, texts, size, percent)).distinct().join(tried, ["a", "b"], "left_anti")
+            hot = _hot(near, comps)
+            named = materialise(_named(hot, percent), "named")
+            new = named.join(texts.select("doc"), "doc", "left_anti")
+            if not new.isEmpty():  # classes that blocks kept apart from every partner
+                more = materialise(source.join(new.hint("merge"), "doc").dropDuplicates(["doc", "text"]), "texts")
+                texts = texts.unionByName(more)
+            pairs = pairs.unionByName(_strays(hot, named, texts, size, percent)).distinct().join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
         if texts is None:  # of every class with a candidate; the same join whatever the size
-            named = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-            texts = materialise(work.select(F.col(id_col).alias("doc"), "text").join(named.hint("merge"), "doc").dropDuplicates(["doc", "text"]), "texts")
+            first = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
+            texts = materialise(source.join(first.hint("merge"), "doc").dropDuplicates(["doc", "text"]), "texts")
         links = materialise(_confirmed(pairs, texts, size, percent), "links")
         tried = pairs
         edges = links if edges is None else edges.unionByName(links)

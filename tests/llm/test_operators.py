@@ -235,6 +235,20 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+def test_near_duplicates_in_long_lists_meet_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "LIST", 8)
+    r = random.Random(3)
+    word = lambda: f"q{r.randrange(10**9)}"
+    passage = [word() for _ in range(100)]
+    rows = []
+    for i in range(0, 700, 2):  # pairs at about 0.78; all others share the passage alone, at about 0.42
+        own = [word() for _ in range(48)]
+        rows += [(i + k, " ".join(passage + own + [word() for _ in range(20)])) for k in (0, 1)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = brute_components(rows)
+    assert got == want and sum(c == i for i, (_, c) in want.items()) == 350
+
+
 def test_near_duplicates_on_odd_rows(odd, none):
     got = neardup.near_duplicates(odd).collect()
     assert len(got) == len(ROWS) and {r.component_id for r in got if r.doc_id in (1, 7)} == {1} and {r.component_id for r in got if r.doc_id in (5, 6)} == {5}
