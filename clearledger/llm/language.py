@@ -53,7 +53,8 @@ class Profile:
         s = self.table[np.minimum(cps, len(self.table) - 1)]
         high = cps >= len(self.table)
         if high.any():
-            s = np.where(high, [SYMBOLS - 1 if h and chr(c).isalpha() else 0 for h, c in zip(high, cps, strict=True)] if len(cps) < 1 << 16 else SYMBOLS - 1, s)
+            met, back = np.unique(cps[high], return_inverse=True)
+            s[high] = np.array([SYMBOLS - 1 if chr(c).isalpha() else 0 for c in met.tolist()], dtype=np.int64)[back]
         return s
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:

@@ -193,6 +193,14 @@ def test_language_on_odd_rows(odd, none):
     assert language.identify(none, F.lit(True)).count() == 0
 
 
+def test_long_texts_without_letters_are_und():
+    p = language.Profile("abc", 256, 7)
+    for text in ("\U0001f600\u3001\u3002 ", "\u3001"):
+        assert not p.bundle([text * 70_000]).any()
+    cjk = "\u6f22\u5b57\u3001\u4eee\u540d\u3002 \U0001f600abc "
+    assert (p.symbols(cjk * 9_000) == np.tile(p.symbols(cjk), 9_000)).all() and np.allclose(p.bundle([cjk * 9_000]), p.bundle([cjk * 900]), atol=1e-3)
+
+
 def test_bundles_do_not_depend_on_blocks(monkeypatch):
     p = language.Profile("abc", 256, 7)
     text = "abca bcab  ac, cab ab" * 3
