@@ -46,14 +46,15 @@ def _exploded(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     body = F.col(text).cast("string")
     lines = docs.where(body.isNotNull()).select(*_identity(docs, id_col, text), F.posexplode(F.split(body, "\n")).alias("line", "raw"))
     trimmed = lines.withColumn("raw", F.btrim("raw", F.lit(" \t\x0b\x0c\r")))
-    single = F.when(F.col("raw").rlike(r"[\x09\x0B-\x0D]|\x20\x20"), F.regexp_replace("raw", _BLANK, " ")).otherwise(F.col("raw"))
+    uneven = reduce(Column.__or__, [F.col("raw").contains(x) for x in ("  ", "\t", "\x0b", "\x0c", "\r")])
+    single = F.when(uneven, F.regexp_replace("raw", _BLANK, " ")).otherwise(F.col("raw"))
     return trimmed.withColumn("body", single).select("doc", "dk", "line", F.when(F.col("body").rlike("[0-9]"), F.regexp_replace("body", _NUMBERED, "<*>")).otherwise(F.col("body")).alias("body"))
 
 
 def _hashed(lines: DataFrame) -> DataFrame:
-    """(doc, dk, line, node, whole): the hash of each line's path and of the line itself."""
-    counted = lines.withColumn("n", F.length("body") - F.length(F.translate("body", " ", "")) + 1).where(F.col("n") >= SHORT)
-    return counted.select("doc", "dk", "line", F.xxhash64("n", F.substring_index("body", " ", LEAD)).alias("node"), F.xxhash64("body").alias("whole"))
+    """(doc, dk, line, node, whole): the hash of each line's path, null for short lines, and of the line itself."""
+    n = F.length("body") - F.length(F.replace("body", F.lit(" "), F.lit(""))) + 1
+    return lines.select("doc", "dk", "line", F.when(n >= SHORT, F.xxhash64(n, F.substring_index("body", " ", LEAD))).alias("node"), F.xxhash64("body").alias("whole"))
 
 
 def _kinds(lines: DataFrame) -> DataFrame:
@@ -130,13 +131,13 @@ def _without(lines: Column, dropped: Column) -> Column:
 
 def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, info: str | None = None) -> DataFrame:
     """docs with the recurring lines taken out of `text`; info names a struct column with n_lines and n_dropped."""
-    lines = materialise(_hashed(_exploded(docs, id_col, text)), "lines")
+    lines = materialise(_hashed(_exploded(docs, id_col, text)), "lines").where("node is not null")  # a filter before would compute all of it twice
     lost = dropped_lines(lines, templates(docs, lines, id_col, text, min_docs)).withColumnsRenamed({"doc": "_line_doc", "dk": "_line_dk", "dropped": "_line_dropped"})
     doc, dk = _identity(docs, id_col, text)
     joined = docs.join(lost, (doc == F.col("_line_doc")) & (dk == F.col("_line_dk")), "left")
     body, gone = F.col(text).cast("string"), F.col("_line_dropped")
     left = F.when(gone.isNull(), body).otherwise(_without(F.split(body, "\n"), gone))
-    count = F.length(body) - F.length(F.translate(body, "\n", "")) + 1
+    count = F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1
     more = [] if info is None else [F.struct(F.coalesce(count, F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped")).alias(info)]
     return joined.select(*[left.alias(c) if c == text else F.col(c) for c in docs.columns], *more)
 
