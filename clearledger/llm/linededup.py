@@ -110,7 +110,8 @@ def templates(docs: DataFrame, lines: DataFrame, id_col: str, text: str, min_doc
     spread = taken.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     held = lines.withColumn("salt", salt).join(spread, ["node", "whole", "salt"]).select("template", "doc", "dk").distinct()
     recurring = held.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("doc", "dk")).alias("first")).where(F.col("docs") >= min_docs)
-    joint = taken.join(recurring, "template").select("node", "whole", "first.doc", "first.dk")
+    parts = recurring.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    joint = taken.withColumn("salt", F.pmod(F.xxhash64("whole"), F.lit(SALT)).cast("int")).join(parts, ["template", "salt"]).select("node", "whole", "first.doc", "first.dk")
     return own.unionByName(joint).select("node", "whole", F.struct("doc", "dk").alias("first"))
 
 
