@@ -1,20 +1,26 @@
 """MinHash near-dedup by a signature-coordinate inverted join.
 
-Every document's set of word shingles is reduced to COORDS minima. Documents with equal sets are one class from there on.
-Classes are posted under the coordinate-value pairs of their first PREFIX coordinates (a pair of documents at the
-threshold misses all of them about once in ten million times); a pair's collisions over all coordinates are counted where
-the two first meet, and pairs above the match threshold become candidates. Candidates are confirmed on the full shingle sets.
-
-Skew. A posting list longer than LIST is refined by the values of the next two coordinates. A list that is still longer is dealt
-into blocks of LIST by a hash, differently under each coordinate, and its first class is added to every block: inside blocks
-all pairs are counted, and the shared member ties the blocks. Lists are counted in two passes. The first verifies for each
-class its four best partners. The second verifies all pairs of different components that are left; there, classes outside a
-long list's largest component also meet every class of the list by match count, in a grid of blocks, whether or not the first
-pass named them. Pairs inside a component cannot change the result, so groups of thousands cost a few links for each member;
-classes that merely share a passage are compared pair by pair, but only pairs that pass the match threshold read their sets.
+Every document's set of word shingles is reduced to COORDS minima. Documents with equal sets are one class from there on. Two
+classes are candidates when at least MATCHES of their coordinate-value pairs collide; candidates are confirmed on the full shingle sets. A
+pair of classes at the threshold collides less often about once in a million times.
+
+First pass, for the bulk of the links. Classes are posted under the pairs of their first FIRST coordinates (two classes at the threshold
+share none of them once in 17 million times). Collisions are counted once, in the first short list that two classes share,
+and each class verifies its four best partners. Lists longer than LIST are refined by the values of the next two coordinates; those that
+are still longer are dealt into blocks of LIST by a hash, differently under each coordinate, with their first class in each block.
+
+Second pass, for all others: prefix and skip merging. Only classes that share a first-pass list with another component take part, and only
+lists that hold several components count. A class with fewer than MATCHES such lists has no partner left. The others skip
+their MATCHES - 1 longest lists and are posted under the rest alone: two classes with MATCHES common lists still meet in one of these. A
+passage that many documents share fills long lists, so these are skipped while it makes up less than MATCHES of COORDS (56 %) of
+the classes that share it; beyond, classes outside a long list's largest component meet all its members in a grid of bounded cells.
+
+Pairs inside a component cannot change the result, so groups of thousands cost a few links for each member. Long lists, of which there
+can only be a bounded number, are looked up in a broadcast table, so that no task holds one whole.
 
 Null ids are never linked and kept, with a null component. Null and blank texts have no shingles and link with nothing. Rows with the
-same id are one document. Texts of fewer words than a shingle are one shingle; long ones are hashed in blocks.
+same id are one document. Texts of fewer words than a shingle are one shingle; long ones are hashed in blocks. Equally good partners:
+the smaller id is taken. An empty table gives an empty result. Of docs, only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -30,7 +36,9 @@ from pyspark.sql.window import Window as W
 
 from .common import connected_components, materialise
 
-COORDS, PREFIX, MATCHES, LIST = 128, 12, 72, 96
+COORDS, FIRST, MATCHES, LIST = 128, 12, 72, 96
+#: Long lists among so many posts that each has a part of one in FEW of them: the rows that are broadcast.
+FEW = 100_000
 _RNG = np.random.default_rng(20240607)
 _A, _B = (_RNG.integers(1, 1 << 32, COORDS, dtype=np.uint64).astype(np.uint32) | np.uint32(1) for _ in range(2))
 _P = np.uint64(0x9E3779B97F4A7C15)
@@ -79,9 +87,9 @@ def sketch(hashes: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
-    """(doc, n, key, post, sig): set size, digest of the set, first coordinates, and a byte of each coordinate."""
+    """(doc, n, key, full, sig): set size, digest of the set, the coordinates, and a byte of each coordinate."""
 
-    @pandas_udf("n long, key binary, post array<int>, sig binary")
+    @pandas_udf("n long, key binary, full array<int>, sig binary")
     def run(texts: pd.Series) -> pd.DataFrame:
         words, rows = _Words(), []
         for t in texts:
@@ -90,30 +98,64 @@ def signatures(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
                 rows.append((0, None, None, None))
                 continue
             m = sketch(s)
-            rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), m[: PREFIX + 2].view(np.int32), (m >> np.uint32(24) ^ m & np.uint32(255)).astype(np.uint8).tobytes()))
-        return pd.DataFrame(rows, columns=["n", "key", "post", "sig"])
+            rows.append((len(s), xxhash.xxh3_128_digest(s.tobytes()), m.view(np.int32), (m >> np.uint32(24) ^ m & np.uint32(255)).astype(np.uint8).tobytes()))
+        return pd.DataFrame(rows, columns=["n", "key", "full", "sig"])
 
     return docs.select(F.col(id_col).alias("doc"), run(F.col(text).cast("string")).alias("s")).select("doc", "s.*")
 
 
-def _postings(classes: DataFrame) -> DataFrame:
-    """(at, value, many, doc, n, post, sig): classes under each coordinate-value pair that at least two share."""
-    posts = classes.select("doc", F.posexplode(F.slice("post", 1, PREFIX)).alias("at", "value")).select("doc", "at", "value")
-    shared = posts.groupBy("at", "value").agg(F.count("*").alias("many")).where("many > 1")
-    return posts.join(shared, ["at", "value"]).join(classes, "doc")
+def _in_lists(posts: DataFrame, lists: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """posts joined with their lists (keys, many, ...). Of `total` posts, at most FEW lists can be long: these are broadcast."""
+    long = max(LIST, total // FEW)
+    marked = posts.join(F.broadcast(lists.where(F.col("many") > long)), keys, "left")
+    rest = marked.where("many is null").select(posts.columns).join(lists.where(F.col("many") <= long), keys)
+    return marked.where("many is not null").unionByName(rest)
+
+
+def _postings(classes: DataFrame, total: int) -> DataFrame:
+    """(at, value, many, doc, n, post, short, sig): classes under each coordinate-value pair that at least two share; short: a bit for each short list."""
+    posts = classes.select("doc", F.posexplode(F.slice("full", 1, FIRST)).alias("at", "value"))
+    shared = materialise(posts.groupBy("at", "value").agg(F.count("*").alias("many")).where("many > 1"), "shared")
+    posted = materialise(_in_lists(posts, shared, ["at", "value"], FIRST * total), "posted")
+    short = posted.groupBy("doc").agg(F.bit_or(F.when(F.col("many") <= LIST, F.expr("shiftleft(1, at)")).otherwise(0)).alias("short"))
+    own = classes.join(short, "doc").select("doc", "n", F.slice("full", 1, FIRST + 2).alias("post"), "short", "sig")
+    return posted.join(own, "doc")
 
 
 def _lists(near: DataFrame) -> DataFrame:
-    """(list, doc, n, sig): posting lists of two to LIST + 1 classes each."""
-    short = near.where(F.col("many") <= LIST).select(F.xxhash64("at", "value").alias("list"), "doc", "n", "sig")
+    """(list, at, doc, n, post, short, sig): posting lists of two to LIST + 1 classes each; at is null in blocks of long ones."""
+    rest = ["doc", "n", "post", "short", "sig"]
+    none = F.lit(None).cast("int").alias("at")
+    whole = near.where(F.col("many") <= LIST).select(F.xxhash64("at", "value").alias("list"), "at", *rest)
     finer = near.where(F.col("many") > LIST).withColumn("finer", F.xxhash64("at", "value", F.element_at("post", F.col("at") + 2), F.element_at("post", F.col("at") + 3)))
     sizes = finer.groupBy("finer").agg(F.count("*").alias("many"), F.min("doc").alias("first")).where("many > 1")
     long = finer.drop("many").join(sizes, "finer").withColumn("blocks", F.ceil(F.col("many") / LIST).cast("int"))
     block = F.pmod(F.xxhash64("doc", "at"), F.col("blocks")).cast("int")
-    own = long.select(F.xxhash64("finer", block).alias("list"), "doc", "n", "sig")
-    ties = long.where((F.col("doc") == F.col("first")) & (F.col("blocks") > 1)).select("finer", "doc", "n", "sig", block.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
-    ties = ties.where("b <> own").select(F.xxhash64("finer", "b").alias("list"), "doc", "n", "sig")
-    return short.unionByName(own).unionByName(ties)
+    own = long.select(F.xxhash64("finer", block).alias("list"), none, *rest)
+    ties = long.where((F.col("doc") == F.col("first")) & (F.col("blocks") > 1)).select("finer", *rest, block.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
+    ties = ties.where("b <> own").select(F.xxhash64("finer", "b").alias("list"), none, *rest)
+    return whole.unionByName(own).unionByName(ties)
+
+
+def _prefixes(classes: DataFrame, near: DataFrame, comps: DataFrame) -> DataFrame:
+    """(list, doc, n, comp, sig, before): classes that may have a partner in another component, under the lists that they don't skip.
+
+    before: the lists of the class that come before this one, in the order of all lists (length, coordinate, value).
+    """
+    comp = F.coalesce("component", "doc").alias("comp")
+    named = comps.withColumnRenamed("id", "doc")
+    seen = materialise(near.select("at", "value", "doc").join(named, "doc", "left").select("at", "value", "doc", comp), "seen")
+    several = lambda posts, *keys: posts.groupBy(*keys).agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").drop("lo", "hi")
+    mixed = materialise(several(seen, "at", "value"), "mixed")
+    doc = _in_lists(seen.select("at", "value", "doc"), mixed, ["at", "value"], seen.count()).select("doc").distinct()
+    active = materialise(classes.join(doc, "doc").join(named, "doc", "left").select("doc", "n", comp, "full", "sig"), "active")
+    posts = active.select("doc", "comp", F.posexplode("full").alias("at", "value"))
+    lists = materialise(several(posts, "at", "value"), "mixed")
+    own = _in_lists(posts.drop("comp"), lists, ["at", "value"], COORDS * active.count()).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("many", "at", "value"))).alias("all"))
+    own = own.where(F.size("all") >= MATCHES).select("doc", F.transform(F.expr(f"slice(all, 1, size(all) - {MATCHES - 1})"), lambda x: F.xxhash64(x["at"], x["value"])).alias("lists"))
+    posted = own.join(active.drop("full"), "doc").select("doc", "n", "comp", "sig", "lists", F.posexplode("lists").alias("rank", "list"))
+    posted = materialise(posted.select("list", "doc", "n", "comp", "sig", F.expr("slice(lists, 1, rank)").alias("before")), "prefixes")
+    return _in_lists(posted, materialise(several(posted, "list"), "mixed"), ["list"], posted.count())
 
 
 def _sets(texts: DataFrame, size: int) -> DataFrame:
@@ -145,45 +187,53 @@ def _whole_lists(done):
     return run
 
 
-def _hot(near: DataFrame, comps: DataFrame) -> DataFrame:
-    """(at, value, doc, n, post, sig, comp): the classes of long lists."""
-    own = near.where(F.col("many") > LIST).select("at", "value", "doc", "n", "post", "sig").join(comps.withColumnRenamed("id", "doc"), "doc", "left")
-    return own.withColumn("comp", F.coalesce("component", "doc")).drop("component")
-
-
 def _grid(hot: DataFrame) -> DataFrame:
-    """(list, at, doc, n, comp, stray, post, sig, role): each long list as a grid of bounded cells.
+    """(list, doc, n, comp, stray, before, sig, role): each long list as a grid of bounded cells.
 
     In its cells every class outside the list's largest component (a guest, role 0) meets every class of the list (role 1).
     """
-    by_comp = hot.groupBy("at", "value", "comp").agg(F.count("*").alias("rows"))
+    by_comp = hot.groupBy("list", "comp").agg(F.count("*").alias("rows"))
     side = 4 * LIST
-    main = by_comp.groupBy("at", "value").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.sum("rows").alias("all"), F.max("rows").alias("most")).where(F.col("all") > F.col("most"))
-    main = main.select("at", "value", "main", F.ceil(F.col("all") / side).cast("int").alias("blocks"), F.ceil((F.col("all") - F.col("most")) / side).cast("int").alias("chunks"))
-    placed = hot.join(main, ["at", "value"]).withColumn("stray", F.col("comp") != F.col("main"))
+    main = by_comp.groupBy("list").agg(F.max_by("comp", F.struct("rows", "comp")).alias("main"), F.sum("rows").alias("many"), F.max("rows").alias("most")).where(F.col("many") > F.col("most"))
+    main = materialise(main.select("list", "many", "main", F.ceil(F.col("many") / side).cast("int").alias("blocks"), F.ceil((F.col("many") - F.col("most")) / side).cast("int").alias("chunks")), "grid")
+    placed = _in_lists(hot.drop("many"), main, ["list"], hot.count()).withColumn("stray", F.col("comp") != F.col("main"))
     b, c = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("chunks")).cast("int")
-    cols = [F.xxhash64("at", "value", "b", "c").alias("list"), "at", "doc", "n", "comp", "stray", "post", "sig"]
+    cols = [F.xxhash64("list", "b", "c").alias("list"), "doc", "n", "comp", "stray", "before", "sig"]
     members = placed.withColumn("b", b).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*cols, F.lit(1).alias("role"))
     guests = placed.where("stray").withColumn("c", c).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*cols, F.lit(0).alias("role"))
     return members.unionByName(guests)
 
 
+class _Before:
+    """The lists before each row's own, as sets made when asked for."""
+
+    def __init__(self, column):
+        self.column, self.sets = column, {}
+
+    def apart(self, x: int, y: int) -> bool:
+        """Whether two rows of a list share no list before it."""
+        for i in (x, y):
+            if i not in self.sets:
+                self.sets[i] = frozenset(self.column[i].as_py())
+        return self.sets[x].isdisjoint(self.sets[y])
+
+
 def _met(t: pa.Table, percent: int):
     """(x, ys) for each guest x of the cells: the rows of other components that pass the size and match tests.
 
-    A pair is handled in the list of its first shared coordinate alone, and two guests from the smaller one's side.
+    A pair is handled in its first shared list alone, and two guests from the smaller one's side.
     """
-    lists_, at, doc, n, comp, role = (t.column(k).to_numpy() for k in ("list", "at", "doc", "n", "comp", "role"))
+    lists_, doc, n, comp, role = (t.column(k).to_numpy() for k in ("list", "doc", "n", "comp", "role"))
     stray = t.column("stray").to_numpy(zero_copy_only=False)
     sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, COORDS)
-    post = np.array(t.column("post").to_pylist(), dtype=np.int32)[:, :PREFIX]
+    before = _Before(t.column("before"))
     for start, end in zip(s := np.flatnonzero(np.r_[True, lists_[1:] != lists_[:-1]]), np.r_[s[1:], len(lists_)], strict=True):
         first = start + int((role[start:end] == 0).sum())
         m = np.arange(first, end)
         for x in range(start, first):
             k = m[(comp[m] != comp[x]) & (~stray[m] | (doc[m] > doc[x])) & (100 * np.minimum(n[m], n[x]) >= percent * np.maximum(n[m], n[x]))]
-            k = k[(post[k] == post[x]).argmax(axis=1) == at[x]] if len(k) else k
             k = k[(sig[k] == sig[x]).sum(axis=1) >= MATCHES] if len(k) else k
+            k = np.array([y for y in k.tolist() if before.apart(x, y)], dtype=np.int64)
             if len(k):
                 yield x, k
 
@@ -228,71 +278,73 @@ def _strays(hot: DataFrame, named: DataFrame, texts: DataFrame, size: int, perce
     return cells.mapInArrow(_whole_lists(done), "a long, b long").distinct()
 
 
-def _pairs(lists: DataFrame, most: int | None, percent: int) -> DataFrame:
-    """(a, b) with a < b, of different components: for each class its `most` best partners, or all."""
-
-    def within(doc, n, sig, comp, starts, ends):
-        """Pairs of rows of the same list that pass the size and match tests."""
-        sizes = ends - starts
-        left, right = [], []
-        for s in np.unique(sizes[sizes > 1]):
-            at = starts[sizes == s]
-            i, j = np.triu_indices(int(s), 1)
-            left.append((at[:, None] + i[None, :]).ravel())
-            right.append((at[:, None] + j[None, :]).ravel())
-        if not left:
-            return np.zeros((3, 0), dtype=np.int64)
-        left, right = np.concatenate(left), np.concatenate(right)
-        ok = (doc[left] != doc[right]) & (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right]))
-        ok &= comp[left] != comp[right]
-        left, right = left[ok], right[ok]
-        matches = np.concatenate([(sig[left[k : k + 50_000]] == sig[right[k : k + 50_000]]).sum(axis=1) for k in range(0, len(left), 50_000)] or [np.zeros(0, dtype=np.int64)])
-        ok = matches >= MATCHES
-        return np.stack([left[ok], right[ok], matches[ok]])
-
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("matches", pa.int64())])
-
-    def emit(doc, left, right, matches):
-        if most:
-            rows, mates, m = np.concatenate([left, right]), np.concatenate([right, left]), np.concatenate([matches, matches])
-            order = np.lexsort((doc[mates], -m, rows))
-            rows, mates, m = rows[order], mates[order], m[order]
-            start = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
-            rank = np.arange(len(rows)) - np.repeat(start, np.diff(np.r_[start, len(rows)]))
-            left, right, matches = rows[rank < most], mates[rank < most], m[rank < most]
-        a, b = doc[left], doc[right]
-        if not most:
-            a, b = np.minimum(a, b), np.maximum(a, b)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(matches)], schema=schema)
+def _within(doc, n, sig, starts, ends, percent: int, first) -> np.ndarray:
+    """Pairs of rows of the same list that pass the size test, `first` (a function of both) and the match test, and their collisions."""
+    sizes, found = ends - starts, [np.zeros((3, 0), dtype=np.int64)]
+    for s in np.unique(sizes[sizes > 1]):
+        at = starts[sizes == s]
+        i, j = np.triu_indices(int(s), 1)
+        step = max(1, 200_000 // len(i))
+        for k in range(0, len(at), step):
+            left, right = ((at[k : k + step, None] + x[None, :]).ravel() for x in (i, j))
+            ok = (doc[left] != doc[right]) & (100 * np.minimum(n[left], n[right]) >= percent * np.maximum(n[left], n[right]))
+            ok[ok] = first(left[ok], right[ok])
+            left, right = left[ok], right[ok]
+            matches = np.concatenate([(sig[left[m : m + 50_000]] == sig[right[m : m + 50_000]]).sum(axis=1) for m in range(0, len(left), 50_000)] or [np.zeros(0, dtype=np.int64)])
+            ok = matches >= MATCHES
+            found.append(np.stack([left[ok], right[ok], matches[ok]]))
+    return np.concatenate(found, axis=1)
+
+
+def _listed(t: pa.Table):
+    """doc, n, sig and the bounds of the lists."""
+    lists_ = t.column("list").to_numpy()
+    starts = np.flatnonzero(np.r_[True, lists_[1:] != lists_[:-1]])
+    sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, COORDS)
+    return t.column("doc").to_numpy(), t.column("n").to_numpy(), sig, starts, np.r_[starts[1:], len(lists_)]
 
-    def run(batches):
-        held = None
-        for b in batches:
-            t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
-            lists_ = t.column("list").to_numpy()
-            last = int(np.searchsorted(lists_, lists_[-1])) if len(lists_) else 0
-            held = t.slice(last).combine_chunks()  # the last list may go on
-            if last:
-                yield from done(t.slice(0, last))
-        if held is not None and held.num_rows:
-            yield from done(held)
+
+def _best_pairs(lists: DataFrame, most: int, percent: int) -> DataFrame:
+    """(a, b) with a < b: for each class its `most` best partners in the first pass's lists."""
 
     def done(t):
-        doc, n, comp = (t.column(c).to_numpy() for c in ("doc", "n", "comp"))
-        sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, COORDS)
-        lists_ = t.column("list").to_numpy()
-        starts = np.flatnonzero(np.r_[True, lists_[1:] != lists_[:-1]])
-        ends = np.r_[starts[1:], len(lists_)]
-        left, right, matches = within(doc, n, sig, comp, starts, ends)
-        if len(left):
-            yield emit(doc, left, right, matches)
-
-    found = lists.repartition("list").sortWithinPartitions("list").mapInArrow(run, "a long, b long, matches long")
-    if most:  # of the few that each of its lists names
-        order = W.partitionBy("a").orderBy(F.desc("matches"), "b")
-        found = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most)
-        found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return found.select("a", "b").distinct()
+        doc, n, sig, starts, ends = _listed(t)
+        post = np.array(t.column("post").to_pylist(), dtype=np.int32)[:, :FIRST]
+        at = t.column("at").fill_null(-1).to_numpy()
+        short = (t.column("short").to_numpy()[:, None] >> np.arange(FIRST)) & 1 == 1
+
+        def first(x, y):  # whether this is the first short list of both; blocks count all their pairs
+            same = (post[x] == post[y]) & short[x]
+            return (at[x] < 0) | (same.argmax(axis=1) == at[x])
+
+        left, right, matches = _within(doc, n, sig, starts, ends, percent, first)
+        rows, mates, m = np.concatenate([left, right]), np.concatenate([right, left]), np.concatenate([matches, matches])
+        order = np.lexsort((doc[mates], -m, rows))
+        rows, mates, m = rows[order], mates[order], m[order]
+        start = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]][: len(rows)])
+        rank = np.arange(len(rows)) - np.repeat(start, np.diff(np.r_[start, len(rows)]))
+        ok = rank < most
+        if ok.any():
+            yield pa.RecordBatch.from_arrays([pa.array(doc[rows[ok]]), pa.array(doc[mates[ok]]), pa.array(m[ok])], names=["a", "b", "matches"])
+
+    found = lists.repartition("list").sortWithinPartitions("list").mapInArrow(_whole_lists(done), "a long, b long, matches long")
+    found = found.distinct().withColumn("rank", F.row_number().over(W.partitionBy("a").orderBy(F.desc("matches"), "b"))).where(F.col("rank") <= most)
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _rest_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b) with a < b: all pairs of different components in the second pass's short lists, each in its first list alone."""
+
+    def done(t):
+        doc, n, sig, starts, ends = _listed(t)
+        comp, before = t.column("comp").to_numpy(), _Before(t.column("before"))
+        left, right, _ = _within(doc, n, sig, starts, ends, percent, lambda x, y: comp[x] != comp[y])
+        ok = [before.apart(x, y) for x, y in zip(left.tolist(), right.tolist(), strict=True)]
+        if any(ok):
+            a, b = doc[left[ok]], doc[right[ok]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return lists.repartition("list").sortWithinPartitions("list").mapInArrow(_whole_lists(done), "a long, b long")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int, batch: int = 200) -> DataFrame:
@@ -326,33 +378,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     work = docs.select(F.col(id_col).cast("long").alias(id_col), F.col(text).cast("string").alias("text"))
     signed = materialise(signatures(work, id_col, "text", size), "signatures")
     classes = signed.where("n > 0 and doc is not null").groupBy("key").agg(
-        F.min("doc").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("post").alias("post"), F.first("sig").alias("sig")
+        F.min("doc").alias("doc"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("full").alias("full"), F.first("sig").alias("sig")
     )
     classes = materialise(classes, "classes")
-    near = materialise(_postings(classes.select("doc", "n", "post", "sig")), "postings")
-    lists = materialise(_lists(near), "lists")
     source = work.select(F.col(id_col).alias("doc"), "text")
-    texts = tried = edges = comps = None
-    for most in (4, None):
-        marked = lists.withColumn("comp", F.col("doc")) if comps is None else lists.join(comps.withColumnRenamed("id", "doc"), "doc", "left").withColumn("comp", F.coalesce("component", "doc"))
-        pairs = _pairs(marked, most, percent)
-        if comps is not None:
-            hot = _hot(near, comps)
-            named = materialise(_named(hot, percent), "named")
-            new = named.join(texts.select("doc"), "doc", "left_anti")
-            if not new.isEmpty():  # classes that blocks kept apart from every partner
-                more = materialise(source.join(new.hint("merge"), "doc").dropDuplicates(["doc", "text"]), "texts")
-                texts = texts.unionByName(more)
-            pairs = pairs.unionByName(_strays(hot, named, texts, size, percent)).distinct().join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        if texts is None:  # of every class with a candidate; the same join whatever the size
-            first = pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
-            texts = materialise(source.join(first.hint("merge"), "doc").dropDuplicates(["doc", "text"]), "texts")
-        links = materialise(_confirmed(pairs, texts, size, percent), "links")
-        tried = pairs
-        edges = links if edges is None else edges.unionByName(links)
-        if comps is None or not links.isEmpty():
-            comps = materialise(connected_components(edges), "components")
+    fetch = lambda named: materialise(source.join(named, "doc").dropDuplicates(["doc", "text"]), "texts")
+    either = lambda pairs: pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
+
+    near = materialise(_postings(classes, classes.count()), "postings")
+    pairs = materialise(_best_pairs(_lists(near), 4, percent), "pairs")
+    texts = fetch(either(pairs).hint("merge"))  # the same join whatever the size
+    links = materialise(_confirmed(pairs, texts, size, percent), "links")
+    comps = materialise(connected_components(links), "components")
+
+    rest = materialise(_prefixes(classes, near, comps), "lists")
+    more = materialise(_rest_pairs(rest.where(F.col("many") <= LIST), percent), "pairs")
+    hot = rest.where(F.col("many") > LIST)
+    long = not hot.isEmpty()
+    named = materialise(_named(hot, percent), "named") if long else either(more).limit(0)
+    new = materialise(either(more).unionByName(named).distinct().join(texts.select("doc"), "doc", "left_anti"), "new")
+    if not new.isEmpty():
+        texts = texts.unionByName(fetch(new))
+    if long:
+        more = materialise(more.unionByName(_strays(hot, named, texts, size, percent)).distinct(), "pairs")
+    found = materialise(_confirmed(more, texts, size, percent), "links")
+    if not found.isEmpty():
+        comps = materialise(connected_components(links.unionByName(found)), "components")
+
     moved = classes.join(comps.withColumnRenamed("id", "doc"), "doc", "left").where("copies > 1 or component is not null")
     moved = moved.select(F.col("key").alias("_key"), F.coalesce("component", "doc").alias("_component"))
     one = F.coalesce(F.col("_component"), F.col("doc"))
