@@ -194,15 +194,48 @@ def test_language_on_odd_rows(odd, none):
 
 
 def test_long_texts_without_letters_are_und():
-    p = language.Profile("abc", 256, 7)
+    p = language.Profile(256, 7)
     for text in ("\U0001f600\u3001\u3002 ", "\u3001"):
         assert not p.bundle([text * 70_000]).any()
     cjk = "\u6f22\u5b57\u3001\u4eee\u540d\u3002 \U0001f600abc "
     assert (p.symbols(cjk * 9_000) == np.tile(p.symbols(cjk), 9_000)).all() and np.allclose(p.bundle([cjk * 9_000]), p.bundle([cjk * 900]), atol=1e-3)
 
 
+def brute_bundle(text, dim, seed):
+    """The bundle of a text's n-grams, one by one."""
+    letters = "".join(c if c.isalpha() else " " for c in text.lower())
+    spaced = f" {' '.join(letters.split())} "
+    vector = lambda c: np.random.default_rng([seed, 0 if c == " " else ord(c)]).choice(np.array([-1, 1]), size=dim)
+    total = sum(np.roll(vector(a), 2) * np.roll(vector(b), 1) * vector(c) for a, b, c in zip(spaced, spaced[1:], spaced[2:], strict=False))
+    return total / np.linalg.norm(total)
+
+
+def test_bundles_and_predictions_match_brute_force(spark):
+    texts = {"en": "the cat sat on the mat, the hat", "ja": "\u6f22\u5b57\u3001\u4eee\u540d \u4eee\u540d\u3002", "zh": "\u4f60\u597d\u4e16\u754c\u4f60\u597d", "el": "\u03b1\u03b2\u03b3 \u03b1\u03b2"}
+    p = language.Profile(256, 7)
+    assert np.allclose(p.bundle(list(texts.values())), [brute_bundle(t, 256, 7) for t in texts.values()], atol=1e-5)
+    asked = ["that cat", "\u4eee\u540d", "\u4f60\u597d!", "\u03b3 \u03b1\u03b2", "\U0001f600 12"]
+    rows = [(i, t, lang) for i, (lang, t) in enumerate(texts.items())] + [(100 + i, t, None) for i, t in enumerate(asked)]
+    got = {r.doc_id: r._lid for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), F.lit(True), dim=256).collect()}
+    protos = {lang: brute_bundle(t, 256, 7) for lang, t in texts.items()}
+    for i, t in enumerate(asked[:-1]):
+        cos = {lang: float(brute_bundle(t, 256, 7) @ v) for lang, v in protos.items()}
+        best = max(cos, key=cos.get)
+        assert got[100 + i].lang_pred == best and abs(got[100 + i].score - max(0.0, cos[best])) < 1e-5
+    assert got[104].lang_pred == "und" and got[104].score == 0
+
+
+def test_bundles_do_not_depend_on_limits(monkeypatch):
+    texts = ["the cat sat on the mat", "\u6f22\u5b57 and \u4eee\u540d", "a" * 50]
+    whole = language.Profile(256, 7).bundle(texts)
+    monkeypatch.setattr(language, "KEPT_GRAMS", 5)
+    monkeypatch.setattr(language, "KEPT_LETTERS", 3)
+    p = language.Profile(256, 7)
+    assert np.allclose(whole, p.bundle(texts), atol=1e-5) and np.allclose(whole, p.bundle(texts), atol=1e-5)
+
+
 def test_bundles_do_not_depend_on_blocks(monkeypatch):
-    p = language.Profile("abc", 256, 7)
+    p = language.Profile(256, 7)
     text = "abca bcab  ac, cab ab" * 3
     whole = p.bundle([text])[0]
     monkeypatch.setattr(language, "BLOCK", 7)
