@@ -2,16 +2,20 @@
 
 Equal vectors are one class from there on, so a vector that a third of all rows share is searched once. Classes are dealt to
 shards by a hash of the id; each shard builds its own graph: a base layer of all vectors and sparser layers above, each node
-linked to diverse near neighbours. Every shard is queried: for shards s <= t the vectors of s search the graph of t, which meets every
-pair of shards once. Searches run in blocks. A beam that is full of hits is widened for that query; then an audit compares
-a stated sample of the block (at least one query in AUDIT) with brute force, and the whole block is searched again with a beam twice as wide until
-recall passes. Hits are verified by cosine in double precision.
+linked to diverse near neighbours, and bridges to nodes that no path leads to. Every shard is queried: for shards s <= t the vectors of s search the graph of t, which meets every
+pair of shards once.
+
+The beam of such a search is audited first: one query in AUDIT (five, if these have fewer than TRUE links) is compared with brute force,
+and the beam is doubled until recall passes. Then all vectors search, in blocks. A query whose beam is full of hits goes on with one four
+times as wide; when a widened beam would visit as many nodes as the shard has, the shard is scanned for that query, so dense groups of any size are found
+whole. A shard of up to 8 * LINKS vectors is one layer, which is searched whole. Hits are verified by cosine in double precision.
 
 A task returns for each vector its number of links and its root in the task's own spanning forest, so a dense group of thousands
 costs a row for each member and not for each pair. Links are added up and the forests joined by connected components.
 
 Vectors that are null, empty, zero or hold null or non-finite components link with nothing. Vectors of different lengths never link.
-Rows without an id are returned unlinked, with a null component, and kept. Repeated rows are separate vectors.
+Rows without an id are returned unlinked, with a null component, and kept. Repeated rows are separate vectors. An empty table gives an empty
+result. Vectors of any length are compared; equally near nodes are taken in the order of the shard. Only the two named columns are read.
 """
 
 from __future__ import annotations
@@ -26,8 +30,12 @@ from pyspark.sql.functions import pandas_udf
 
 from .common import connected_components, materialise
 
-LINKS, BEAM, BLOCK, AUDIT, RECALL = 16, 48, 512, 50, 0.99
-_SLACK = 1e-4
+LINKS, BEAM, BLOCK, AUDIT, TRUE, RECALL = 16, 48, 512, 50, 200, 0.99
+#: Similarities that a task holds at a time; classes so common that each has one in FEW of all rows are few enough to be broadcast.
+HELD, FEW = 1 << 22, 10_000
+#: Starting nodes that a layer gives to the one below; links that each node should have to itself, and room for more of them.
+ENTRIES, ENTERED, BRIDGES = 8, 4, 8
+_SLACK, WIDTH = 1e-4, 2 * LINKS + BRIDGES
 
 
 def unit(raw: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -48,11 +56,11 @@ def diverse(gram: np.ndarray, near: np.ndarray, most: int) -> np.ndarray:
 
 
 class Layer:
-    """A graph over the first `size` of the given vectors; links holds 2 * LINKS neighbours each, -1 for none."""
+    """A graph over the given vectors; links holds 2 * LINKS neighbours each and a bridge, -1 for none."""
 
     def __init__(self, x: np.ndarray):
         self.x = x
-        self.links = np.full((len(x), 2 * LINKS), -1, dtype=np.int32)
+        self.links = np.full((len(x), WIDTH), -1, dtype=np.int32)
 
     def search(self, q: np.ndarray, entry: np.ndarray, beam: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         """The beam's nodes and similarities for each query, nearest first; entry: (queries, some) starting nodes, -1 for none."""
@@ -107,6 +115,8 @@ class Layer:
         near, sims = np.take_along_axis(near, order, 1), np.take_along_axis(sims, order, 1)
         v = self.x[np.maximum(near, 0)]
         keep = diverse(v @ v.transpose(0, 2, 1), sims, LINKS)
+        lone = np.cumsum(~keep & (sims > -2), axis=1) + keep.sum(axis=1, keepdims=True) <= LINKS // 2  # few are diverse inside a dense group: the nearest as well
+        keep |= lone & (sims > -2)
         r, c = np.nonzero(keep)
         place = np.cumsum(keep, axis=1)[r, c] - 1
         self.links[new[r], place] = near[r, c]
@@ -120,17 +130,30 @@ class Layer:
         rank = np.arange(len(to)) - np.repeat(start, count)
         easy = np.repeat(fits, count)
         self.links[to[easy], (np.repeat(have, count) + rank)[easy]] = back[easy]
-        for at in np.flatnonzero(~fits):
-            node = nodes[at]
-            c = np.unique(np.concatenate([self.links[node][self.links[node] >= 0], back[start[at] : start[at] + count[at]]]))
-            s = self.x[c] @ self.x[node]
-            o = np.argsort(-s, kind="stable")[: 6 * LINKS]
-            c, s = c[o], s[o]
-            keep = diverse((self.x[c] @ self.x[c].T)[None], s[None], 2 * LINKS)[0]
-            rest = np.flatnonzero(~keep)[: 2 * LINKS - int(keep.sum())]  # places left go to the nearest
-            keep[rest] = True
-            self.links[node] = -1
-            self.links[node, : keep.sum()] = c[keep]
+        if not fits.all():
+            mine = np.repeat(~fits, count)
+            self.choose_again(nodes[~fits], to[mine], back[mine])
+
+    def choose_again(self, full: np.ndarray, to: np.ndarray, back: np.ndarray) -> None:
+        """Give full nodes diverse links among those they have and the new ones (to, back); places left go to the nearest."""
+        r, c = np.nonzero(self.links[full] >= 0)
+        owner, other = np.concatenate([r, np.searchsorted(full, to)]), np.concatenate([self.links[full[r], c], back])
+        s = np.einsum("kd,kd->k", self.x[full[owner]], self.x[other])
+        order = np.lexsort((other, -s, owner))
+        owner, other, s = owner[order], other[order], s[order]
+        _, start, count = np.unique(owner, return_index=True, return_counts=True)
+        rank = np.arange(len(owner)) - np.repeat(start, count)
+        ok = rank < 6 * LINKS
+        near, at = np.full((len(full), 6 * LINKS), -2, dtype=np.float32), np.zeros((len(full), 6 * LINKS), dtype=np.int64)
+        near[owner[ok], rank[ok]], at[owner[ok], rank[ok]] = s[ok], other[ok]
+        for k in range(0, len(full), 256):
+            v, sims = self.x[at[k : k + 256]], near[k : k + 256]
+            keep = diverse(v @ v.transpose(0, 2, 1), sims, 2 * LINKS)
+            spare = ~keep & (sims > -2)
+            keep |= spare & (np.cumsum(spare, axis=1) + keep.sum(axis=1, keepdims=True) <= 2 * LINKS)
+            r, c = np.nonzero(keep)
+            self.links[full[k : k + 256]] = -1
+            self.links[full[k + r], (np.cumsum(keep, axis=1) - 1)[r, c]] = at[k + r, c]
 
     def build(self, entries) -> None:
         """Insert all vectors in batches, each as large as what is there; entries(queries) gives starting nodes."""
@@ -153,6 +176,37 @@ class Layer:
                 near, sims = np.concatenate([near, f], axis=1), np.concatenate([sims, s], axis=1)
             self.link(new, near, sims)
             size += len(new)
+        self.bridge()
+
+    def bridge(self) -> None:
+        """Lead to every node: nodes with few links to them get some back from their own nearest links, while those have room, and one that still
+        no path leads to gets the last place of the nearest reachable node where that is free."""
+        entered = np.bincount(self.links[self.links >= 0], minlength=len(self.x))
+        few = np.flatnonzero(entered < ENTERED)
+        u, v = np.repeat(few, ENTERED), self.links[few, :ENTERED].ravel()
+        ok = v >= 0
+        ok[ok] = ~(self.links[v[ok]] == u[ok, None]).any(axis=1)
+        u, v = u[ok], v[ok]
+        order = np.argsort(v, kind="stable")
+        u, v = u[order], v[order]
+        _, start, count = np.unique(v, return_index=True, return_counts=True)
+        rank = np.arange(len(v)) - np.repeat(start, count)
+        fits = rank < BRIDGES - 1
+        self.links[v[fits], 2 * LINKS + rank[fits]] = u[fits]
+        seen = np.zeros(len(self.x), dtype=bool)
+        seen[:1] = True
+        fresh, free = np.flatnonzero(seen), np.ones(len(self.x), dtype=bool)
+        while True:
+            while len(fresh):
+                to = np.unique(self.links[fresh])
+                fresh = to[(to >= 0) & ~seen[to]]
+                seen[fresh] = True
+            lost = np.flatnonzero(~seen)
+            if not len(lost):
+                return
+            ends = np.flatnonzero(seen & free)
+            v = ends[(self.x[ends] @ self.x[lost[0]]).argmax()]
+            self.links[v, WIDTH - 1], free[v], seen[lost[0]], fresh = lost[0], False, True, lost[:1]
 
 
 class Graph:
@@ -179,45 +233,51 @@ class Graph:
         top = len(self.layers) - 1
         if to == top:
             return np.zeros((len(q), 1), dtype=np.int64)
-        at = np.argsort(-(q @ self.layers[top].x.T), axis=1)[:, :4]
+        at = np.argsort(-(q @ self.layers[top].x.T), axis=1)[:, :ENTRIES]
         for i in range(top - 1, to, -1):
-            at = self.layers[i].search(q, at, 8, len(self.layers[i].x))[0][:, :4]
+            at = self.layers[i].search(q, at, 4 * ENTRIES, len(self.layers[i].x))[0][:, :ENTRIES]
         return at
 
+    def scan(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sims = q @ self.layers[0].x.T
+        return np.broadcast_to(np.arange(sims.shape[1]), sims.shape), sims
+
     def near(self, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        base = self.layers[0]
-        if len(base.x) <= 2 * LINKS * beam:  # so wide a beam sees as many nodes as the shard has
-            sims = q @ base.x.T
-            return np.broadcast_to(np.arange(len(base.x)), sims.shape), sims
-        return base.search(q, self.entries(q, 0), beam, len(base.x))
+        if len(self.layers) == 1:
+            return self.scan(q)
+        return self.layers[0].search(q, self.entries(q, 0), beam, len(self.layers[0].x))
 
 
-def hits(graph: Graph, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, node) of all found with similarity of at least `least`; beams full of hits are widened."""
-    left = np.arange(len(q))
-    out_q, out_v = [], []
+def hits(graph: Graph, q: np.ndarray, least: float, beam: int):
+    """Chunks of (query, node) of all found with similarity of at least `least`; beams full of hits are widened."""
+    n = len(graph.layers[0].x)
+    left, whole = np.arange(len(q)), len(graph.layers) == 1
     while len(left):
-        found, sims = graph.near(q[left], beam)
-        full = (sims >= least).sum(axis=1) > 0.7 * beam
-        if found.shape[1] >= len(graph.layers[0].x):
-            full[:] = False
-        r, c = np.nonzero((sims >= least) & ~full[:, None])
-        out_q.append(left[r]), out_v.append(found[r, c])
+        full = np.zeros(len(left), dtype=bool)
+        step = max(1, HELD // n)
+        for k in range(0, len(left), step):
+            some = left[k : k + step]
+            found, sims = graph.scan(q[some]) if whole else graph.near(q[some], beam)
+            over = np.zeros(len(some), dtype=bool) if whole else (sims >= least).sum(axis=1) > 0.7 * beam
+            full[k : k + step] = over
+            r, c = np.nonzero((sims >= least) & ~over[:, None])
+            yield some[r], found[r, c]
         left, beam = left[full], beam * 4
-    return np.concatenate(out_q or [left]), np.concatenate(out_v or [left])
+        whole = whole or 2 * LINKS * beam >= n
 
 
-def audited(graph: Graph, q: np.ndarray, least: float, beam: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """As hits, with a beam widened until the audited sample's recall passes; also the beam that passed."""
-    sample = np.arange(0, len(q), AUDIT)
-    true = (q[sample] @ graph.layers[0].x.T) >= least
+def audited(graph: Graph, q: np.ndarray, least: float, beam: int) -> tuple[int, int, int]:
+    """The beam, doubled until the recall of sampled queries passes; the links that the sample has, and those found."""
+    n = len(graph.layers[0].x)
+    for step in (AUDIT, AUDIT // 5):
+        sample = q[::step]
+        true = sum(int((sample[k : k + 256] @ graph.layers[0].x.T >= least).sum()) for k in range(0, len(sample), 256))
+        if true >= TRUE:
+            break
     while True:
-        a, b = hits(graph, q, least, beam)
-        mine = np.isin(a, sample)
-        got = np.zeros_like(true)
-        got[np.searchsorted(sample, a[mine]), b[mine]] = True
-        if (got & true).sum() >= RECALL * true.sum() or beam >= len(graph.layers[0].x):
-            return a, b, beam
+        got = sum(len(a) for a, _ in hits(graph, sample, least, beam))
+        if got >= RECALL * true or len(graph.layers) == 1 or 2 * LINKS * beam >= 4 * n:
+            return beam, true, got
         beam *= 2
 
 
@@ -251,7 +311,7 @@ def _packed(df: DataFrame, id_col: str, vector: str) -> DataFrame:
     return df.select(F.col(id_col).cast("long").alias("id"), run(raw).alias("raw"))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding", least: float = 0.9, shard_rows: int = 50_000, shards: int = 4, beam: int = BEAM) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedding", least: float = 0.9, shard_rows: int = 100_000, shards: int = 4, beam: int = BEAM) -> DataFrame:
     """One row per row of df: id, n_links, component_id, kept.
 
     The number of shards is `shards`, or more so that none has over shard_rows classes on average.
@@ -288,7 +348,7 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
         hold = hold.sort_values("place", kind="stable").reset_index(drop=True)
         exact, x = unit(hold["raw"].tolist(), kind)
         sizes = Graph.sizes(len(x))
-        width = 4 * 2 * LINKS
+        width = 4 * WIDTH
         links = [np.frombuffer(b"".join(b[i * width : (i + 1) * width] for b in hold["links"][:m]), dtype=np.int32).reshape(m, -1) for i, m in enumerate(sizes)]
         g = Graph(x, sizes, links)
         if same:
@@ -300,18 +360,19 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
         base = 0 if same else len(hold)
         names = hold["id"].to_numpy() if same else np.concatenate([hold["id"].to_numpy(), ask["id"].to_numpy()])
         copies, asked_copies = hold["copies"].to_numpy(), ask["copies"].to_numpy()
-        count, root, wide = np.zeros(len(names), dtype=np.int64), np.arange(len(names)), beam
+        count, root = np.zeros(len(names), dtype=np.int64), np.arange(len(names))
+        wide, _, _ = audited(g, q, least - _SLACK, beam)
         for at in range(0, len(q), BLOCK):
-            a, b, wide = audited(g, q[at : at + BLOCK], least - _SLACK, wide)
-            a = a + at
-            if same:
-                a, b = a[a != b], b[a != b]
-            ok = np.einsum("kd,kd->k", q_exact[a], exact[b]) >= least if len(a) < 200_000 else np.concatenate([np.einsum("kd,kd->k", q_exact[a[k : k + 100_000]], exact[b[k : k + 100_000]]) >= least for k in range(0, len(a), 100_000)])
-            a, b = a[ok], b[ok]
-            np.add.at(count, base + a, copies[b])
-            if not same:
-                np.add.at(count, b, asked_copies[a])
-            join_roots(root, base + a, b)
+            for a, b in hits(g, q[at : at + BLOCK], least - _SLACK, wide):
+                a = a + at
+                if same:
+                    a, b = a[a != b], b[a != b]
+                ok = np.concatenate([np.einsum("kd,kd->k", q_exact[a[k : k + 100_000]], exact[b[k : k + 100_000]]) >= least for k in range(0, len(a), 100_000)] or [np.zeros(0, dtype=bool)])
+                a, b = a[ok], b[ok]
+                np.add.at(count, base + a, copies[b])
+                if not same:
+                    np.add.at(count, b, asked_copies[a])
+                join_roots(root, base + a, b)
         linked = count > 0
         return pd.DataFrame({"id": names[linked], "links": count[linked], "root": names[root[linked]]})
 
@@ -320,9 +381,13 @@ def near_duplicates(df: DataFrame, id_col: str = "vec_id", vector: str = "embedd
     comps = materialise(connected_components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))), "components")
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     merged = classes.where("copies > 1").join(links, "id", "full_outer").select("id", F.coalesce("links", F.lit(0)).alias("links")).join(comps, "id", "left")
-    named = classes.join(merged, "id").select(F.col("raw").alias("_raw"), (F.col("links") + F.col("copies") - 1).alias("_links"), F.coalesce("component", "id").alias("_component"))
+    named = materialise(classes.join(merged, "id").select(F.col("raw").alias("_raw"), "copies", (F.col("links") + F.col("copies") - 1).alias("_links"), F.coalesce("component", "id").alias("_component")), "named")
+    long = max(1000, rows.count() // FEW)
+    own = (F.col("raw") == F.col("_raw")) & F.col("id").isNotNull()
+    common = rows.join(F.broadcast(named.where(F.col("copies") > long).drop("copies")), own, "left")  # at most FEW classes
+    other = common.where("_raw is null").select(rows.columns).join(named.where(F.col("copies") <= long).drop("copies"), own, "left")
+    joined = common.where("_raw is not null").unionByName(other)
     component = F.when(F.col("id").isNotNull(), F.coalesce(F.col("_component"), F.col("id")))
-    joined = rows.join(named, (F.col("raw") == F.col("_raw")) & F.col("id").isNotNull(), "left")
     return joined.select(F.col("id").alias(id_col), F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
