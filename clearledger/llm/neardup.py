@@ -122,14 +122,14 @@ def _postings(classes: DataFrame, total: int) -> DataFrame:
     return posted.join(own, "doc")
 
 
-def _lists(near: DataFrame) -> DataFrame:
+def _lists(near: DataFrame, total: int) -> DataFrame:
     """(list, at, doc, n, post, short, sig): posting lists of two to LIST + 1 classes each; at is null in blocks of long ones."""
     rest = ["doc", "n", "post", "short", "sig"]
     none = F.lit(None).cast("int").alias("at")
     whole = near.where(F.col("many") <= LIST).select(F.xxhash64("at", "value").alias("list"), "at", *rest)
     finer = near.where(F.col("many") > LIST).withColumn("finer", F.xxhash64("at", "value", F.element_at("post", F.col("at") + 2), F.element_at("post", F.col("at") + 3)))
-    sizes = finer.groupBy("finer").agg(F.count("*").alias("many"), F.min("doc").alias("first")).where("many > 1")
-    long = finer.drop("many").join(sizes, "finer").withColumn("blocks", F.ceil(F.col("many") / LIST).cast("int"))
+    sizes = materialise(finer.groupBy("finer").agg(F.count("*").alias("many"), F.min("doc").alias("first")).where("many > 1"), "finer")
+    long = _in_lists(finer.drop("many"), sizes, ["finer"], FIRST * total).withColumn("blocks", F.ceil(F.col("many") / LIST).cast("int"))
     block = F.pmod(F.xxhash64("doc", "at"), F.col("blocks")).cast("int")
     own = long.select(F.xxhash64("finer", block).alias("list"), none, *rest)
     ties = long.where((F.col("doc") == F.col("first")) & (F.col("blocks") > 1)).select("finer", *rest, block.alias("own"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("b"))
@@ -257,7 +257,8 @@ def _strays(hot: DataFrame, named: DataFrame, texts: DataFrame, size: int, perce
     Compared by match count and then by shingle sets within the task, so no pair that fails leaves it.
     """
     sets = materialise(_sets(texts.join(named, "doc", "left_semi"), size), "sets")
-    cells = _grid(hot.join(named, "doc", "left_semi")).join(sets, "doc").repartition("list").sortWithinPartitions("list", "role")
+    asked = materialise(hot.join(named, "doc", "left_semi"), "asked")  # read several times
+    cells = _grid(asked).join(sets, "doc").repartition("list").sortWithinPartitions("list", "role")
 
     def done(t):
         doc, comp = t.column("doc").to_numpy(), t.column("comp").to_numpy()
@@ -385,15 +386,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     fetch = lambda named: materialise(source.join(named, "doc").dropDuplicates(["doc", "text"]), "texts")
     either = lambda pairs: pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct()
 
-    near = materialise(_postings(classes, classes.count()), "postings")
-    pairs = materialise(_best_pairs(_lists(near), 4, percent), "pairs")
+    total = classes.count()
+    near = materialise(_postings(classes, total), "postings")
+    pairs = materialise(_best_pairs(_lists(near, total), 4, percent), "pairs")
     texts = fetch(either(pairs).hint("merge"))  # the same join whatever the size
     links = materialise(_confirmed(pairs, texts, size, percent), "links")
     comps = materialise(connected_components(links), "components")
 
     rest = materialise(_prefixes(classes, near, comps), "lists")
     more = materialise(_rest_pairs(rest.where(F.col("many") <= LIST), percent), "pairs")
-    hot = rest.where(F.col("many") > LIST)
+    hot = materialise(rest.where(F.col("many") > LIST), "hot")
     long = not hot.isEmpty()
     named = materialise(_named(hot, percent), "named") if long else either(more).limit(0)
     new = materialise(either(more).unionByName(named).distinct().join(texts.select("doc"), "doc", "left_anti"), "new")
