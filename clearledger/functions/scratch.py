@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's address below spark.checkpoint.dir; a local one, once per session, only where that is unset."""
+    """A new folder's address below spark.checkpoint.dir; where that is unset, a local one, once per session, on a local master alone."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("clearledger.local.scratch", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("clearledger.local.scratch", root)
     return f"{root.rstrip('/')}/clearledger/{name}-{uuid.uuid4().hex}"

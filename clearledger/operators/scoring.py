@@ -33,29 +33,37 @@ def dollars_at_risk(lines: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def fold_families(families: Column, overlap_max: float) -> Column:
-    """Independent families of array<struct<family, keys, tier1>>.
+def fold_families(families: Column, sets: Column, overlap_max: float) -> Column:
+    """Independent families of array<struct<family, size, tier1>>; sets: array<struct<families, n>>, n lines that exactly these families flag.
 
-    Largest first, ties by name. A family counts if nothing counted yet or less than overlap_max of its keys were seen; every
-    family's keys are seen afterwards, also those of families that did not count.
+    Largest first, ties by name. A family counts if nothing counted yet or less than overlap_max of its lines were seen; every
+    family's lines are seen afterwards, also those of families that did not count.
     """
-    ordered = F.array_sort(families, lambda x, y: F.when(F.size(x["keys"]) != F.size(y["keys"]), F.size(y["keys"]) - F.size(x["keys"])).when(x["family"] < y["family"], -1).when(x["family"] > y["family"], 1).otherwise(0))
-    start = F.struct(F.array().cast("array<string>").alias("counted"), F.array().cast("array<string>").alias("seen"), F.lit(False).alias("tier1"))
+    ordered = F.array_sort(families, lambda x, y: F.when(x["size"] != y["size"], F.when(x["size"] > y["size"], -1).otherwise(1)).when(x["family"] < y["family"], -1).when(x["family"] > y["family"], 1).otherwise(0))
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("counted"), none.alias("seen"), F.lit(False).alias("tier1"))
 
     def step(acc: Column, f: Column) -> Column:
-        known = F.size(F.array_intersect(f["keys"], acc["seen"]))
-        counts = (F.size(f["keys"]) > 0) & ((F.size(acc["counted"]) == 0) | (known < F.size(f["keys"]) * F.lit(overlap_max)))
-        return F.struct(
-            F.when(counts, F.array_append(acc["counted"], f["family"])).otherwise(acc["counted"]).alias("counted"), F.array_union(acc["seen"], f["keys"]).alias("seen"), (acc["tier1"] | (counts & f["tier1"])).alias("tier1")
-        )
+        known = F.aggregate(sets, F.lit(0).cast("long"), lambda n, s: n + F.when(F.array_contains(s["families"], f["family"]) & F.arrays_overlap(s["families"], acc["seen"]), s["n"]).otherwise(0))
+        counts = (F.size(acc["counted"]) == 0) | (known < f["size"] * F.lit(overlap_max))
+        return F.struct(F.when(counts, F.array_append(acc["counted"], f["family"])).otherwise(acc["counted"]).alias("counted"), F.array_append(acc["seen"], f["family"]).alias("seen"), (acc["tier1"] | (counts & f["tier1"])).alias("tier1"))
 
     return F.aggregate(ordered, start, step)
 
 
 def independent_families(lines: DataFrame, cfg: Config) -> DataFrame:
-    """(entity, independent_families, families, has_tier1_family) from the trusted rules' lines."""
-    fam = lines.where(_trusted(cfg)).groupBy(*ENTITY, "family").agg(F.collect_set("line_id").alias("keys"), F.max(F.col("tier") == 1).alias("tier1"))
-    folded = fam.groupBy(*ENTITY).agg(F.collect_list(F.struct("family", "keys", "tier1")).alias("f")).withColumn("r", fold_families(F.col("f"), cfg.overlap_max))
+    """(entity, independent_families, families, has_tier1_family) from the trusted rules' lines.
+
+    Lines are counted by the set of families that flag them, so an entity's row grows with the few rules and not with its lines.
+    """
+    trusted = lines.where(_trusted(cfg))
+    per_line = trusted.groupBy(*ENTITY, "line_id").agg(F.array_sort(F.collect_set("family")).alias("families"))
+    counts = per_line.groupBy(*ENTITY, "families").agg(F.count("line_id").alias("n"))
+    sets = counts.groupBy(*ENTITY).agg(F.collect_list(F.struct("families", "n")).alias("sets"))
+    tiers = trusted.groupBy(*ENTITY, "family").agg(F.max(F.col("tier") == 1).alias("tier1"))
+    sizes = counts.select(*ENTITY, F.explode("families").alias("family"), "n").groupBy(*ENTITY, "family").agg(F.sum("n").alias("size"))
+    fam = sizes.join(tiers, [*ENTITY, "family"]).groupBy(*ENTITY).agg(F.collect_list(F.struct("family", "size", "tier1")).alias("f"))
+    folded = fam.join(sets, ENTITY).withColumn("r", fold_families(F.col("f"), F.col("sets"), cfg.overlap_max))
     return folded.select(*ENTITY, F.size("r.counted").alias("independent_families"), F.concat_ws(",", "r.counted").alias("families"), F.col("r.tier1").alias("has_tier1_family"))
 
 

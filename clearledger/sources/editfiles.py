@@ -71,7 +71,8 @@ def _date_ok(c: Column) -> Column:
 def parse(spark: SparkSession, files: DataFrame, edit: str) -> tuple[DataFrame, DataFrame]:
     """(rows, status) of planned files of one kind of edit, read as text by Spark.
 
-    A line before the header is tolerated; a footer is recognised; any other row that does not parse fails its whole file.
+    Lines before the header are tolerated and never loaded, whatever they look like; a footer is recognised; any other row that does not parse fails its
+    whole file. A line's place is its block in the file and its place in the block.
     """
     cols = COLUMNS[edit]
     todo = files.where((F.col("edit") == edit) & F.col("status").isin("load", "replace"))
@@ -79,19 +80,20 @@ def parse(spark: SparkSession, files: DataFrame, edit: str) -> tuple[DataFrame,
     if not paths:
         empty = ", ".join([f"{c} string" for c in cols] + ["path string", "quarter string", "service string", "revision int"])
         return spark.createDataFrame([], empty), spark.createDataFrame([], "path string, rows long, tolerated_rows long, error string")
-    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"))
-    # places within a file decide what is before the header
+    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"))
     cells = F.split("value", "\t")
     header = F.lower("value") == "\t".join(cols)
     kind = F.when(header, "header").when(F.trim("value") == "", "blank").when(F.col("value").rlike(FOOTER), "footer").when(F.size(cells) == len(cols), "row").otherwise("other")
     t = text.withColumn("kind", kind).withColumn("cells", cells)
+    heads = t.where("kind = 'header'").groupBy("path").agg(F.min("place").alias("head"))  # a row a file
+    t = t.join(heads, "path", "left").withColumn("kind", F.when(F.col("place") < F.col("head"), "preamble").otherwise(F.col("kind")))
     r = t.where("kind = 'row'").select("path", *[F.trim(F.col("cells")[i]).alias(c) for i, c in enumerate(cols)])
     if edit == "ptp":
         bad = F.when((F.col("column_one") == "") | (F.col("column_two") == ""), "missing code").when(~_date_ok(F.col("effective_date")), "bad date").when((F.col("deletion_date") != "*") & (F.col("deletion_date") != "") & ~_date_ok(F.col("deletion_date")), "bad date").when(~F.col("modifier_indicator").isin("0", "1", "9"), "bad indicator")
     else:
         bad = F.when(F.col("code") == "", "missing code").when(F.expr("try_cast(unit_limit as int)").isNull(), "limit is no number")
     r = r.withColumn("bad", bad)
-    per = t.groupBy("path").agg(F.sum((F.col("kind") == "header").cast("long")).alias("headers"), F.sum((F.col("kind") == "other").cast("long")).alias("others"), F.sum(F.col("kind").isin("footer", "blank").cast("long")).alias("tolerated_rows"))
+    per = t.groupBy("path").agg(F.sum((F.col("kind") == "header").cast("long")).alias("headers"), F.sum((F.col("kind") == "other").cast("long")).alias("others"), F.sum(F.col("kind").isin("preamble", "footer", "blank").cast("long")).alias("tolerated_rows"))
     rows = r.groupBy("path").agg(F.count("*").alias("rows"), F.min("bad").alias("bad"))
     status = per.join(rows, "path", "left").select("path", F.coalesce("rows", F.lit(0)).alias("rows"), "tolerated_rows", F.when(F.col("headers") != 1, "no header or several").when(F.col("others") > 0, "unknown lines").when(F.coalesce("rows", F.lit(0)) == 0, "no rows").otherwise(F.col("bad")).alias("error"))
     good = r.join(status.where("error is null"), "path", "left_semi").join(todo.select("path", "quarter", "service", "revision"), "path")

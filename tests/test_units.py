@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import random
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -29,7 +30,7 @@ def claims(spark, *rows):
 
 
 def test_minutes_from_descriptions(spark):
-    texts = {"CARE, PER 15 MINUTES": 15, "Each additional 30 minutes": 30, "UP TO 15 MINUTES": 15, "2 HOURS": 120, "PER HOUR": 60, "MINI-BUS": None, "": None, None: None}
+    texts = {"CARE, PER 15 MINUTES": 15, "Each additional 30 minutes": None, "EACH 30 MINUTES": 30, "UP TO 15 MINUTES": 15, "2 HOURS": None, "OBSERVATION 24 HOUR STAY": None, "PER 2 HOURS": 120, "PER HOUR": 60, "CARE, EACH HOUR": 60, "UP TO HOUR": 60, "MINI-BUS": None, "": None, None: None}
     got = spark.createDataFrame([(k,) for k in texts], "d string").select("d", minutes_per_unit(F.col("d")).alias("m"), up_to(F.col("d")).alias("u")).collect()
     assert {r.d: r.m for r in got} == texts
     assert [r.d for r in got if r.u] == ["UP TO 15 MINUTES"]
@@ -81,8 +82,12 @@ def fold(families, limit=0.5):
 def test_fold_matches_plain_version(spark):
     r = random.Random(3)
     cases = [[(n, [str(x) for x in r.sample(range(12), r.randint(0, 8))], r.random() < 0.3) for n in "abcde"[: r.randint(1, 5)]] for _ in range(60)]
-    df = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "i int, f array<struct<family:string,keys:array<string>,tier1:boolean>>")
-    for x in df.select("i", scoring.fold_families(F.col("f"), 0.5).alias("r")).collect():
+    rows = []
+    for i, c in enumerate(cases):
+        by_set = Counter(tuple(sorted(f for f, keys, _ in c if k in keys)) for k in {k for _, keys, _ in c for k in keys})
+        rows.append((i, [(f, len(keys), t) for f, keys, t in c if keys], [(list(names), n) for names, n in by_set.items()]))
+    df = spark.createDataFrame(rows, "i int, f array<struct<family:string,size:long,tier1:boolean>>, s array<struct<families:array<string>,n:long>>")
+    for x in df.select("i", scoring.fold_families(F.col("f"), F.col("s"), 0.5).alias("r")).collect():
         assert (x.r.counted, x.r.tier1) == fold(cases[x.i])
 
 
@@ -161,7 +166,7 @@ def test_edit_files_load_once(spark, tmp_path):
     drop.mkdir()
     head = "column_one\tcolumn_two\teffective_date\tdeletion_date\tmodifier_indicator"
     (drop / "ptp_practitioner_2024q1_r0.txt").write_text(f"{head}\nA\tB\t20240101\t*\t1\nSource: public\n")
-    (drop / "ptp_practitioner_2024q1_r1.txt").write_text(f"{head}\nA\tB\t20240101\t*\t1\nA\tC\t20240101\t*\t0\n")
+    (drop / "ptp_practitioner_2024q1_r1.txt").write_text(f"A title\nZ\tZ\t20240101\t*\t1\n{head}\nA\tB\t20240101\t*\t1\nA\tC\t20240101\t*\t0\n")
     (drop / "mue_dme_2024q1_r0.txt").write_text("code\tunit_limit\nA\tmany\n")
     (drop / "my_edit_list.txt").write_text("x")
     (drop / "readme.txt").write_text("x")
