@@ -21,7 +21,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from .common import materialise
+
 GRAM, BLOCK, BITS = 3, 1 << 20, 21
+#: Languages up to which their shares are broadcast.
+LANGUAGES = 10_000
 #: Vectors of n-grams and of letters that a worker keeps.
 KEPT_GRAMS, KEPT_LETTERS = 32_768, 4_096
 
@@ -110,7 +114,9 @@ def _sample(docs: DataFrame, id_col: str, lang: str, learn: Column, per_lang: in
     """About per_lang rows of each language: those whose id hash is below the language's share."""
     known = docs.where(learn & F.col(lang).isNotNull())
     share = known.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_n"))
-    return known.join(share, F.col(lang) == F.col("_lang")).where(
+    share = materialise(share, "languages")
+    few = share.limit(LANGUAGES + 1).count() <= LANGUAGES  # else Spark joins as it sees fit
+    return known.join(F.broadcast(share) if few else share, F.col(lang) == F.col("_lang")).where(
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_003)) * F.col("_n") < F.lit(1_000_003 * per_lang)
     )
 
