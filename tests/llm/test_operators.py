@@ -166,14 +166,27 @@ def test_toxicity_finds_planted_words(spark):
 
 # ---- lines
 
+#: Lines that no other document has, not even with fields of its own.
+OWN = ["the sun rose late that day", "nobody had asked for rain", "seven boats left before noon", "we never found the key"]
+
+
 def test_templates_generalise_fields(spark):
     line = "report for station north was filed on day {} by {} and closed"
-    rows = [(i, f"own words of document {i} {'x' * i}\n" + line.format(i, n)) for i, n in enumerate(["anna", "ben", "cleo", "dora"])]
+    rows = [(i, OWN[i] + "\n" + line.format(i, n)) for i, n in enumerate(["anna", "ben", "cleo", "dora"])]
     df = spark.createDataFrame([(*r, "kept") for r in rows], "doc_id long, text string, dropped string")
     got = {r.doc_id: r for r in linededup.drop_recurring_lines(df, info="i").collect()}
     assert got[0].text == rows[0][1] and all(got[i].text == rows[i][1].split("\n")[0] and got[i].i.n_dropped == 1 for i in (1, 2, 3)) and got[1].dropped == "kept"
 
 
+def test_templates_generalise_neighbouring_and_short_fields(spark):
+    names = [("jane", "doe"), ("max", "moor"), ("ann", "lee"), ("bo", "yu")]
+    kept = ["this page was closed", "one and two"]  # too few equal tokens, and in two documents
+    rows = [(i, "\n".join([OWN[i], f"this page was written by {a} {b} and closed", f"read more on {a} today", f"this page was {b}", *(kept if i < 2 else [])])) for i, (a, b) in enumerate(names)]
+    got = {r.doc_id: r.text.split("\n") for r in linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1].split("\n")
+    assert all(got[i] == [OWN[i], f"this page was {names[i][1]}", *(kept if i < 2 else [])] for i in (1, 2, 3))
+
+
 def test_lines_on_odd_rows(odd, none):
     got = linededup.drop_recurring_lines(odd, info="i").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted((r[0] or 0, r[1] or "") for r in ROWS) and linededup.drop_recurring_lines(none).count() == 0
