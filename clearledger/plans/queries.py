@@ -268,6 +268,14 @@ def exposure_summary(spark: SparkSession, d: str) -> DataFrame:
     return rounded(each[0].unionByName(each[1]))
 
 
+def screen_order(spark: SparkSession, d: str) -> DataFrame:
+    b = _base(spark, d)
+    s, _ = screening.trends(b, CFG)
+    lines, exposed = screening.recovery_lines(b, CFG)
+    out = screen.combined_in_order(s, screen.recovery(lines, exposed, "servicing_id"), "servicing_id")
+    return rounded(out.select("servicing_id", "is_reference", "match_basis", "trend", "basis_rank", "trend_rank", "total_paid", "tier1", "tier2"))
+
+
 # ---- duplicates
 
 def _per_biller(spark: SparkSession, d: str) -> DataFrame:
@@ -462,7 +470,7 @@ RULE_QUERIES: dict[str, Query] = {
 PLAIN = (
     flagged_lines, dollars_at_risk, risk_score, provider_context, independent_families, queue, tier_mix, hits_per_rule, invariants, biller_pmi, member_fanout, connected_components, label_propagation, provider_names, rule_stats,
     case_leads, reasons, check_leads, evidence_cards, drill_down, clinician_day, line_exposure, recovery_dollars, cookie_cutter, pattern_sizes, repeat_packages, session_hours, top_code_share, servicing_features, billing_features,
-    lookalike_score, signature_features, pattern_table, primary_billers, calibration, trend_labels, network_links, exposure_summary, dup_groups, dup_pairs, dup_involvement, dup_reference, dup_largest, self_listed, target_dups,
+    lookalike_score, signature_features, pattern_table, primary_billers, calibration, trend_labels, network_links, exposure_summary, screen_order, dup_groups, dup_pairs, dup_involvement, dup_reference, dup_largest, self_listed, target_dups,
     daily_volume, thresholds, totals, clinician_day_mix, peer_medians, members_per_day, counterparty_breakdown, counterparty_daily, outlier_clinicians, percent_ranks, code_profile, code_patterns, code_report, anomalous_codes,
     code_counterparty, consolidated, target_self_listing, cohort_overview, file_classes, duplicate_files, quarter_completeness, revision_plan, missing_quarters, load_baseline, gate_status, gate_accepted,
 )

@@ -143,6 +143,33 @@ def test_components_of_chains_and_stars(spark):
     assert {got[i] for i in range(51)} == {0} and {got[i] for i in range(100, 140)} == {100}
 
 
+def test_final_orders(spark):
+    rows = [(1, False, "Both", "Emerging"), (2, False, "Both", "Active - intermittent"), (3, True, "Percentile only", "Unclassified (window skipped)"), (4, False, "Pattern only", "Persistent"), (5, False, "Both", "Persistent"), (6, False, "Both", "Emerging")]
+    table = spark.createDataFrame(rows, "id long, is_reference boolean, match_basis string, trend string")
+    dollars = spark.createDataFrame([(1, 10.0, 5.0, 1.0), (2, 9.0, 1.0, 7.0), (6, 9.0, 9.0, 1.0)], "id long, total_paid double, tier2 double, tier1 double")
+    assert [r.id for r in screen.combined_in_order(table, dollars, "id").collect()] == [3, 5, 2, 6, 1, 4]
+    scored = spark.createDataFrame([("1Y", 1, False, 0.9, 0.9), ("1Y", 2, True, None, 0.5), ("1Y", 3, True, 0.4, 0.1), ("1Y", 4, True, 0.4, 0.2)], "window string, id long, is_hit boolean, signature_match double, similarity double")
+    assert [r.id for r in screen.scores_in_order(scored, "id").collect()] == [4, 3, 2, 1]
+
+
+def test_gate_notes(spark):
+    p = lambda t, a=None, b=None, c=None, mi=None, g=None, why=None: (t, a, b, c, None, mi, g, why)
+    base = lambda name, pred, codes=("A1",), population="all", able=True, reason=None, fields=(): (name, "manual", "s", "x", list(codes), population, able, False, reason, list(fields), pred)
+    rows = [
+        base("pair_first", p("code_pair_prohibited", "A1", "A1", mi="9")), base("indicator", p("code_pair_prohibited", "A1", "A2", mi="9")), base("both", p("code_pair_prohibited", "A1", "A2", mi=" 1"), codes=(" a1",), population="adults"),
+        base("aged_pair", p("code_pair_prohibited", "A1", "A2", mi=" 1", g=(21, None)), codes=(" a1",), population="adults"), base("said", p("not_checkable", why="paper only")), base("off", p("odd"), able=False, reason="mine"),
+        base("idle", p("frequency_limit"), reason="mine"), base("age", p("age_limit", g=(30, 20))), base("lacks", p("unit_limit", c="A1"), fields=("z", "y")),
+    ]
+    ok, _ = gate.gate(spark.createDataFrame(rows, gate.RULES), ["code"])
+    got = {r.rule_id: (r.validation_status, r.not_checkable_reason, r.gate_notes) for r in ok.collect()}
+    assert got == {
+        "pair_first": ("downgraded", "ambiguous_source", "a pair needs two different codes"), "indicator": ("downgraded", "ambiguous_source", "unusable modifier indicator: 9"),
+        "both": ("downgraded", "requires_member_attribute", "codes tidied; no condition selects the population adults"),
+        "aged_pair": ("patched", None, "codes tidied; age stands for the population adults; modifier indicator set to 1"), "said": ("needs_review", "paper only", ""), "off": ("needs_review", "mine", ""),
+        "idle": ("downgraded", "mine", "nothing runs predicates of type frequency_limit"), "age": ("downgraded", "ambiguous_source", "an age limit has no usable age"), "lacks": ("downgraded", "missing_claim_field", "claims lack y, z"),
+    }
+
+
 def test_gate_statuses(spark):
     age = (21, None)
     p = lambda t, a=None, b=None, c=None, mi=None, g=None: (t, a, b, c, None, mi, g, None)
