@@ -1,8 +1,9 @@
 """WARC: a deterministic sharded writer and its reader.
 
 Records are sorted by page id and cut into shards by the payload bytes before them, counted per block of ids, so
-the shards depend on the rows alone and not on how they arrive. A task writes the shards it is dealt one after the
-other, each record its own gzip member, and starts a new file when one reaches the size limit. Headers, digests and record
+the shards depend on the rows alone and not on how they arrive. The prefix sums already are the bounds of a range sort, so
+rows go to the task of their shard without a sample of the html; only beyond max_tasks shards does a task get several neighbours. A task writes
+each record as its own gzip member and starts a new file when one reaches the size limit. Headers, digests and record
 ids are made anew from the payload, so a rerun gives the same bytes.
 
 Of records with equal payloads of at least min_revisit bytes the smallest page id is the response and the others revisit
@@ -13,8 +14,10 @@ Files are written under names of the attempt in a folder of temporary files; a m
 then they are moved to their final names, which can be repeated at will; the committed manifest is written last. Readers
 read what the committed manifest lists, so a lost executor's leftovers are never seen.
 
-A null payload counts as empty. A null page id sorts first and is written without its header. Repeated page ids are separate records; of
-equal rows of the smallest id the first is the response. A null url leaves its header out.
+A null payload counts as empty. Rows with a null page id come first, in blocks by digest, and are written without that header. Repeated page ids are
+separate records; of equal rows of the smallest id the first is the response. A null url leaves its header out. An empty table gives an empty manifest and no
+archive. A very long payload is one record of its own file at least; a task holds one payload at a time besides its batch. Other columns are not read, whatever
+their names.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import zlib
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, running_sum
@@ -75,23 +78,28 @@ def decided(pages: DataFrame, id_col: str, payload: str, min_revisit: int) -> Da
     return narrow.join(shared, F.col("digest") == F.col("d")).select("page", "digest", "first").distinct()
 
 
-def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "url", html: str = "html", min_revisit: int = 100, shard_bytes: int = 32 << 20, file_bytes: int = 16 << 20, block_ids: int = 256) -> DataFrame:
+def _block(block_ids: int) -> Column:
+    """Block of neighbouring page ids; null ids, of which there may be many, are cut by digest into 65,536 blocks before all others."""
+    return F.coalesce(F.floor(F.col("page") / block_ids), F.lit(-(1 << 62)) + F.conv(F.substring("digest", 1, 4), 16, 10).cast("long"))
+
+
+def write(pages: DataFrame, folder: str, id_col: str = "page_id", url: str = "url", html: str = "html", min_revisit: int = 100, shard_bytes: int = 32 << 20, file_bytes: int = 16 << 20, block_ids: int = 256, max_tasks: int = 100_000) -> DataFrame:
     """Write pages as archives below folder; returns the committed manifest (path, records, bytes, sha256)."""
     spark = pages.sparkSession
     rows = pages.select(F.col(id_col).cast("long").alias("page"), F.col(url).cast("string").alias("url"), F.coalesce(F.encode(F.col(html).cast("string"), "utf-8"), F.lit(b"")).alias("payload"))
     # shards: payload bytes before each block of ids
-    block = F.coalesce(F.floor(F.col("page") / block_ids), F.lit(-(1 << 62)))
-    sizes = rows.groupBy(block.alias("b")).agg(F.sum(F.octet_length("payload") + 400).alias("n"))
+    sizes = rows.withColumn("digest", F.sha2("payload", 256)).groupBy(_block(block_ids).alias("b")).agg(F.sum(F.octet_length("payload") + 400).alias("n"))
     before = running_sum(sizes, ["b"], "n", "before")
     shards = materialise(before.select(F.col("b").alias("_b"), F.floor(F.col("before") / shard_bytes).alias("shard")), "shards")
     first = decided(rows, "page", "payload", min_revisit)
-    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    n_shards = (shards.agg(F.max("shard")).first()[0] or 0) + 1  # one number
+    n = min(n_shards, max_tasks)
     both = rows.select("page", "url", "payload", F.sha2("payload", 256).alias("digest"), F.lit(1).alias("kind"), F.lit(None).cast("long").alias("first")).unionByName(
         first.select("page", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "digest", F.lit(0).alias("kind"), "first")
     )
-    dealt = both.join(shards, F.coalesce(F.floor(F.col("page") / block_ids), F.lit(-(1 << 62))) == F.col("_b")).drop("_b")
+    dealt = both.join(shards, _block(block_ids) == F.col("_b")).drop("_b")
     order = ["shard", F.col("page").asc_nulls_first(), "digest", "kind", F.col("url").asc_nulls_first()]
-    dealt = dealt.repartition(n, "shard").sortWithinPartitions(*order)
+    dealt = dealt.repartitionById(n, F.floor(F.col("shard") * n / n_shards).cast("int")).sortWithinPartitions(*order)
     attempt = f"{folder}/_temporary/{uuid.uuid4().hex}"
 
     def run(batches):

@@ -18,7 +18,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from clearledger.llm import chat, language, linededup, mixing, neardup, pieces, quality, toxicity, vectors, warc
-from clearledger.llm.common import connected_components, scratch
+from clearledger.llm.common import connected_components, labelled_sample, scratch
 from clearledger.llm.queries import ORACLES, QUERIES
 
 from ..conftest import as_sql_frame, same_rows
@@ -75,6 +75,24 @@ def test_archives_of_nothing(spark):
     assert warc.round_trip(spark, spark.createDataFrame([], PAGES), scratch(spark, "warc")).count() == 0
 
 
+def test_archives_of_long_pages_and_many_without_ids(spark):
+    rows = [(None, "u", f"page {i % 40} " + "y" * 100) for i in range(80)] + [(7, "u", "z" * 3_000_000), (8, "u", "z" * 3_000_000), (8, "u", "")]
+    df = spark.createDataFrame([(*r, "p", "d") for r in rows], PAGES)
+    manifest = warc.write(df, scratch(spark, "warc"), shard_bytes=4000, max_tasks=5)
+    assert manifest.count() > 5
+    got = warc.read(manifest, payloads=True).collect()
+    assert len(got) == len(rows) and {r.payload_digest for r in got} == {hashlib.sha256(x[2].encode()).hexdigest() for x in rows}
+    assert [(r.record_type, r.payload_bytes, r.refers_to) for r in got if r.page_id == 8 and r.payload_bytes] == [("revisit", 3_000_000, 7)]
+    assert sum(r.record_type == "response" for r in got if r.page_id is None) == 40
+
+
+def test_sample_is_bounded_where_ids_repeat(spark):
+    docs = spark.createDataFrame([(i % 6, f"text {i}") for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6)] * 3, "doc_id long, y int")
+    got = [sorted(map(tuple, labelled_sample(docs.repartition(n), labels, "doc_id", "y", F.lit(True), 2).collect())) for n in (1, 7)]
+    assert got[0] == got[1] and len(got[0]) == 4 and len({r[0] for r in got[0]}) == 4
+
+
 def test_damaged_record_is_found():
     good = warc.record(1, "u", b"hello", hashlib.sha256(b"hello").hexdigest(), None, False, 0)
     assert warc.parse(good)["payload"] == b"hello"
