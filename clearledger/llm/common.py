@@ -31,11 +31,11 @@ def words_of(text: Column) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, keep: Column, per_class: int
 ) -> DataFrame:
-    """(id, label, text columns of docs) of at most per_class labelled rows of each class.
+    """(_id, _label, columns of docs) of at most per_class labelled rows of each class.
 
     The rows taken are those with the smallest hash of the id, so reruns agree. An id with several
-    labels counts as the largest one; null ids and labels are left out. The sampled labels are at most
-    2 * per_class narrow rows, which is the size that is broadcast.
+    labels counts as the largest one; null ids and labels are left out. Of rows that share an id the one with the
+    smallest hash counts, so there is a row for each sampled label at most: 2 * per_class narrow rows, which is also the size that is broadcast.
     """
     one = (
         labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & keep)
@@ -44,7 +44,8 @@ def labelled_sample(
     )
     order = (F.xxhash64("_id"), F.col("_id"))
     taken = [one.where(F.col("_label") == y).orderBy(*order).limit(per_class) for y in (0, 1)]
-    return docs.join(F.broadcast(taken[0].unionByName(taken[1])), docs[id_col] == F.col("_id"))
+    found = docs.select(F.col(id_col).alias("_id"), F.struct(*docs.columns).alias("_row")).join(F.broadcast(taken[0].unionByName(taken[1])), "_id")
+    return found.groupBy("_id", "_label").agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_id", "_label", "_row.*")
 
 
 def running_sum(df: DataFrame, order: list[str], value: str, into: str) -> DataFrame:

@@ -133,7 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, keep: Column, id_col: str = "doc_id"
     Features count where their log-likelihood ratio passes 2 ln(number of features), so that by chance about one
     would, and their log-odds reach `least`; the most_features strongest of them bound the model's size.
     """
-    taught = materialise(labelled_sample(docs, labels, id_col, label_col, keep, per_class).select(F.col(text).cast("string").alias("text"), "_label", "_id"), "taught")
+    taught = materialise(labelled_sample(docs.select(id_col, text), labels, id_col, label_col, keep, per_class).select(F.col(text).cast("string").alias("text"), "_label", "_id"), "taught")
     n = {r._label: r.n for r in taught.groupBy("_label").agg(F.count("*").alias("n")).collect()}
     if not n.get(0) or not n.get(1):
         return None
