@@ -182,11 +182,85 @@ pt AS (SELECT *, other_paid / NULLIF(self_paid + other_paid, 0) AS other_share,
 pr AS (SELECT *, other_units_per_day / NULLIF(self_units_per_day, 0) AS units_ratio FROM pt), pl AS (SELECT *, COALESCE(other_share >= 0.5, FALSE) AND (self_lines = 0 OR COALESCE(units_ratio >= 5, FALSE) OR COALESCE(self_units_per_day = 0 AND other_units_per_day > 0, FALSE)) AS driven FROM pr),
 pattern AS (SELECT *, CASE WHEN days_over_24h_with_other >= 2 AND self_lines > 0 AND other_lines > 0 AND driven THEN 'Full' WHEN days_over_24h_with_other >= 2 AND driven THEN 'Close' WHEN days_over_24h >= 2 THEN 'Impossible only' ELSE '' END AS pattern FROM pl)"""
 SERVING_FEATURES = ["avg_hours_day", "max_hours_day", "pct_days_over_8h", "pct_days_over_cap", "pct_days_over_24h", "avg_members_day", "avg_session_hours", "paid_per_member", "pct_days_dup_pattern", "pct_members_in_dup", "pct_members_repeat_pkg", "top_code_share"]
-_RANKS = f"""{_SERVING}, peers AS (SELECT * FROM sdone WHERE (active_days >= CASE win WHEN 'Full' THEN 20 WHEN '1Y' THEN 8 ELSE 4 END OR servicing_id = 7) AND win IN (SELECT win FROM sdone WHERE servicing_id = 7)),
-long AS ({" UNION ALL ".join(f"SELECT win, servicing_id, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM peers" for f in SERVING_FEATURES)}),
-pct AS (SELECT *, CASE WHEN value IS NOT NULL THEN (RANK() OVER (PARTITION BY win, feature ORDER BY value NULLS LAST) + (COUNT(*) OVER (PARTITION BY win, feature, value) - 1) / 2.0) / COUNT(value) OVER (PARTITION BY win, feature) END AS pct FROM long),
-ref AS (SELECT win, feature, pct AS ref FROM pct WHERE servicing_id = 7), pairs AS (SELECT * FROM pct JOIN ref USING (win, feature)),
-looks AS (SELECT win, servicing_id, COUNT(*) FILTER (pct >= 0.95) AS n_red_flags, COALESCE(STRING_AGG(feature, ', ' ORDER BY feature) FILTER (pct >= 0.95), '') AS red_flags, AVG(CASE WHEN ref >= 0.9 THEN CAST(COALESCE(pct >= 0.9, FALSE) AS INTEGER) END) AS signature_match, 1 - AVG(ABS(pct - ref)) AS similarity FROM pairs GROUP BY ALL)"""
+BILLER_FEATURES = ["avg_hours_day", "pct_days_over_cap", "pct_days_over_24h", "pct_timed_paid_on_cap_days", "pct_clinicians_outlier", "pct_paid_via_outliers", "avg_members_day", "avg_session_hours", "paid_per_member", "pct_days_dup_pattern", "pct_members_in_dup", "pct_members_repeat_pkg", "top_code_share"]
+
+
+def _looks(p: str, key: str, reference: int, names: list[str], source: str) -> str:
+    """CTEs of ranks and scores among a level's active entities, named with the prefix p."""
+    return f"""{p}peers AS (SELECT * FROM {source} WHERE (active_days >= CASE win WHEN 'Full' THEN 20 WHEN '1Y' THEN 8 ELSE 4 END OR {key} = {reference}) AND win IN (SELECT win FROM {source} WHERE {key} = {reference})),
+{p}long AS ({" UNION ALL ".join(f"SELECT win, {key}, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM {p}peers" for f in names)}),
+{p}pct AS (SELECT *, CASE WHEN value IS NOT NULL THEN (RANK() OVER (PARTITION BY win, feature ORDER BY value NULLS LAST) + (COUNT(*) OVER (PARTITION BY win, feature, value) - 1) / 2.0) / COUNT(value) OVER (PARTITION BY win, feature) END AS pct FROM {p}long),
+{p}ref AS (SELECT win, feature, pct AS ref FROM {p}pct WHERE {key} = {reference}), {p}pairs AS (SELECT * FROM {p}pct JOIN {p}ref USING (win, feature)),
+{p}looks AS (SELECT win, {key}, COUNT(*) FILTER (pct >= 0.95) AS n_red_flags, COALESCE(STRING_AGG(feature, ', ' ORDER BY feature) FILTER (pct >= 0.95), '') AS red_flags, AVG(CASE WHEN ref >= 0.9 THEN CAST(COALESCE(pct >= 0.9, FALSE) AS INTEGER) END) AS signature_match, 1 - AVG(ABS(pct - ref)) AS similarity FROM {p}pairs GROUP BY ALL)"""
+
+
+def _combined(p: str, key: str, reference: int, looks: str, labels: str) -> str:
+    """CTEs of the combined table, from scores and labels: one state for each entity and window first."""
+    return f"""{p}sc AS (SELECT win, {key}, TRUE AS scored, {key} = {reference} OR (n_red_flags >= 3 AND COALESCE(signature_match >= 0.6, FALSE)) AS is_hit FROM {looks}),
+{p}both AS (SELECT win, {key}, scored, is_hit, pattern FROM {p}sc FULL JOIN (SELECT win, {key}, pattern FROM {labels} WHERE pattern <> '') USING (win, {key})),
+{p}state AS (SELECT k.{key}, w.win, COALESCE(b.pattern, '') AS pattern, CASE WHEN w.win NOT IN (SELECT win FROM {p}sc) THEN 'not run' WHEN b.is_hit THEN 'FLAG' WHEN b.scored THEN 'clear' ELSE 'inactive' END AS status
+  FROM (SELECT DISTINCT {key} FROM {p}both) k CROSS JOIN windows w LEFT JOIN {p}both b ON b.win = w.win AND b.{key} = k.{key}),
+{p}wide AS (SELECT {key}, BOOL_OR(status = 'FLAG') AS by_score, BOOL_OR(pattern <> '') AS by_label, CAST(COUNT(*) FILTER (status = 'FLAG' OR pattern <> '') AS INTEGER) AS windows_flagged, BOOL_OR(status = 'not run') AS skipped, BOOL_OR(win = '6M' AND status = 'inactive') AS idle,
+  MAX(CASE pattern WHEN 'Full' THEN 4 WHEN 'Primary biller' THEN 3 WHEN 'Close' THEN 2 WHEN 'Impossible only' THEN 1 ELSE 0 END) AS best, BOOL_OR(win = 'Full' AND (status = 'FLAG' OR pattern <> '')) AS f, BOOL_OR(win = '1Y' AND (status = 'FLAG' OR pattern <> '')) AS y, BOOL_OR(win = '6M' AND (status = 'FLAG' OR pattern <> '')) AS s FROM {p}state GROUP BY ALL),
+{p}trend AS (SELECT {key}, {key} = {reference} AS is_reference, CASE WHEN by_score AND by_label THEN 'Both' WHEN by_label THEN 'Pattern only' ELSE 'Percentile only' END AS match_basis, CASE best WHEN 4 THEN 'Full' WHEN 3 THEN 'Primary biller' WHEN 2 THEN 'Close' WHEN 1 THEN 'Impossible only' ELSE '' END AS pattern_best,
+  CASE WHEN skipped THEN 'Unclassified (window skipped)' WHEN f AND y AND s THEN 'Persistent' WHEN s AND NOT f THEN 'Emerging' WHEN s THEN 'Active - intermittent' WHEN idle THEN 'Historical - no recent billing' WHEN y THEN 'Recently normalized' ELSE 'Historical - pattern stopped' END AS trend, windows_flagged FROM {p}wide WHERE windows_flagged > 0)"""
+
+
+_RANKS = f"{_SERVING}, " + _looks("", "servicing_id", 7, SERVING_FEATURES, "sdone")
+_STRENGTHS = f"""{_BILLING}, bfull AS (SELECT *, ROUND(COALESCE(paid_on_cap_days * 100 / NULLIF(timed_paid, 0), 0), 6) AS pct_timed_paid_on_cap_days FROM bdone), {_looks("m", "billing_id", 3, BILLER_FEATURES, "bfull")}"""
+#: Combined tables of clinicians (ctrend) and billers (otrend), and the recovery window's dollars of both.
+TRENDS = WINDOWS + f""", {_RANKS}, {_STRENGTHS}, {_PATTERN}, prim AS (SELECT DISTINCT win, top_other_biller AS billing_id, 'Primary biller' AS pattern FROM pattern WHERE pattern IN ('Full', 'Close') AND top_other_biller IS NOT NULL),
+{_combined("c", "servicing_id", 7, "looks", "pattern")}, {_combined("o", "billing_id", 3, "mlooks", "prim")},
+rn AS (SELECT * FROM n WHERE svc_dt >= (SELECT MAX(svc_dt) FROM n) - INTERVAL 24 MONTH), rx AS (SELECT * FROM x WHERE svc_dt >= (SELECT MAX(svc_dt) FROM x) - INTERVAL 24 MONTH)"""
+
+
+def _recovery(key: str) -> str:
+    return f"(SELECT * FROM (SELECT {key}, {_money('paid')} AS total_paid FROM rn GROUP BY ALL) LEFT JOIN ({_exposure(key, 'rx')}) USING ({key}))"
+
+
+def _by_trend(source: str, key: str, level: str) -> str:
+    part = lambda c: f"COALESCE(CAST(SUM(CAST({c} AS DECIMAL(24,6))) AS DOUBLE), 0)"
+    return f"SELECT CASE WHEN is_reference THEN 'REFERENCE' ELSE trend END AS trend, COUNT(*) AS providers, COALESCE({_money('total_paid')}, 0) AS total_paid, {part('tier2')} AS tier2, {part('tier1')} AS tier1, '{level}' AS level FROM {source} LEFT JOIN {_recovery(key)} USING ({key}) GROUP BY 1"
+
+
+#: What the reference clinician is known to show, by window; without claims the result is N/A.
+_CALIBRATION = """own AS (SELECT w.win, p.* EXCLUDE (win) FROM windows w LEFT JOIN (SELECT * FROM pattern WHERE servicing_id = 7) p USING (win)), t AS (
+  SELECT win, servicing_id, 'days over 24h with another biller' AS "check", CAST(days_over_24h_with_other AS VARCHAR) AS value, days_over_24h_with_other >= 2 AS ok FROM own
+  UNION ALL SELECT win, servicing_id, 'bills itself and is billed by others', CONCAT_WS('/', self_lines, other_lines), self_lines > 0 AND other_lines > 0 FROM own UNION ALL SELECT win, servicing_id, 'share of other billers', CAST(ROUND(other_share, 3) AS VARCHAR), other_share >= 0.5 FROM own
+  UNION ALL SELECT win, servicing_id, 'units ratio of others', CAST(ROUND(units_ratio, 2) AS VARCHAR), units_ratio >= 5 FROM own UNION ALL SELECT win, servicing_id, 'pattern label', pattern, pattern = 'Full' FROM own)"""
+#: Rules derived from parts, and the verdict of the first check that each fails; notes in the order in which they are joined.
+_GATE = """WITH r AS (SELECT 'rule-' || p_partkey AS rule_id, ['edit_file', 'state', 'manual'][p_partkey % 3 + 1] AS origin, CASE WHEN p_partkey % 31 <> 0 THEN p_name END AS statement, CASE WHEN p_partkey % 37 <> 0 THEN 'manual' END AS source,
+  CASE WHEN p_partkey % 4 <> 0 THEN [' x' || p_size, ' '] ELSE CAST([] AS VARCHAR[]) END AS given, ['all', 'Members under 21', '', 'ALL MEMBERS', NULL][p_partkey % 5 + 1] AS population, p_partkey % 11 <> 0 AS checkable, p_partkey % 13 = 0 AS ambiguous, p_partkey % 6 = 0 AS lacks,
+  CASE WHEN p_partkey % 29 <> 0 THEN ['code_pair_prohibited', 'unit_limit', 'code_requires_modifier', 'age_limit', 'frequency_limit', 'not_checkable', 'unheard_of'][p_partkey % 7 + 1] END AS kind, UPPER(TRIM(' a' || p_size)) AS a, COALESCE(CASE WHEN p_partkey % 7 <> 0 THEN 'A' || (p_size + p_partkey % 2) END, '') AS b,
+  COALESCE(CASE WHEN p_partkey % 3 = 0 THEN UPPER(TRIM(p_brand)) END, '') AS c, [NULL, '0', '1', ' 1', '7', ''][p_partkey % 6 + 1] AS modifier, p_partkey % 5 = 0 AS aged, p_size % 30 AS low, CASE WHEN p_partkey % 2 = 0 THEN p_size % 40 END AS high FROM part),
+r1 AS (SELECT *, COALESCE(TRIM(statement), '') = '' OR COALESCE(TRIM(source), '') = '' OR COALESCE(TRIM(kind), '') = '' AS rejected, [UPPER(TRIM(g)) FOR g IN given IF TRIM(g) <> ''] AS own, [g FOR g IN [a, CASE WHEN b <> a THEN b END, CASE WHEN c <> a AND c <> b THEN c END] IF COALESCE(g, '') <> ''] AS named,
+  CASE WHEN COALESCE(TRIM(modifier), '') = '' THEN '0' WHEN TRIM(modifier) IN ('0', '1') THEN TRIM(modifier) END AS indicator, origin <> 'edit_file' AS foreign_, aged AND low <= COALESCE(high, 150) AS valid, LOWER(TRIM(COALESCE(population, 'all'))) NOT IN ('', 'all', 'any', 'all members') AS scoped FROM r),
+r2 AS (SELECT *, kind = 'code_pair_prohibited' AND foreign_ AS own_pair, kind IN ('code_pair_prohibited', 'unit_limit', 'age_limit') AS runs, CASE WHEN kind = 'unit_limit' AND c = '' THEN 'a unit limit names no code' WHEN kind = 'age_limit' AND NOT valid THEN 'an age limit has no usable age' WHEN aged AND NOT valid THEN 'its age cannot be used' END AS malformed FROM r1 WHERE NOT rejected),
+r3 AS (SELECT *, CASE WHEN NOT checkable THEN 99 WHEN kind = 'unheard_of' THEN 0 WHEN NOT runs AND kind <> 'not_checkable' THEN 1 WHEN kind = 'not_checkable' THEN 2 WHEN lacks THEN 3 WHEN scoped AND NOT (valid AND foreign_) THEN 4 WHEN kind = 'code_pair_prohibited' AND (a = '' OR b = '' OR a = b) THEN 5 WHEN own_pair AND indicator IS NULL THEN 6 WHEN runs AND malformed IS NOT NULL THEN 7 ELSE 99 END AS failed FROM r2),
+r4 AS (SELECT *, CASE failed WHEN 0 THEN 'no such predicate type: ' || kind WHEN 1 THEN 'nothing runs predicates of type ' || kind WHEN 3 THEN 'claims lack shoe_size' WHEN 4 THEN 'no condition selects the population ' || population WHEN 5 THEN 'a pair needs two different codes' WHEN 6 THEN 'unusable modifier indicator: ' || modifier WHEN 7 THEN malformed END AS note,
+  CASE failed WHEN 0 THEN 'predicate_not_in_grammar' WHEN 1 THEN 'predicate_not_in_grammar' WHEN 2 THEN 'no_claim_field' WHEN 3 THEN 'missing_claim_field' WHEN 4 THEN 'requires_member_attribute' WHEN 5 THEN 'ambiguous_source' WHEN 6 THEN 'ambiguous_source' WHEN 7 THEN 'ambiguous_source' END AS why,
+  own <> given AS tidied, LEN(own) = 0 AND LEN(named) > 0 AS filled, checkable AND failed > 6 AND own_pair AND modifier IS DISTINCT FROM indicator AS reset_, checkable AND failed > 4 AND scoped AND valid AND foreign_ AS by_age FROM r3),
+accepted AS (SELECT rule_id, ARRAY_TO_STRING(CASE WHEN LEN(own) = 0 THEN named ELSE own END, ',') AS codes, checkable AND failed = 99 AS machine_checkable, COALESCE(why, CASE WHEN kind = 'not_checkable' THEN 'no_claim_field' END) AS not_checkable_reason,
+  CASE WHEN note IS NOT NULL THEN 'downgraded' WHEN ambiguous OR NOT (checkable AND failed = 99) THEN 'needs_review' WHEN tidied OR filled OR reset_ THEN 'patched' ELSE 'clean' END AS validation_status,
+  CONCAT_WS('; ', CASE WHEN tidied THEN 'codes tidied' END, CASE WHEN filled THEN 'codes taken from the predicate' END, CASE WHEN by_age THEN 'age stands for the population ' || population END, CASE WHEN reset_ THEN 'modifier indicator set to ' || indicator END, note) AS gate_notes FROM r4)"""
+#: What must hold of the queue, each a count of what breaks it.
+_INVARIANTS = f"""SELECT 'line ids are unique' AS "check", COUNT(*) AS violations FROM (SELECT line_id FROM paid GROUP BY 1 HAVING COUNT(*) > 1)
+UNION ALL SELECT 'flagged lines belong to their entity', COUNT(*) FILTER (CASE WHEN entity_type = 'billing' THEN billing_id ELSE servicing_id END IS DISTINCT FROM entity_id) FROM lines
+UNION ALL SELECT 'dollars at risk are within dollars paid', COUNT(*) FILTER (COALESCE(pct_dollars_at_risk > 1 + 1e-9, TRUE)) FROM q
+UNION ALL SELECT 'one queue row per flagged entity', (SELECT COUNT(*) FROM (SELECT DISTINCT entity_id, entity_type FROM hits) h FULL JOIN (SELECT entity_id, entity_type, COUNT(*) AS k FROM q GROUP BY ALL) k USING (entity_id, entity_type) WHERE h.entity_id IS NULL OR k.k IS DISTINCT FROM 1)
+UNION ALL SELECT 'corroboration has enough families and members', COUNT(*) FILTER (corroborated AND (independent_families < 2 OR members_flagged < 2)) FROM q
+UNION ALL SELECT 'tiers above Contributing are corroborated', COUNT(*) FILTER (tier_label <> 'Contributing' AND NOT corroborated) FROM q
+UNION ALL SELECT 'untrusted rules add no dollars at risk', COUNT(*) FILTER (dollars_at_risk > dollars_incl_untrusted + 0.01) FROM q
+UNION ALL SELECT 'flagged dollars are within paid dollars', COUNT(*) FILTER (a > b + 0.01) FROM (SELECT (SELECT COALESCE({_money("paid")}, 0) FROM (SELECT DISTINCT line_id, paid FROM lines WHERE rule_id <> 'R6')) AS a, (SELECT COALESCE({_money("paid")}, 0) FROM paid) AS b)"""
+
+
+def _spread(strong: float, rounds: int = 10) -> str:
+    """Label propagation, a round at a time; in the first a label only falls."""
+    votes = "SELECT e.id, l.label, ROUND(SUM(pmi), 6) AS w FROM e JOIN lp l ON l.id = e.other GROUP BY ALL"
+    return f"""{_paid(False)}, {_PAIRS}, e AS MATERIALIZED (SELECT pa AS id, pb AS other, pmi FROM pairs WHERE pmi >= {strong} UNION ALL SELECT pb, pa, pmi FROM pairs WHERE pmi >= {strong}),
+lp AS (SELECT 0 AS k, id, id AS label FROM (SELECT DISTINCT id FROM e) UNION ALL SELECT a.k + 1, a.id, CASE WHEN t.w > COALESCE(o.w, 0) THEN CASE WHEN a.k = 0 THEN LEAST(t.label, a.label) ELSE t.label END ELSE a.label END
+  FROM lp a JOIN (SELECT * FROM ({votes}) QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY w DESC, label) = 1) t ON t.id = a.id LEFT JOIN ({votes}) o ON o.id = a.id AND o.label = a.label WHERE a.k < {rounds})
+SELECT id, label AS community FROM lp WHERE k = {rounds}"""
 
 
 def _dups(where: str) -> str:
@@ -214,6 +288,9 @@ cs AS (SELECT code, K, ROUND(AVG(h), 6) AS avg_session, ROUND(QUANTILE_DISC(h, 0
 profile AS (SELECT base.* EXCLUDE (minutes), ca.* EXCLUDE (code, K), cs.* EXCLUDE (code, K), CASE WHEN minutes > 0 THEN minutes / 60 END AS hours, units / days AS units_day, CASE WHEN minutes > 0 THEN minutes / 60 / days END AS hours_day, units / members AS units_member, paid / units AS paid_unit
   FROM base JOIN ca ON base.code = ca.code AND base.K = ca.K LEFT JOIN cs ON base.code = cs.code AND base.K = cs.K)"""
 
+PROFILE = ["units", "members", "days", "lines", "paid", "members_day", "med_members_day", "max_members_day", *[f"pct_days_over_{h}h" for h in (4, 8, 12, 16, 20, 24)], "avg_session", "med_session", "max_session", "hours", "units_day", "hours_day", "units_member", "paid_unit"]
+_UNROUNDED = "ROUND(hours, 6) AS hours, ROUND(units_day, 6) AS units_day, ROUND(hours_day, 6) AS hours_day, ROUND(units_member, 6) AS units_member, ROUND(paid_unit, 6) AS paid_unit"
+
 ORACLES: dict[str, str] = {
     "r1_hours": _rule("R1"), "r2_units": _rule("R2"), "r3_transport": _rule("R3", False), "r4_fanout": _rule("R4", False), "r5_facility": _rule("R5"), "r6_duplicate": _rule("R6"), "r7_volume": _rule("R7"), "r8a_renderers": _rule("R8A"),
     "r8b_billers": _rule("R8B"), "r9_cross_biller": _rule("R9"), "r10_role": _rule("R10"),
@@ -227,7 +304,8 @@ ORACLES: dict[str, str] = {
     "hits_per_rule": HITS + " SELECT rule_id, family, tier, entity_type, COUNT(*) AS hits, rule_id = 'R6' AS untrusted FROM hits GROUP BY ALL",
     "biller_pmi": f"{_paid(False)}, {_PAIRS} SELECT pa, pb, shared, sza, szb, ROUND(pmi, 6) AS pmi, ROUND(jaccard, 6) AS jaccard FROM pairs WHERE pmi >= 0",
     "member_fanout": f"{_paid(False)} SELECT member_id, COUNT(DISTINCT billing_id) AS fanout FROM paid GROUP BY member_id",
-    "connected_components": f"{_paid(False)}, {_PAIRS}, e AS (SELECT pa AS a, pb AS b FROM pairs WHERE pmi >= 2 UNION SELECT pb, pa FROM pairs WHERE pmi >= 2), r AS (SELECT a AS x, a AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a) SELECT x AS id, MIN(y) AS component FROM r GROUP BY x",
+    "connected_components": f"{_paid(False)}, {_PAIRS}, e AS (SELECT pa AS a, pb AS b FROM pairs WHERE pmi >= 0.6 UNION SELECT pb, pa FROM pairs WHERE pmi >= 0.6), r AS (SELECT a AS x, a AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a) SELECT x AS id, MIN(y) AS component FROM r GROUP BY x",
+    "label_propagation": _spread(0.6), "invariants": QUEUE + " " + _INVARIANTS,
     "provider_names": f"WITH {_claims(True)}, {_NAMES}, c AS (SELECT entity_id, entity_type, name, ptype, COUNT(*) AS n FROM names GROUP BY ALL), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type ORDER BY n DESC, name NULLS FIRST, ptype NULLS FIRST) AS rk FROM c), m AS (SELECT *, MAX(CASE WHEN rk = 1 THEN name END) OVER (PARTITION BY entity_id, entity_type) AS main FROM k) SELECT entity_id, entity_type, MAX(CASE WHEN rk = 1 THEN name END) AS name, MAX(CASE WHEN rk = 1 THEN ptype END) AS ptype, STRING_AGG(DISTINCT name, '; ' ORDER BY name) FILTER (rk > 1 AND name <> main) AS other_names FROM m GROUP BY ALL",
     "rule_stats": HITS.replace("hits AS (", "hits0 AS (") + ", hits AS (SELECT h.*, CASE WHEN rule_id = 'R5' THEN z.p END AS p, CASE WHEN rule_id = 'R5' THEN z.l END AS l FROM hits0 h LEFT JOIN (SELECT line_keys AS lk, z > 1.2 AS p, n > GREATEST(many, 1) AS l FROM h5) z ON h.rule_id = 'R5' AND h.line_keys = z.lk) SELECT entity_id, entity_type, rule_id, family, COUNT(*) AS occasions, COUNT(DISTINCT member_id) AS members, ROUND(MAX(metric), 6) AS peak, COUNT(*) FILTER (p) AS by_price, COUNT(*) FILTER (l) AS by_lines FROM hits GROUP BY ALL",
     "drill_down": LINES + " SELECT l.rule_id, l.family, l.tier, l.line_id, p.svc_dt, p.member_id, code, cos, qty, p.paid, claim_id FROM lines l JOIN paid p USING (line_id) WHERE entity_id = 3 AND entity_type = 'billing'",
@@ -246,6 +324,11 @@ ORACLES: dict[str, str] = {
     "signature_features": WINDOWS + f", {_RANKS} SELECT win AS \"window\", 'servicing' AS level, '7' AS reference, COUNT(*) AS n, STRING_AGG(feature, ', ' ORDER BY feature) AS features FROM ref WHERE ref >= 0.9 GROUP BY ALL",
     "pattern_table": WINDOWS + f', {_PATTERN} SELECT win AS "window", * EXCLUDE (win, driven) REPLACE (CAST(days_over_24h AS BIGINT) AS days_over_24h, CAST(days_over_24h_with_other AS BIGINT) AS days_over_24h_with_other, ROUND(other_share, 6) AS other_share, ROUND(self_units_per_day, 6) AS self_units_per_day, ROUND(other_units_per_day, 6) AS other_units_per_day, ROUND(units_ratio, 6) AS units_ratio) FROM pattern',
     "primary_billers": WINDOWS + f", {_PATTERN} SELECT win AS \"window\", top_other_biller AS billing_id, ARRAY_TO_STRING(LIST_SORT(LIST(DISTINCT servicing_id)), ',') AS matched_clinicians FROM pattern WHERE pattern IN ('Full', 'Close') AND top_other_biller IS NOT NULL GROUP BY ALL",
+    "calibration": WINDOWS + f", {_PATTERN}, {_CALIBRATION} SELECT win AS \"window\", \"check\", value, CASE WHEN servicing_id IS NULL THEN 'N/A' WHEN COALESCE(ok, FALSE) THEN 'PASS' ELSE 'FAIL' END AS result FROM t",
+    "trend_labels": TRENDS + " SELECT 'servicing' AS level, servicing_id AS id, * EXCLUDE (servicing_id) FROM ctrend UNION ALL SELECT 'billing', billing_id, * EXCLUDE (billing_id) FROM otrend",
+    "network_links": TRENDS + f" SELECT servicing_id, billing_id, pair_paid, c.trend AS servicing_trend, o.trend AS billing_trend FROM (SELECT servicing_id, billing_id, {_money('paid')} AS pair_paid FROM rn GROUP BY ALL) JOIN ctrend c USING (servicing_id) JOIN otrend o USING (billing_id)",
+    "exposure_summary": TRENDS + f" {_by_trend('ctrend', 'servicing_id', 'Servicing')} UNION ALL {_by_trend('otrend', 'billing_id', 'Billing')}",
+    "screen_order": TRENDS + f" SELECT servicing_id, is_reference, match_basis, trend, CASE match_basis WHEN 'Both' THEN 1 WHEN 'Pattern only' THEN 2 ELSE 3 END AS basis_rank, CASE WHEN trend = 'Persistent' THEN 1 WHEN trend IN ('Emerging', 'Active - intermittent') THEN 2 WHEN trend = 'Recently normalized' THEN 3 WHEN trend LIKE 'Historical%' THEN 4 ELSE 5 END AS trend_rank, total_paid, tier1, tier2 FROM ctrend LEFT JOIN {_recovery('servicing_id')} USING (servicing_id)",
     "dup_groups": _dups(_COHORT) + " SELECT * FROM shown",
     "dup_pairs": _dups(_COHORT) + f", o AS (SELECT per.*, same_units FROM per JOIN grp USING (member_id, code, svc_dt)) SELECT a.billing_id AS biller_a, b.billing_id AS biller_b, COUNT(*) AS services, COUNT(*) FILTER (a.same_units) AS services_same_units, COUNT(DISTINCT a.member_id) AS members, {_money('LEAST(a.paid, b.paid)')} AS possible_duplicate_paid, {_money('CAST(a.paid AS DECIMAL(18,2)) + CAST(b.paid AS DECIMAL(18,2))')} AS paid_by_both FROM o a JOIN o b ON a.member_id = b.member_id AND a.code = b.code AND a.svc_dt = b.svc_dt AND a.billing_id < b.billing_id GROUP BY ALL",
     "dup_involvement": _dups(_COHORT) + f", e AS (SELECT UNNEST(LIST_DISTINCT(LIST_CONCAT(billers, servicers))) AS provider, possible_duplicate_paid FROM grp) SELECT provider, COUNT(*) AS services, {_money('possible_duplicate_paid')} AS possible_duplicate_paid FROM e GROUP BY ALL",
@@ -266,13 +349,17 @@ ORACLES: dict[str, str] = {
     "code_profile": _CODE.replace("K", "servicing_id") + " SELECT * REPLACE (ROUND(hours, 6) AS hours, ROUND(units_day, 6) AS units_day, ROUND(hours_day, 6) AS hours_day, ROUND(units_member, 6) AS units_member, ROUND(paid_unit, 6) AS paid_unit) FROM profile",
     "code_patterns": SVC + f", {_patterns('b', 'code, billing_id', 'code, billing_id', 'n')} SELECT code, billing_id, ROUND(CAST(dup_days AS DOUBLE) * 100 / days, 6) AS pct_days_dup, ROUND(CAST(COALESCE(repeat_members, 0) AS DOUBLE) * 100 / members, 6) AS pct_members_repeat FROM bcut LEFT JOIN brep USING (code, billing_id)",
     "anomalous_codes": _CODE.replace("K", "servicing_id") + ", peers AS (SELECT code, QUANTILE_DISC(units, 0.5) AS u, QUANTILE_DISC(units_day, 0.5) AS ud, QUANTILE_DISC(units_member, 0.5) AS um, QUANTILE_DISC(paid, 0.5) AS p FROM profile WHERE servicing_id <> 7 GROUP BY code), t AS (SELECT code, servicing_id, units, ROUND(units_day, 6) AS units_day, paid, CASE WHEN u > 0 THEN ROUND(units / u, 1) END AS ratio_units, CASE WHEN ud > 0 THEN ROUND(units_day / ud, 1) END AS ratio_units_day, CASE WHEN um > 0 THEN ROUND(units_member / um, 1) END AS ratio_units_member, CASE WHEN p > 0 THEN ROUND(profile.paid / p, 1) END AS ratio_paid FROM profile LEFT JOIN peers USING (code) WHERE servicing_id = 7) SELECT * FROM t WHERE COALESCE(ratio_units, 0) > 1.2 OR COALESCE(ratio_units_day, 0) > 1.2 OR COALESCE(ratio_paid, 0) > 1.2",
+    "code_report": _CODE.replace("K", "billing_id") + f", peers AS (SELECT code, {', '.join(f'QUANTILE_DISC({c}, 0.5) AS peer_{c}' for c in PROFILE)} FROM profile WHERE billing_id <> 3 GROUP BY code), ranks AS (SELECT code, billing_id, PERCENT_RANK() OVER (PARTITION BY code ORDER BY units_day NULLS FIRST) * 100 AS rank_units_day FROM profile), {_patterns('b', 'code, billing_id', 'code, billing_id', 'n')}"
+    + f" SELECT profile.* REPLACE ({_UNROUNDED}), {', '.join(f'ROUND(peer_{c}, 6) AS peer_{c}' if c in ('hours', 'units_day', 'hours_day', 'units_member', 'paid_unit') else f'peer_{c}' for c in PROFILE)}, ROUND(rank_units_day, 6) AS rank_units_day, ROUND(CAST(dup_days AS DOUBLE) * 100 / bcut.days, 6) AS pct_days_dup, ROUND(CAST(COALESCE(repeat_members, 0) AS DOUBLE) * 100 / bcut.members, 6) AS pct_members_repeat, "
+    + ", ".join(f"CASE WHEN peer_{c} > 0 THEN ROUND(profile.{c} / peer_{c}, 1) END AS ratio_{c}" for c in ("units", "units_day", "units_member", "paid")) + " FROM profile LEFT JOIN peers USING (code) JOIN ranks USING (code, billing_id) LEFT JOIN bcut USING (code, billing_id) LEFT JOIN brep USING (code, billing_id) WHERE billing_id = 3",
+    "gate_status": _GATE + " SELECT validation_status AS status, COUNT(*) AS rules FROM accepted GROUP BY ALL UNION ALL SELECT 'rejected', COUNT(*) FROM r1 WHERE rejected", "gate_accepted": _GATE + " SELECT * FROM accepted",
     "code_counterparty": SVC + f" SELECT billing_id, code, servicing_id, SUM(qty) AS units, {_money('paid')} AS paid, COUNT(DISTINCT member_id) AS members, COUNT(DISTINCT svc_dt) AS days, COUNT(*) AS lines, ROUND(SUM(qty) / COUNT(DISTINCT svc_dt), 6) AS units_day FROM n GROUP BY ALL",
     "consolidated": SVC + f", t AS ({_TOTALS.format('servicing_id', 'billing_id')}), m AS (SELECT {_PEERS} FROM t WHERE servicing_id <> 7), a AS (UNPIVOT (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in ('units', 'paid', 'members', 'counterparties', 'codes', 'lines'))} FROM m) ON COLUMNS(*) INTO NAME metric VALUE peer_median), b AS (UNPIVOT (SELECT {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in ('units', 'paid', 'members', 'counterparties', 'codes', 'lines'))} FROM t WHERE servicing_id = 7) ON COLUMNS(*) INTO NAME metric VALUE target) SELECT metric, target, peer_median, CASE WHEN peer_median > 0 THEN ROUND(target / peer_median, 1) END AS ratio FROM a LEFT JOIN b USING (metric)",
     "target_self_listing": SVC + f' SELECT own AS lists_itself, COUNT(*) AS lines, COUNT(DISTINCT member_id) AS members, SUM(qty) AS units, {_money("paid")} AS paid, MIN(svc_dt) AS "first", MAX(svc_dt) AS "last" FROM n WHERE billing_id = 3 GROUP BY ALL',
     "cohort_overview": SVC + ' SELECT COUNT(DISTINCT servicing_id) AS entities, COUNT(*) AS lines, COUNT(*) FILTER (servicing_id = 7) AS target_lines, MIN(svc_dt) AS "first", MAX(svc_dt) AS "last" FROM n',
     "file_classes": _FILES + " SELECT * FROM c",
     "duplicate_files": _FILES + " SELECT c.* FROM c JOIN (SELECT quarter, edit, service, revision FROM c WHERE kind = 'edit' GROUP BY ALL HAVING COUNT(*) > 1) USING (quarter, edit, service, revision)",
-    "quarter_completeness": _FILES + " SELECT q.quarter, e.edit, s.service FROM (SELECT DISTINCT quarter FROM c WHERE kind = 'edit') q, (VALUES ('ptp'), ('mue')) e(edit), (VALUES ('practitioner'), ('outpatient'), ('dme')) s(service) WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.kind = 'edit' AND c.quarter = q.quarter AND c.edit = e.edit AND c.service = s.service)",
+    "quarter_completeness": _FILES.replace("FROM f)", "FROM f WHERE NOT (kind = 'edit' AND kd = 'mue' AND sv = 'dme' AND qr LIKE '%Q4'))") + " SELECT q.quarter, e.edit, s.service FROM (SELECT DISTINCT quarter FROM c WHERE kind = 'edit') q, (VALUES ('ptp'), ('mue')) e(edit), (VALUES ('practitioner'), ('outpatient'), ('dme')) s(service) WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.kind = 'edit' AND c.quarter = q.quarter AND c.edit = e.edit AND c.service = s.service)",
     "revision_plan": _FILES + ", h AS (SELECT quarter, edit, service, MAX(revision) AS have FROM c WHERE kind = 'edit' AND quarter < '1998Q1' AND revision < 2 GROUP BY ALL), p AS (SELECT c.*, have, ROW_NUMBER() OVER (PARTITION BY quarter, edit, service ORDER BY revision DESC, path) AS rk FROM c LEFT JOIN h USING (quarter, edit, service) WHERE kind = 'edit') SELECT path, edit, service, quarter, revision, kind, CASE WHEN rk > 1 THEN 'superseded' WHEN have IS NULL THEN 'load' WHEN revision > have THEN 'replace' ELSE 'skipped_exists' END AS status FROM p",
     "missing_quarters": _FILES + ", l AS (SELECT DISTINCT quarter FROM c WHERE kind = 'edit' AND edit = 'ptp' AND service = 'dme' AND revision = 2), r AS (SELECT UNNEST(RANGE((SELECT MIN(CAST(quarter[1:4] AS INTEGER) * 4 + CAST(quarter[6:6] AS INTEGER) - 1) FROM l), 2001 * 4 + 4)) AS i) SELECT (i // 4) || 'Q' || (i % 4 + 1) AS quarter FROM r WHERE (i // 4) || 'Q' || (i % 4 + 1) NOT IN (SELECT quarter FROM l)",
     "load_baseline": _FILES + ", g AS (SELECT edit, service, quarter, COUNT(*) AS rows FROM c WHERE kind = 'edit' GROUP BY ALL), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY edit, service ORDER BY quarter DESC) AS rk FROM g) SELECT edit, service, quarter, rows FROM k WHERE rk = 1",

@@ -104,7 +104,7 @@ def member_fanout(spark: SparkSession, d: str) -> DataFrame:
 
 
 #: Few enough strong pairs that the billers fall into several groups.
-STRONG = replace(CFG, pmi_min=2.0)
+STRONG = replace(CFG, pmi_min=0.6)
 
 
 def connected_components(spark: SparkSession, d: str) -> DataFrame:
@@ -414,7 +414,9 @@ def duplicate_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quarter_completeness(spark: SparkSession, d: str) -> DataFrame:
-    return editfiles.quarter_completeness(editfiles.classify(_files(spark, d)))
+    """Of files among which fourth quarters lack one kind and service."""
+    f = editfiles.classify(_files(spark, d))
+    return editfiles.quarter_completeness(f.where("kind <> 'edit' or not (edit = 'mue' and service = 'dme' and quarter like '%Q4')"))
 
 
 def revision_plan(spark: SparkSession, d: str) -> DataFrame:
