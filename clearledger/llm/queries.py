@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, language, linededup, mixing, neardup, pieces, quality, toxicity, vectors, warc
+from . import chat, forest, language, linededup, merkle, mixing, neardup, pieces, quality, spelling, toxicity, vectors, warc
 from .common import fold, scratch, small_batches
 
 
@@ -76,9 +76,23 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.token_digests(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_warc, op2_quality_rules, op3_hnsw, op4_toxicity, op5_line_dedup, op6_language_id, op7_minhash, op8_chat_format, op9_mixing, op10_sentencepiece)
-}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_hash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors_ = table(spark, sf_dir, "embeddings")
+    return forest.nearest(vectors_.where(F.col("vec_id") % 50 == 0), vectors_)[0]
+
+
+ALL = (
+    op1_warc, op2_quality_rules, op3_hnsw, op4_toxicity, op5_line_dedup, op6_language_id, op7_minhash, op8_chat_format, op9_mixing, op10_sentencepiece, op11_merkle, op12_spelling, op13_hash_forest,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in ALL}
 ORACLES: dict[str, str] = {
     "op1_warc": """
 WITH p AS (SELECT page_id, COALESCE(html, '') AS html, CAST(STRLEN(COALESCE(html, '')) AS BIGINT) AS payload_bytes, SHA256(COALESCE(html, '')) AS payload_digest FROM pages),
@@ -91,4 +105,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'r
     "op7_minhash": neardup.NEAR_SQL,
     "op8_chat_format": chat.CHAT_SQL,
     "op9_mixing": mixing.MIX_SQL,
+    "op11_merkle": merkle.MERKLE_SQL,
+    "op12_spelling": spelling.SPELLING_SQL,
+    "op13_hash_forest": forest.FOREST_SQL,
 }
