@@ -21,8 +21,10 @@ CLAIMS = _schema(
 #: One row per entity, rule and grain.
 HITS = _schema(
     "entity_id:long entity_type:string rule_id:string family:string tier:int title:string severity:double metric:double detail:string "
-    "hit_dollars:double member_id:long cos:string evidence_keys:string line_keys:strings"
+    "hit_dollars:double member_id:long cos:string hit_id:string n_lines:long first_keys:strings evidence_keys:string"
 )
+#: One row per hit and claim line.
+HIT_LINES = _schema("hit_id:string line_id:string")
 QUEUE = _schema(
     "entity_id:long entity_type:string n_hits:long distinct_rules:long rules:string risk_score:double dollars_at_risk:double lines_flagged:long members_flagged:long "
     "member_days_flagged:long dollars_incl_untrusted:double independent_families:int families:string has_tier1_family:boolean total_paid:double n_claims:long n_members:long "

@@ -22,13 +22,13 @@ def quantile(column: str, p: float, exact: bool = True, accuracy: int = 10_000)
 
 
 def minutes_per_unit(description: Column) -> Column:
-    """Minutes that one unit stands for, read from a procedure's description; null if it is not billed by time."""
+    """Minutes that one unit stands for, read from a procedure's description; null if it is not billed by time. A number of any length is read."""
     d, unit = F.upper(description), r"(?:PER|UP TO|EACH)\s+"
     minutes, hours = unit + r"(\d+)\s*MINUTE", unit + r"(\d+)\s*HOUR"
     return (
-        F.when(d.rlike(minutes), F.regexp_extract(d, minutes, 1).cast("int"))
-        .when(d.rlike(hours), F.regexp_extract(d, hours, 1).cast("int") * 60)
-        .when(d.rlike(unit + "HOUR"), F.lit(60))
+        F.when(d.rlike(minutes), F.regexp_extract(d, minutes, 1).try_cast("double"))
+        .when(d.rlike(hours), F.regexp_extract(d, hours, 1).try_cast("double") * 60)
+        .when(d.rlike(unit + "HOUR"), F.lit(60.0))
     )
 
 

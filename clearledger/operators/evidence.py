@@ -41,13 +41,21 @@ def provider_names(names: DataFrame) -> DataFrame:
 
 
 def rule_stats(hits: DataFrame) -> DataFrame:
-    """Per entity and rule: occasions, members, peak, and the first five distinct keys by dollars."""
-    by_dollars = F.transform(F.sort_array(F.collect_list(F.struct((-F.col("hit_dollars")).alias("d"), F.concat_ws("|", F.slice("line_keys", 1, 5)).alias("k"), F.slice("line_keys", 1, 5).alias("keys")))), lambda x: x["keys"])
-    return hits.groupBy(*ENTITY, "rule_id", "family").agg(
-        F.count("*").alias("occasions"), F.countDistinct("member_id").alias("members"), F.max("metric").alias("peak"), F.slice(F.array_distinct(F.flatten(by_dollars)), 1, 5).alias("example_keys"),
+    """Per entity and rule: occasions, members, peak, and the first five distinct keys by dollars.
+
+    Five hits hold the first five keys, since the hits of a rule share no lines; they are ranked with a limit before the shuffle.
+    """
+    keys = [*ENTITY, "rule_id", "family"]
+    first = F.slice("first_keys", 1, 5)
+    order = W.partitionBy(*keys).orderBy(F.desc_nulls_last("hit_dollars"), F.concat_ws("|", first))
+    top = hits.select(*keys, first.alias("first"), F.row_number().over(order).alias("rk")).where("rk <= 5")
+    examples = top.groupBy(*keys).agg(F.slice(F.array_distinct(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("rk", "first"))), lambda x: x["first"]))), 1, 5).alias("example_keys"))
+    counts = hits.groupBy(*keys).agg(
+        F.count("*").alias("occasions"), F.countDistinct("member_id").alias("members"), F.max("metric").alias("peak"),
         F.sum(F.when(F.col("detail").isin("price", "price_and_stacked"), 1).otherwise(0)).alias("by_price"), F.sum(F.when(F.col("detail").isin("stacked", "price_and_stacked"), 1).otherwise(0)).alias("by_lines"),
         F.sum(F.when(F.col("detail").contains("one code alone"), 1).otherwise(0)).alias("single_code_days"),
     )
+    return counts.join(examples, keys)
 
 
 def _text(which: int) -> Column:

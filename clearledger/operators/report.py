@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.expressions import money, ratio, share_over
-from ..functions.ranks import percent_rank
+from ..functions.orderstats import with_percent_rank
+from ..functions.scratch import materialise
 from .patterns import cookie_cutter, repeat_packages
 
 OTHER = {"servicing_id": "billing_id", "billing_id": "servicing_id"}
@@ -76,9 +77,10 @@ def outlier_clinicians(lines: DataFrame, times: float = 2.0) -> DataFrame:
 
 def percent_ranks(volume: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """percent_rank times 100 of each column among all entities; keys before the last one partition."""
-    by = keys[:-1]
-    base = volume if by else volume.withColumn("_all", F.lit(0))
-    return base.select(*keys, *[percent_rank(c, by or ["_all"]).alias(f"rank_{c}") for c in columns])
+    ranked = materialise(volume.select(*keys, *columns), "volume")
+    for c in columns:
+        ranked = with_percent_rank(ranked, c, keys[:-1], f"rank_{c}")
+    return ranked.select(*keys, *[f"rank_{c}" for c in columns])
 
 
 def code_profile(lines: DataFrame, key: str, cfg: Config) -> DataFrame:

@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.expressions import money
+from ..functions.scratch import materialise
+from .rules import Found
 
 ENTITY = ["entity_id", "entity_type"]
 
 
-def flagged_lines(hits: DataFrame, paid: DataFrame) -> DataFrame:
+def flagged_lines(what: Found, paid: DataFrame) -> DataFrame:
     """One row per entity, rule and claim line."""
     info = paid.select("line_id", "paid", "member_id", "svc_dt", "billing_id", "servicing_id")
-    return hits.select(*ENTITY, "rule_id", "family", "tier", F.explode("line_keys").alias("line_id")).distinct().join(info, "line_id")
+    named = what.lines.join(what.hits.select("hit_id", *ENTITY, "rule_id", "family", "tier"), "hit_id").drop("hit_id")
+    return named.distinct().join(info, "line_id")
 
 
 def _trusted(cfg: Config) -> Column:
@@ -85,9 +88,9 @@ def role_context(paid: DataFrame) -> DataFrame:
     return each.groupBy(*ENTITY).agg(money("paid").alias("total_paid"), F.count("*").alias("n_claims"), F.countDistinct("member_id").alias("n_members"), F.max("svc_dt").alias("last_svc_dt"))
 
 
-def queue(hits: DataFrame, paid: DataFrame, cfg: Config) -> DataFrame:
+def queue(what: Found, paid: DataFrame, cfg: Config) -> DataFrame:
     """One row per flagged entity, best first. total_paid stays null where the entity has none, and so does its share."""
-    lines = flagged_lines(hits, paid)
+    hits, lines = what.hits, materialise(flagged_lines(what, paid), "flagged_lines")
     parts = [risk_score(hits, cfg), dollars_at_risk(lines, cfg), independent_families(lines, cfg), role_context(paid)]
     q = reduce(lambda a, b: a.join(b, ENTITY, "left"), parts, hit_summary(hits))
     q = q.na.fill({"risk_score": 0.0, "dollars_at_risk": 0.0, "lines_flagged": 0, "members_flagged": 0, "member_days_flagged": 0, "dollars_incl_untrusted": 0.0, "independent_families": 0, "families": "", "has_tier1_family": False})
@@ -109,9 +112,9 @@ def tier_mix(q: DataFrame) -> DataFrame:
     return q.groupBy("entity_type", "tier_label").agg(F.count("*").alias("entities"))
 
 
-def invariants(q: DataFrame, hits: DataFrame, paid: DataFrame, cfg: Config) -> DataFrame:
+def invariants(q: DataFrame, what: Found, paid: DataFrame, cfg: Config) -> DataFrame:
     """(check, violations): all must be 0 on any data."""
-    lines = flagged_lines(hits, paid)
+    hits, lines = what.hits, flagged_lines(what, paid)
     owner = F.when(F.col("entity_type") == "billing", F.col("billing_id")).otherwise(F.col("servicing_id"))
     count = lambda df, name, bad=None: (df if bad is None else df.where(bad)).agg(F.count("*").alias("violations")).select(F.lit(name).alias("check"), "violations")
     many = lambda df, keys: df.groupBy(*keys).agg(F.count("*").alias("_n")).where("_n > 1")
@@ -131,9 +134,9 @@ def invariants(q: DataFrame, hits: DataFrame, paid: DataFrame, cfg: Config) -> D
     return reduce(DataFrame.unionByName, checks)
 
 
-def check(q: DataFrame, hits: DataFrame, paid: DataFrame, cfg: Config) -> None:
+def check(q: DataFrame, what: Found, paid: DataFrame, cfg: Config) -> None:
     """Raise if an invariant fails (eight rows are read)."""
-    if bad := invariants(q, hits, paid, cfg).where("violations > 0").collect():
+    if bad := invariants(q, what, paid, cfg).where("violations > 0").collect():
         raise AssertionError("; ".join(f"{r.check}: {r.violations}" for r in bad))
 
 

@@ -5,12 +5,16 @@ from __future__ import annotations
 
 def _claims(dense: bool) -> str:
     member, biller, unit = ("o_custkey % 60", "l_suppkey % 25", "month") if dense else ("o_custkey", "l_suppkey", "week")
-    return f"""claims AS (SELECT CONCAT_WS('-', l_orderkey, l_linenumber, l_suppkey, l_partkey, CAST(l_shipdate AS DATE)) AS line_id, l_orderkey AS claim_id, {member} AS member_id, {biller} AS billing_id,
+    texts = "'CARE, PER 15 MINUTES', 'Care, each 15 minutes', 'AIDE, UP TO 15 MINUTES', 'HABILITATION, PER HOUR', 'VISIT', 'OBSERVATION 24 HOUR STAY', 'NURSING, EACH 2 HOURS', 'MINI-BUS TRIP, PER 15 MIN', 'THERAPY, UP TO 1 HOUR', 'SESSION, EACH HOUR'"
+    per = r"(?:PER|UP TO|EACH)\s+"
+    read = lambda unit: f"TRY_CAST(REGEXP_EXTRACT(UPPER(code_desc), '{per}(\\d+)\\s*{unit}', 1) AS DOUBLE)"
+    return f"""claims AS (SELECT *, CASE WHEN REGEXP_MATCHES(UPPER(code_desc), '{per}\\d+\\s*MINUTE') THEN {read("MINUTE")} WHEN REGEXP_MATCHES(UPPER(code_desc), '{per}\\d+\\s*HOUR') THEN {read("HOUR")} * 60 WHEN REGEXP_MATCHES(UPPER(code_desc), '{per}HOUR') THEN 60.0 END AS unit,
+  REGEXP_MATCHES(UPPER(code_desc), 'UP TO\\s+\\d+') AS bounded FROM (SELECT CONCAT_WS('-', l_orderkey, l_linenumber, l_suppkey, l_partkey, CAST(l_shipdate AS DATE)) AS line_id, l_orderkey AS claim_id, {member} AS member_id, {biller} AS billing_id,
   CAST(CASE WHEN l_linenumber = 7 THEN -1 WHEN l_partkey % 4 = 0 THEN l_suppkey % 25 WHEN l_partkey % 4 = 1 THEN (l_suppkey * l_suppkey) % 25 ELSE l_suppkey % 25 + 25 * (1 + l_partkey % (1 + l_suppkey % 9)) END AS BIGINT) AS servicing_id,
-  p_brand AS code, p_type AS cos, CASE p_type WHEN 'ECONOMY' THEN 15 WHEN 'SMALL' THEN 15 WHEN 'LARGE' THEN 60 END AS unit, p_type = 'SMALL' AS bounded, l_quantity AS qty, l_extendedprice AS paid,
+  p_brand AS code, p_type AS cos, CASE WHEN p_partkey % 500 = 7 THEN 'SUPPLY, PER 99999999999 MINUTES' ELSE [{texts}][p_partkey % 10 + 1] END AS code_desc, l_quantity AS qty, l_extendedprice AS paid,
   CAST(DATE_TRUNC('{unit}', l_shipdate) AS DATE) AS svc_dt, CAST(s_nationkey AS BIGINT) AS tax_id, CASE WHEN o_orderpriority = '5-LOW' THEN 'MSP' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END AS lob,
   CASE WHEN l_linenumber = 6 THEN 'HQ' END AS mod1, CASE WHEN l_returnflag = 'R' THEN 'V' ELSE 'A' END AS status
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey)"""
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey))"""
 
 
 def _paid(dense: bool = True) -> str:
@@ -24,11 +28,19 @@ def _money(x: str) -> str:
 
 _KEYS = "LIST_SORT(LIST_DISTINCT(LIST(line_id)))"
 FAMILY = {"R1": "intensity", "R2": "intensity", "R3": "transport", "R4": "member_brokering", "R5": "facility_pricing", "R6": "duplicate_payment", "R7": "intensity", "R8A": "provider_identity", "R8B": "provider_identity", "R9": "duplicate_payment", "R10": "role"}
+TITLE = {
+    "R1": "More timed service for a member than a day can hold", "R2": "Units per member-day far above peers", "R3": "Transport without a service around that day", "R4": "Members with unusually many billers", "R5": "Outpatient facility encounter far above peers",
+    "R6": "Same service on several claims", "R7": "Claim lines per member-day far above peers", "R8A": "Many renderers for one member under one biller", "R8B": "Renderer under many billers", "R9": "Same service paid to several billers", "R10": "Provider in a role it should not hold",
+}
+#: Ties at one decimal place go up, as in the other engine.
+_PART = "code || ' ' || FORMAT('{:.1f}', ROUND(minutes / 60, 1)) || 'h'"
+_R1_TEXT = "CONCAT_WS('; ', ARRAY_TO_STRING(parts, ' + '), CASE WHEN codes > 1 THEN 'several codes together' END, CASE WHEN bounded THEN 'some units are upper bounds' END, CASE WHEN exact > 1440 THEN 'one code alone passes the limit' END)"
+_R5_TEXT = "CASE WHEN z > 1.2 AND n > GREATEST(many, 1) THEN 'price_and_stacked' WHEN z > 1.2 THEN 'price' ELSE 'stacked' END"
 
 
-def _hit(rule: str, source: str, severity: str, metric: str, tier: str = "2", member: str = "member_id", cos: str = "'(cross-COS)'", entity: str = "billing_id", kind: str = "'billing'") -> str:
+def _hit(rule: str, source: str, severity: str, metric: str, tier: str = "2", member: str = "member_id", cos: str = "'(cross-COS)'", entity: str = "billing_id", kind: str = "'billing'", detail: str = "CAST(NULL AS VARCHAR)") -> str:
     return f"""SELECT CAST({entity} AS BIGINT) AS entity_id, {kind} AS entity_type, '{rule}' AS rule_id, '{FAMILY[rule]}' AS family, CAST({tier} AS INTEGER) AS tier, ROUND(CAST({severity} AS DOUBLE), 3) AS severity,
-  CAST({metric} AS DOUBLE) AS metric, ROUND(dollars, 2) AS hit_dollars, CAST({member} AS BIGINT) AS member_id, {cos} AS cos, line_keys FROM {source} WHERE {entity} <> -1"""
+  CAST({metric} AS DOUBLE) AS metric, ROUND(dollars, 2) AS hit_dollars, CAST({member} AS BIGINT) AS member_id, {cos} AS cos, '{TITLE[rule]}' AS title, {detail} AS detail, line_keys FROM {source} WHERE {entity} <> -1"""
 
 
 def _group(name: str, keys: str, more: str, where: str = "TRUE", source: str = "paid") -> str:
@@ -39,8 +51,8 @@ def _group(name: str, keys: str, more: str, where: str = "TRUE", source: str = "
 RULES: dict[str, tuple[str, str]] = {
     "R1": (
         f"""c1 AS (SELECT billing_id, member_id, svc_dt, code, SUM(qty * unit) AS minutes, MAX(bounded) AS bounded, {_money("paid")} AS dollars, LIST(DISTINCT cos) AS cs, LIST(line_id) AS ks FROM paid WHERE unit IS NOT NULL GROUP BY ALL),
-g1 AS (SELECT billing_id, member_id, svc_dt, SUM(minutes) AS minutes, MAX(minutes) FILTER (NOT bounded) AS exact, {_money("dollars")} AS dollars, ARRAY_TO_STRING(LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(cs)))), ', ') AS cos, LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(ks)))) AS line_keys FROM c1 GROUP BY ALL HAVING SUM(minutes) > 1440)""",
-        _hit("R1", "g1", "minutes / 1440", "minutes / 60", "CASE WHEN exact > 1440 THEN 1 ELSE 2 END", cos="cos"),
+g1 AS (SELECT billing_id, member_id, svc_dt, LIST_SORT(LIST({_PART})) AS parts, COUNT(*) AS codes, MAX(bounded) AS bounded, SUM(minutes) AS minutes, MAX(minutes) FILTER (NOT bounded) AS exact, {_money("dollars")} AS dollars, ARRAY_TO_STRING(LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(cs)))), ', ') AS cos, LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(ks)))) AS line_keys FROM c1 GROUP BY ALL HAVING SUM(minutes) > 1440)""",
+        _hit("R1", "g1", "minutes / 1440", "minutes / 60", "CASE WHEN exact > 1440 THEN 1 ELSE 2 END", cos="cos", detail=_R1_TEXT),
     ),
     "R2": (
         _group("g2", "cos, billing_id, member_id, svc_dt", "SUM(qty) AS units") + ", p2 AS (SELECT cos, QUANTILE_CONT(units, 0.995) AS cut, QUANTILE_CONT(units, 0.5) AS med FROM g2 GROUP BY cos), h2 AS (SELECT * FROM g2 JOIN p2 USING (cos) WHERE units > cut AND units >= 2)",
@@ -60,7 +72,7 @@ g1 AS (SELECT billing_id, member_id, svc_dt, SUM(minutes) AS minutes, MAX(minute
     "R5": (
         _group("g5", "billing_id, claim_id, member_id", "COUNT(*) AS n", "cos = 'PROMO'")
         + ", m5 AS (SELECT QUANTILE_CONT(dollars, 0.5) AS med, QUANTILE_CONT(n, 0.995) AS many FROM g5), d5 AS (SELECT QUANTILE_CONT(ABS(dollars - med), 0.5) AS mad FROM g5, m5), z5 AS (SELECT *, 0.6745 * (dollars - med) / CASE WHEN mad = 0 THEN 1e-9 ELSE mad END AS z FROM g5, m5, d5), h5 AS (SELECT * FROM z5 WHERE z > 1.2 OR n > GREATEST(many, 1))",
-        _hit("R5", "h5", "GREATEST(z, n)", "dollars", cos="'PROMO'"),
+        _hit("R5", "h5", "GREATEST(z, n)", "dollars", cos="'PROMO'", detail=_R5_TEXT),
     ),
     "R6": (_group("g6", "member_id, billing_id, code, svc_dt, cos", "COUNT(*) AS n, COUNT(DISTINCT claim_id) AS claims_", "paid > 0") + ", h6 AS (SELECT * FROM g6 WHERE claims_ > 1)", _hit("R6", "h6", "n", "n", "1", cos="cos")),
     "R7": (_group("g7", "svc_dt, member_id, billing_id, cos", "COUNT(*) AS n") + ", h7 AS (SELECT * FROM g7 WHERE n > (SELECT QUANTILE_CONT(n, 0.995) FROM g7))", _hit("R7", "h7", "n", "n", "3", cos="cos")),
@@ -79,7 +91,7 @@ g1 AS (SELECT billing_id, member_id, svc_dt, SUM(minutes) AS minutes, MAX(minute
         _hit("R10", "g10", "n", "n", "1", cos="cos", entity="provider", kind="seen"),
     ),
 }
-_HIT_COLUMNS = "entity_id, entity_type, rule_id, family, tier, severity, ROUND(metric, 6) AS metric, hit_dollars, member_id, cos, CAST(LEN(line_keys) AS INTEGER) AS n_lines"
+_HIT_COLUMNS = "entity_id, entity_type, rule_id, family, tier, severity, ROUND(metric, 6) AS metric, hit_dollars, member_id, cos, title, detail, CAST(LEN(line_keys) AS INTEGER) AS n_lines, ARRAY_TO_STRING(line_keys[:20], '|') AS evidence_keys"
 
 
 def _rule(rule: str, dense: bool = True) -> str:
@@ -307,7 +319,11 @@ ORACLES: dict[str, str] = {
     "connected_components": f"{_paid(False)}, {_PAIRS}, e AS (SELECT pa AS a, pb AS b FROM pairs WHERE pmi >= 0.6 UNION SELECT pb, pa FROM pairs WHERE pmi >= 0.6), r AS (SELECT a AS x, a AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a) SELECT x AS id, MIN(y) AS component FROM r GROUP BY x",
     "label_propagation": _spread(0.6), "invariants": QUEUE + " " + _INVARIANTS,
     "provider_names": f"WITH {_claims(True)}, {_NAMES}, c AS (SELECT entity_id, entity_type, name, ptype, COUNT(*) AS n FROM names GROUP BY ALL), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type ORDER BY n DESC, name NULLS FIRST, ptype NULLS FIRST) AS rk FROM c), m AS (SELECT *, MAX(CASE WHEN rk = 1 THEN name END) OVER (PARTITION BY entity_id, entity_type) AS main FROM k) SELECT entity_id, entity_type, MAX(CASE WHEN rk = 1 THEN name END) AS name, MAX(CASE WHEN rk = 1 THEN ptype END) AS ptype, STRING_AGG(DISTINCT name, '; ' ORDER BY name) FILTER (rk > 1 AND name <> main) AS other_names FROM m GROUP BY ALL",
-    "rule_stats": HITS.replace("hits AS (", "hits0 AS (") + ", hits AS (SELECT h.*, CASE WHEN rule_id = 'R5' THEN z.p END AS p, CASE WHEN rule_id = 'R5' THEN z.l END AS l FROM hits0 h LEFT JOIN (SELECT line_keys AS lk, z > 1.2 AS p, n > GREATEST(many, 1) AS l FROM h5) z ON h.rule_id = 'R5' AND h.line_keys = z.lk) SELECT entity_id, entity_type, rule_id, family, COUNT(*) AS occasions, COUNT(DISTINCT member_id) AS members, ROUND(MAX(metric), 6) AS peak, COUNT(*) FILTER (p) AS by_price, COUNT(*) FILTER (l) AS by_lines FROM hits GROUP BY ALL",
+    "rule_stats": HITS + """, keys AS (SELECT entity_id, entity_type, rule_id, family, UNNEST(line_keys[:5]) AS key, UNNEST(RANGE(LEN(line_keys[:5]))) AS i, hit_dollars, ARRAY_TO_STRING(line_keys[:5], '|') AS k FROM hits),
+firsts AS (SELECT * EXCLUDE (key), key FROM keys QUALIFY ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type, rule_id, family ORDER BY hit_dollars DESC, k, i) <= 5),
+ex AS (SELECT entity_id, entity_type, rule_id, family, STRING_AGG(key, ',' ORDER BY hit_dollars DESC, k, i) AS example_keys FROM firsts GROUP BY ALL)
+SELECT entity_id, entity_type, rule_id, family, COUNT(*) AS occasions, COUNT(DISTINCT member_id) AS members, ROUND(MAX(metric), 6) AS peak, COUNT(*) FILTER (rule_id = 'R5' AND detail LIKE 'price%') AS by_price, COUNT(*) FILTER (rule_id = 'R5' AND detail LIKE '%stacked') AS by_lines,
+  COUNT(*) FILTER (detail LIKE '%one code alone%') AS single_code_days, ANY_VALUE(example_keys) AS example_keys FROM hits JOIN ex USING (entity_id, entity_type, rule_id, family) GROUP BY ALL""",
     "drill_down": LINES + " SELECT l.rule_id, l.family, l.tier, l.line_id, p.svc_dt, p.member_id, code, cos, qty, p.paid, claim_id FROM lines l JOIN paid p USING (line_id) WHERE entity_id = 3 AND entity_type = 'billing'",
     "clinician_day": DAYS + " SELECT * REPLACE (ROUND(r24, 6) AS r24, ROUND(rcap, 6) AS rcap) FROM days",
     "line_exposure": DAYS + " SELECT * REPLACE (ROUND(over24, 6) AS over24, ROUND(overcap, 6) AS overcap) FROM x",

@@ -31,16 +31,21 @@ def paid(spark: SparkSession, d: str, dense: bool = True) -> DataFrame:
     return prep(claims_view(spark, d, dense), CFG)
 
 
-def all_hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Prepared dense claims and the hits of all rules on them, written once."""
+def all_hits(spark: SparkSession, d: str) -> tuple[DataFrame, rules.Found]:
+    """Prepared dense claims and what all rules find on them, written once."""
     p = materialise(paid(spark, d), "paid")
-    return p, materialise(restrict_to_detection(rules.run_rules(p, CFG), p), "hits")
+    what = rules.run_rules(p, CFG)
+    return p, rules.Found(materialise(restrict_to_detection(what.hits, p), "hits"), what.lines)
+
+
+def _shown(what: rules.Found) -> DataFrame:
+    h = rules.with_evidence(what, CFG).hits
+    return rounded(h.select("entity_id", "entity_type", "rule_id", "family", "tier", "title", "severity", "metric", "detail", "hit_dollars", "member_id", "cos", F.col("n_lines").cast("int").alias("n_lines"), "evidence_keys"))
 
 
 def _rule(name: str, dense: bool = True) -> Query:
     def run(spark: SparkSession, d: str) -> DataFrame:
-        h = rules.RULES[name](paid(spark, d, dense), CFG)
-        return rounded(h.select("entity_id", "entity_type", "rule_id", "family", "tier", "severity", "metric", "hit_dollars", "member_id", "cos", F.size("line_keys").alias("n_lines")))
+        return _shown(rules.RULES[name](materialise(paid(spark, d, dense), "paid"), CFG))
 
     return run
 
@@ -49,8 +54,7 @@ def r10_role(spark: SparkSession, d: str) -> DataFrame:
     """Every third supplier is expected to bill only, the others to render only."""
     p = paid(spark, d)
     ref = spark.read.parquet(f"{d}/supplier.parquet").select(F.col("s_suppkey").alias("provider_key"), F.when(F.col("s_suppkey") % 3 == 0, " Billing").otherwise("servicing ").alias("expected_role"))
-    h = rules.role_contradiction(p, CFG, ref)
-    return rounded(h.select("entity_id", "entity_type", "rule_id", "family", "tier", "severity", "metric", "hit_dollars", "member_id", "cos", F.size("line_keys").alias("n_lines")))
+    return _shown(rules.role_contradiction(p, CFG, ref))
 
 
 def flagged_lines(spark: SparkSession, d: str) -> DataFrame:
@@ -64,7 +68,7 @@ def dollars_at_risk(spark: SparkSession, d: str) -> DataFrame:
 
 
 def risk_score(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(scoring.risk_score(all_hits(spark, d)[1], CFG))
+    return rounded(scoring.risk_score(all_hits(spark, d)[1].hits, CFG))
 
 
 def provider_context(spark: SparkSession, d: str) -> DataFrame:
@@ -87,7 +91,7 @@ def tier_mix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hits_per_rule(spark: SparkSession, d: str) -> DataFrame:
-    return rules.hits_per_rule(all_hits(spark, d)[1], CFG)
+    return rules.hits_per_rule(all_hits(spark, d)[1].hits, CFG)
 
 
 def invariants(spark: SparkSession, d: str) -> DataFrame:
@@ -127,28 +131,28 @@ def provider_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rule_stats(spark: SparkSession, d: str) -> DataFrame:
-    return rounded(evidence.rule_stats(all_hits(spark, d)[1]).select("entity_id", "entity_type", "rule_id", "family", "occasions", "members", "peak", "by_price", "by_lines"))
+    return rounded(evidence.rule_stats(all_hits(spark, d)[1].hits))
 
 
 def case_leads(spark: SparkSession, d: str) -> DataFrame:
     p, h = all_hits(spark, d)
-    return evidence.case_leads(materialise(scoring.queue(h, p, CFG), "queue"), h, evidence.provider_names(_names(spark, d)))
+    return evidence.case_leads(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, evidence.provider_names(_names(spark, d)))
 
 
 def reasons(spark: SparkSession, d: str) -> DataFrame:
     p, h = all_hits(spark, d)
-    return evidence.queue_with_reasons(materialise(scoring.queue(h, p, CFG), "queue"), h, evidence.provider_names(_names(spark, d)))
+    return evidence.queue_with_reasons(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, evidence.provider_names(_names(spark, d)))
 
 
 def check_leads(spark: SparkSession, d: str) -> DataFrame:
     p, h = all_hits(spark, d)
     q = materialise(scoring.queue(h, p, CFG), "queue")
-    return evidence.check_leads(evidence.case_leads(q, h), q, evidence.queue_with_reasons(q, h))
+    return evidence.check_leads(evidence.case_leads(q, h.hits), q, evidence.queue_with_reasons(q, h.hits))
 
 
 def evidence_cards(spark: SparkSession, d: str) -> DataFrame:
     p, h = all_hits(spark, d)
-    return evidence.evidence_cards(materialise(scoring.queue(h, p, CFG), "queue"), h, CFG).select("entity_id", "entity_type", "tier_label", "card")
+    return evidence.evidence_cards(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, CFG).select("entity_id", "entity_type", "tier_label", "card")
 
 
 def drill_down(spark: SparkSession, d: str) -> DataFrame:

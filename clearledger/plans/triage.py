@@ -27,10 +27,12 @@ class Triage:
 def triage(claims: DataFrame, cfg: Config, roles: DataFrame | None = None, names: DataFrame | None = None, strict: bool = True) -> Triage:
     """Prepared claims and hits are written once, since every later part reads them; invariants are checked if strict."""
     paid = materialise(prep(claims, cfg), "paid")
-    hits = materialise(restrict_to_detection(rules.run_rules(paid, cfg, roles=roles), paid), "hits")
-    q = materialise(scoring.queue(hits, paid, cfg), "queue")
+    what = rules.run_rules(paid, cfg, roles=roles)
+    hits = materialise(restrict_to_detection(what.hits, paid), "hits")
+    what = rules.Found(hits, what.lines)
+    q = materialise(scoring.queue(what, paid, cfg), "queue")
     if strict:
-        scoring.check(q, hits, paid, cfg)
+        scoring.check(q, what, paid, cfg)
     return Triage(
-        paid, hits, scoring.in_queue_order(q), scoring.flagged_lines(hits, paid), graph.biller_pairs(paid, cfg), evidence.case_leads(q, hits, names), evidence.queue_with_reasons(q, hits, names), evidence.evidence_cards(q, hits, cfg)
+        paid, hits, scoring.in_queue_order(q), scoring.flagged_lines(what, paid), graph.biller_pairs(paid, cfg), evidence.case_leads(q, hits, names), evidence.queue_with_reasons(q, hits, names), evidence.evidence_cards(q, hits, cfg)
     )

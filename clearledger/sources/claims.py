@@ -61,6 +61,12 @@ def from_screen(df: DataFrame) -> DataFrame:
     )
 
 
+#: What the view describes procedures as: timed, bounded and untimed texts.
+DESCRIPTIONS = (
+    "CARE, PER 15 MINUTES", "Care, each 15 minutes", "AIDE, UP TO 15 MINUTES", "HABILITATION, PER HOUR", "VISIT", "OBSERVATION 24 HOUR STAY", "NURSING, EACH 2 HOURS", "MINI-BUS TRIP, PER 15 MIN", "THERAPY, UP TO 1 HOUR", "SESSION, EACH HOUR",
+)
+
+
 def claims_view(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFrame:
     """The test tables as claims. dense: 60 members, 25 billers, monthly dates; else real ids and weekly dates."""
     line, order, part, supp = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "orders", "part", "supplier"))
@@ -73,7 +79,8 @@ def claims_view(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFra
         .when(F.col("l_partkey") % 4 == 1, (F.col("l_suppkey") * F.col("l_suppkey")) % 25)
         .otherwise(biller + 25 * (1 + F.col("l_partkey") % (1 + F.col("l_suppkey") % 9)))
     )
-    described = F.when(F.col("p_type") == "ECONOMY", "CARE, PER 15 MINUTES").when(F.col("p_type") == "SMALL", "AIDE, UP TO 15 MINUTES").when(F.col("p_type") == "LARGE", "HABILITATION, PER HOUR").otherwise("VISIT")
+    texts = F.array(*[F.lit(t) for t in DESCRIPTIONS])
+    described = F.when(F.col("p_partkey") % 500 == 7, "SUPPLY, PER 99999999999 MINUTES").otherwise(F.element_at(texts, (F.col("p_partkey") % len(DESCRIPTIONS) + 1).cast("int")))
     payer = F.when(F.col("o_orderpriority") == "5-LOW", "MSP").when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None)).otherwise(F.col("o_orderpriority"))
     return j.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.col("l_shipdate").cast("date")).alias("line_id"), F.col("l_orderkey").alias("claim_id"),

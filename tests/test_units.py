@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clearledger.config import Config
 from clearledger.contracts import CLAIMS, check_schema
 from clearledger.functions.expressions import minutes_per_unit, ratio, share_over, up_to
-from clearledger.functions.ranks import average_rank, deviation
+from clearledger.functions.orderstats import deviation, percentiles, with_average_rank, with_percent_rank
 from clearledger.functions.scratch import connected_components
 from clearledger.operators import duplicates, evidence, gate, patterns, rules, scoring, screen
 from clearledger.operators.prep import in_windows, prep, service_lines
@@ -44,23 +44,23 @@ def test_prep_window_nulls_and_future(spark):
 
 def test_hours_rule_tiers_and_spans(spark):
     rows = [{"qty": 100.0}, {"member_id": 2, "qty": 60.0}, {"member_id": 2, "qty": 60.0, "code": "T2"}, {"member_id": 3, "qty": 100.0, "svc_end": dt.date(2001, 5, 3)}, {"member_id": 4, "qty": 100.0, "code_desc": "UP TO 15 MINUTES"}, {"member_id": 5, "qty": 500.0, "billing_id": -1}]
-    got = {r.member_id: r for r in rules.impossible_hours(prep(claims(spark, *rows), Config()), Config()).collect()}
+    got = {r.member_id: r for r in rules.with_evidence(rules.impossible_hours(prep(claims(spark, *rows), Config()), Config()), Config()).hits.collect()}
     assert sorted(got) == [1, 2, 4] and got[1].tier == 1 and got[2].tier == 2 and got[4].tier == 2
-    assert got[1].severity == round(1500 / 1440, 3) and got[2].line_keys == ["l1", "l2"] and "several codes" in got[2].detail
+    assert got[1].severity == round(1500 / 1440, 3) and got[2].first_keys == ["l1", "l2"] and got[2].evidence_keys == "l1|l2" and got[2].n_lines == 2 and "several codes" in got[2].detail
 
 
 def test_transport_within_a_day(spark):
     t = {"cos": "NON-EMERGENCY TRANSPORTATION"}
     rows = [t | {"member_id": m, "svc_dt": dt.date(2001, 5, 10)} for m in range(1, 9)] + [{"member_id": m, "svc_dt": dt.date(2001, 5, 11)} for m in range(1, 8)] + [{"member_id": 8, "svc_dt": dt.date(2001, 5, 12)}]
-    got = rules.unanchored_transport(prep(claims(spark, *rows), Config()), Config()).collect()
+    got = rules.unanchored_transport(prep(claims(spark, *rows), Config()), Config()).hits.collect()
     assert [r.member_id for r in got] == [8]
     none = rules.unanchored_transport(prep(claims(spark, *rows[:8]), Config()), Config())  # all trips alone: too common to mean anything
-    assert none.isEmpty()
+    assert none.hits.isEmpty() and none.lines.isEmpty()
 
 
 def test_cross_biller_keeps_lines_without_payer(spark):
     rows = [{"billing_id": 10}, {"billing_id": 11, "paid": 7.0}, {"billing_id": 12, "lob": "MSP"}, {"billing_id": 10, "qty": 2.0}]
-    got = {r.entity_id: r.hit_dollars for r in rules.cross_biller(prep(claims(spark, *rows), Config()), Config()).collect()}
+    got = {r.entity_id: r.hit_dollars for r in rules.cross_biller(prep(claims(spark, *rows), Config()), Config()).hits.collect()}
     assert got == {10: 10.0, 11: 7.0}
 
 
@@ -93,7 +93,7 @@ def test_fold_matches_plain_version(spark):
 
 def test_average_rank_matches_pandas(spark):
     v = [3.0, 1.0, 3.0, None, 2.0, 3.0]
-    got = spark.createDataFrame(list(enumerate(v)), "i int, v double").withColumn("g", F.lit(1)).withColumn("r", average_rank("v", ["g"])).orderBy("i").toPandas()["r"]
+    got = spark.createDataFrame(list(enumerate(v)), "i int, v double").withColumn("g", F.lit(1)).transform(lambda d: with_average_rank(d, "v", ["g"], "r")).orderBy("i").toPandas()["r"]
     assert got.round(9).tolist()[:3] == pd.Series(v).rank(pct=True).round(9).tolist()[:3] and pd.isna(got[3])
 
 
