@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.expressions import lob_allowed, money
+from ..functions.pairs import pairs
 
 SERVICE = ["member_id", "code", "svc_dt"]
 
@@ -39,14 +40,17 @@ def duplicate_groups(per_biller: DataFrame) -> DataFrame:
 
 
 def duplicate_pairs(per_biller: DataFrame, groups: DataFrame) -> DataFrame:
-    """By pair of billers: services, those with equal units, members, and the lesser and both payments."""
+    """By pair of billers: services, those with equal units, members, and the lesser and both payments, most dollars first.
+
+    A service that very many billers were paid for is paired block by block (functions/pairs.py).
+    """
     own = per_biller.join(groups.select(*SERVICE, "same_units"), SERVICE)
-    side = lambda x: own.select(*SERVICE, *(["same_units"] if x == "a" else []), F.col("billing_id").alias(f"biller_{x}"), F.col("paid").alias(f"paid_{x}"))
-    pairs = side("a").join(side("b"), SERVICE).where("biller_a < biller_b")
-    return pairs.groupBy("biller_a", "biller_b").agg(
-        F.count("*").alias("services"), F.sum(F.col("same_units").cast("long")).alias("services_same_units"), F.countDistinct("member_id").alias("members"), money(F.least("paid_a", "paid_b")).alias("possible_duplicate_paid"),
-        money(F.col("paid_a").cast("decimal(18,2)") + F.col("paid_b").cast("decimal(18,2)")).alias("paid_by_both"),
+    met = pairs(own, SERVICE, "billing_id", ["paid", "same_units"])
+    sums = met.groupBy(F.col("a.billing_id").alias("biller_a"), F.col("b.billing_id").alias("biller_b")).agg(
+        F.count("*").alias("services"), F.sum(F.col("a.same_units").cast("long")).alias("services_same_units"), F.countDistinct("member_id").alias("members"), money(F.least("a.paid", "b.paid")).alias("possible_duplicate_paid"),
+        money(F.col("a.paid").cast("decimal(18,2)") + F.col("b.paid").cast("decimal(18,2)")).alias("paid_by_both"),
     )
+    return sums.orderBy(F.desc("possible_duplicate_paid"), "biller_a", "biller_b")
 
 
 def duplicate_involvement(groups: DataFrame) -> DataFrame:
@@ -72,7 +76,7 @@ def self_listed(scope: DataFrame) -> DataFrame:
         F.count("*").alias("lines"), F.sum(F.when(own, 1).otherwise(0)).cast("long").alias("self_lines"), money("paid").alias("paid"), F.coalesce(money(F.when(own, F.col("paid"))), F.lit(0.0)).alias("self_paid")
     )
     g = g.where("self_lines > 0 and self_lines < lines")
-    return g.withColumn("pct_self_lines", F.try_divide(F.col("self_lines") * F.lit(100.0), F.col("lines")))
+    return g.withColumn("pct_self_lines", F.try_divide(F.col("self_lines") * F.lit(100.0), F.col("lines"))).orderBy(F.desc("lines"), "billing_id")
 
 
 def target_duplicates(claims: DataFrame, target_lines: DataFrame, cfg: Config) -> DataFrame:

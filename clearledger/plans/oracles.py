@@ -266,13 +266,13 @@ UNION ALL SELECT 'untrusted rules add no dollars at risk', COUNT(*) FILTER (doll
 UNION ALL SELECT 'flagged dollars are within paid dollars', COUNT(*) FILTER (a > b + 0.01) FROM (SELECT (SELECT COALESCE({_money("paid")}, 0) FROM (SELECT DISTINCT line_id, paid FROM lines WHERE rule_id <> 'R6')) AS a, (SELECT COALESCE({_money("paid")}, 0) FROM paid) AS b)"""
 
 
-def _spread(strong: float, rounds: int = 10) -> str:
-    """Label propagation, a round at a time; in the first a label only falls."""
+def _spread(strong: float, rounds: int = 30) -> str:
+    """Label propagation, a round at a time for even and for odd ids in turn."""
     votes = "SELECT e.id, l.label, ROUND(SUM(pmi), 6) AS w FROM e JOIN lp l ON l.id = e.other GROUP BY ALL"
-    return f"""{_paid(False)}, {_PAIRS}, e AS MATERIALIZED (SELECT pa AS id, pb AS other, pmi FROM pairs WHERE pmi >= {strong} UNION ALL SELECT pb, pa, pmi FROM pairs WHERE pmi >= {strong}),
-lp AS (SELECT 0 AS k, id, id AS label FROM (SELECT DISTINCT id FROM e) UNION ALL SELECT a.k + 1, a.id, CASE WHEN t.w > COALESCE(o.w, 0) THEN CASE WHEN a.k = 0 THEN LEAST(t.label, a.label) ELSE t.label END ELSE a.label END
-  FROM lp a JOIN (SELECT * FROM ({votes}) QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY w DESC, label) = 1) t ON t.id = a.id LEFT JOIN ({votes}) o ON o.id = a.id AND o.label = a.label WHERE a.k < {rounds})
-SELECT id, label AS community FROM lp WHERE k = {rounds}"""
+    return f"""{_paid(False)}, {_PAIRS}, strong AS (SELECT * FROM pairs WHERE pmi >= {strong}), e AS MATERIALIZED (SELECT pa AS id, pb AS other, pmi FROM strong UNION ALL SELECT pb, pa, pmi FROM strong),
+lp AS (SELECT 0 AS k, id, id AS label FROM (SELECT DISTINCT id FROM e) UNION ALL SELECT a.k + 1, a.id, CASE WHEN a.id % 2 = a.k % 2 AND t.w > COALESCE(o.w, 0) THEN t.label ELSE a.label END
+  FROM lp a JOIN (SELECT * FROM ({votes}) QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY w DESC, label) = 1) t ON t.id = a.id LEFT JOIN ({votes}) o ON o.id = a.id AND o.label = a.label WHERE a.k < {rounds}),
+settled AS (SELECT id, label AS community FROM lp WHERE k = {rounds})"""
 
 
 def _dups(where: str) -> str:
@@ -317,7 +317,12 @@ ORACLES: dict[str, str] = {
     "biller_pmi": f"{_paid(False)}, {_PAIRS} SELECT pa, pb, shared, sza, szb, ROUND(pmi, 6) AS pmi, ROUND(jaccard, 6) AS jaccard FROM pairs WHERE pmi >= 0",
     "member_fanout": f"{_paid(False)} SELECT member_id, COUNT(DISTINCT billing_id) AS fanout FROM paid GROUP BY member_id",
     "connected_components": f"{_paid(False)}, {_PAIRS}, e AS (SELECT pa AS a, pb AS b FROM pairs WHERE pmi >= 0.6 UNION SELECT pb, pa FROM pairs WHERE pmi >= 0.6), r AS (SELECT a AS x, a AS y FROM e UNION SELECT r.x, e.b FROM r JOIN e ON r.y = e.a) SELECT x AS id, MIN(y) AS component FROM r GROUP BY x",
-    "label_propagation": _spread(0.6), "invariants": QUEUE + " " + _INVARIANTS,
+    "label_propagation": _spread(0.6) + " SELECT * FROM settled",
+    "modularity": _spread(0.6) + """, w AS (SELECT SUM(pmi) AS m FROM strong), n AS (SELECT s.pmi, a.community AS ca, b.community AS cb FROM strong s JOIN settled a ON a.id = pa JOIN settled b ON b.id = pb),
+g AS (SELECT community, SUM(CASE WHEN ca = cb THEN pmi / 2 ELSE 0 END) AS inside, SUM(pmi) AS degree FROM (SELECT ca AS community, ca, cb, pmi FROM n UNION ALL SELECT cb, ca, cb, pmi FROM n) GROUP BY 1), z AS (SELECT community, COUNT(*) AS members FROM settled GROUP BY 1)
+SELECT community, members, ROUND(inside, 6) AS inside, ROUND(degree, 6) AS degree, ROUND(inside / m - POW(degree / (2 * m), 2), 6) AS modularity FROM g JOIN z USING (community), w""",
+    "top_edges": f"{_paid(False)}, {_PAIRS} SELECT pa, pb, shared, sza, szb, ROUND(pmi, 6) AS pmi, ROUND(jaccard, 6) AS jaccard, CAST(ROW_NUMBER() OVER (ORDER BY pmi DESC, pa, pb) AS INTEGER) AS place FROM pairs WHERE pmi >= 0 QUALIFY place <= 200",
+    "invariants": QUEUE + " " + _INVARIANTS,
     "provider_names": f"WITH {_claims(True)}, {_NAMES}, c AS (SELECT entity_id, entity_type, name, ptype, COUNT(*) AS n FROM names GROUP BY ALL), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type ORDER BY n DESC, name NULLS FIRST, ptype NULLS FIRST) AS rk FROM c), m AS (SELECT *, MAX(CASE WHEN rk = 1 THEN name END) OVER (PARTITION BY entity_id, entity_type) AS main FROM k) SELECT entity_id, entity_type, MAX(CASE WHEN rk = 1 THEN name END) AS name, MAX(CASE WHEN rk = 1 THEN ptype END) AS ptype, STRING_AGG(DISTINCT name, '; ' ORDER BY name) FILTER (rk > 1 AND name <> main) AS other_names FROM m GROUP BY ALL",
     "rule_stats": HITS + """, keys AS (SELECT entity_id, entity_type, rule_id, family, UNNEST(line_keys[:5]) AS key, UNNEST(RANGE(LEN(line_keys[:5]))) AS i, hit_dollars, ARRAY_TO_STRING(line_keys[:5], '|') AS k FROM hits),
 firsts AS (SELECT * EXCLUDE (key), key FROM keys QUALIFY ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type, rule_id, family ORDER BY hit_dollars DESC, k, i) <= 5),

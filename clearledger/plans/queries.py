@@ -116,7 +116,16 @@ def connected_components(spark: SparkSession, d: str) -> DataFrame:
 
 
 def label_propagation(spark: SparkSession, d: str) -> DataFrame:
-    return graph.label_propagation(graph.biller_pairs(paid(spark, d, False), STRONG))
+    return graph.label_propagation(materialise(graph.biller_pairs(paid(spark, d, False), STRONG), "pairs"))
+
+
+def modularity(spark: SparkSession, d: str) -> DataFrame:
+    edges = materialise(graph.biller_pairs(paid(spark, d, False), STRONG), "pairs")
+    return rounded(graph.modularity(edges, graph.label_propagation(edges)))
+
+
+def top_edges(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(graph.top_edges(graph.biller_pairs(paid(spark, d, False), CFG), 200))
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
@@ -474,7 +483,7 @@ RULE_QUERIES: dict[str, Query] = {
     "r8a_renderers": _rule("R8A"), "r8b_billers": _rule("R8B"), "r9_cross_biller": _rule("R9"), "r10_role": r10_role,
 }
 PLAIN = (
-    flagged_lines, dollars_at_risk, risk_score, provider_context, independent_families, queue, tier_mix, hits_per_rule, invariants, biller_pmi, member_fanout, connected_components, label_propagation, provider_names, rule_stats,
+    flagged_lines, dollars_at_risk, risk_score, provider_context, independent_families, queue, tier_mix, hits_per_rule, invariants, biller_pmi, member_fanout, connected_components, label_propagation, modularity, top_edges, provider_names, rule_stats,
     case_leads, reasons, check_leads, evidence_cards, drill_down, clinician_day, line_exposure, recovery_dollars, cookie_cutter, pattern_sizes, repeat_packages, session_hours, top_code_share, servicing_features, billing_features,
     lookalike_score, signature_features, pattern_table, primary_billers, calibration, trend_labels, network_links, exposure_summary, screen_order, dup_groups, dup_pairs, dup_involvement, dup_reference, dup_largest, self_listed, target_dups,
     daily_volume, thresholds, totals, clinician_day_mix, peer_medians, members_per_day, counterparty_breakdown, counterparty_daily, outlier_clinicians, percent_ranks, code_profile, code_patterns, code_report, anomalous_codes,
