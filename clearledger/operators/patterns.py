@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from ..config import Config
 from ..functions.expressions import money
+from .prep import spread
 
 FULL, CLOSE, IMPOSSIBLE = "Full", "Close", "Impossible only"
 
@@ -64,6 +65,39 @@ def pattern_features(lines: DataFrame, keys: list[str], unit: list[str]) -> Data
     return j.select(*keys, pct("dup_days", "days").alias("pct_days_dup_pattern"), pct("dup_members", "members").alias("pct_members_in_dup"), pct("repeat_members", "members").alias("pct_members_repeat_pkg"), "avg_session_hours", "top_code", "top_code_share")
 
 
+def nested_features(lines: DataFrame, key: str, unit: list[str], cfg: Config) -> DataFrame:
+    """pattern_features of every window at once, from lines with _level (see prep.with_level): each line is read once.
+
+    A day's patterns are the same in every window that holds the day; a member is in a pattern, or repeats a package, in the windows that hold the
+    latest such day (of a package: the latest but one), so the highest level decides. Money and minutes are added up by level.
+    """
+    day = [*unit, "svc_dt"]
+    k = ["window", key]
+    per = lines.groupBy(*day, "signature", "member_id").agg(F.max("_level").alias("_level"))
+    sized = per.join(per.groupBy(*day, "signature").agg(F.count("*").alias("size")), [*day, "signature"])
+    dup = F.col("size") >= 2
+    days = sized.groupBy(*day).agg(F.max("_level").alias("_level"), F.max(dup).alias("dup")).groupBy(key, "_level").agg(F.count("*").alias("days"), F.sum(F.col("dup").cast("long")).alias("dup_days"))
+    days = spread(days, cfg).groupBy(*k).agg(F.sum("days").alias("days"), F.sum("dup_days").alias("dup_days"))
+    latest = sized.where("member_id is not null").groupBy(key, "member_id").agg(F.max("_level").alias("_level"), F.coalesce(F.max(F.when(dup, F.col("_level"))), F.lit(0)).alias("_dup"))
+    held = list(dict.fromkeys([key, *unit]))
+    package = lines.groupBy(*held, "member_id", "svc_dt").agg(F.max("_level").alias("_level"), F.md5(F.array_join(F.sort_array(F.collect_list("signature")), "\n").cast("binary")).alias("p"))
+    two = F.row_number().over(W.partitionBy(*held, "member_id", "p").orderBy(F.desc("svc_dt")))
+    again = package.withColumn("_rk", two).where("_rk <= 2").where("_rk = 2").where("member_id is not null").groupBy(key, "member_id").agg(F.max("_level").alias("_again"))
+    seen = latest.join(again, [key, "member_id"], "left").select(key, F.explode(F.array(*[F.struct(F.lit(what).alias("what"), level.alias("_level")) for what, level in (("members", F.col("_level")), ("dup", F.col("_dup")), ("again", F.coalesce("_again", F.lit(0))))])).alias("e"))
+    counts = seen.select(key, "e.*").where("_level > 0").groupBy(key, "what", "_level").agg(F.count("*").alias("n"))
+    of = lambda what: F.coalesce(F.sum(F.when(F.col("what") == what, F.col("n"))), F.lit(0))
+    members = spread(counts, cfg).groupBy(*k).agg(of("members").alias("members"), of("dup").alias("dup_members"), of("again").alias("repeat_members"))
+    session = lines.groupBy(key, "member_id", "svc_dt").agg(F.max("_level").alias("_level"), F.sum("minutes").alias("m")).where("m > 0").groupBy(key, "_level").agg(F.sum("m").alias("m"), F.count("*").alias("n"))
+    session = spread(session, cfg).groupBy(*k).agg((F.sum("m") / F.sum("n") / 60).alias("avg_session_hours"))
+    code = spread(lines.groupBy(key, "code", "_level").agg(F.sum(F.col("paid").cast("decimal(18,2)")).alias("p")), cfg).groupBy(*k, "code").agg(F.sum("p").cast("double").alias("p"))
+    w = W.partitionBy(*k)
+    top = code.withColumn("total", F.sum("p").over(w)).withColumn("rk", F.row_number().over(w.orderBy(F.desc("p"), "code"))).where("rk = 1")
+    top = top.select(*k, F.col("code").alias("top_code"), (F.try_divide("p", "total") * 100).alias("top_code_share"))
+    j = days.join(members, k, "left").join(session, k, "left").join(top, k, "left")
+    pct = lambda a, b: F.try_divide(F.coalesce(F.col(a), F.lit(0)) * F.lit(100.0), F.col(b))
+    return j.select(*k, pct("dup_days", "days").alias("pct_days_dup_pattern"), pct("dup_members", "members").alias("pct_members_in_dup"), pct("repeat_members", "members").alias("pct_members_repeat_pkg"), "avg_session_hours", "top_code", "top_code_share")
+
+
 def pattern_table(lines: DataFrame, days: DataFrame, cfg: Config, keys: list[str] | None = None) -> DataFrame:
     """One row per clinician (and window): days over 24 hours, own and others' billing, and the label, empty if none fits.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -67,6 +69,23 @@ def in_windows(df: DataFrame, cfg: Config, day: str = "svc_dt", anchor: DataFram
     return a.withColumn("window", F.explode(F.filter(F.array(*names), lambda x: x.isNotNull()))).drop("_anchor")
 
 
+def with_level(df: DataFrame, cfg: Config, day: str = "svc_dt", anchor: DataFrame | None = None) -> DataFrame:
+    """df with _level: in how many of the nested windows the row's day lies, 1 for the widest alone. Rows in none are left out.
+
+    All windows end at the anchor, so a row lies in a window and in every wider one: what holds of the latest day holds of every window that the day
+    is in. Aggregates take the level as a key, or the highest level of a member, and spread() turns the few results into windows.
+    """
+    a = df.crossJoin(F.broadcast(anchor)) if anchor is not None else anchored(df, cfg, day)
+    inside = [F.lit(1) if months is None else (F.col(day) >= F.add_months("_anchor", -months)).cast("int") for _, months in cfg.windows]
+    return a.withColumn("_level", reduce(lambda x, y: x + y, inside)).where("_level > 0").drop("_anchor")
+
+
+def spread(df: DataFrame, cfg: Config) -> DataFrame:
+    """Aggregated rows with _level, once for each window that holds them, named in `window`."""
+    widest = sorted(cfg.windows, key=lambda w: (w[1] is not None, -(w[1] or 0)))
+    return df.withColumn("window", F.explode(F.slice(F.array(*[F.lit(label) for label, _ in widest]), F.lit(1), F.col("_level")))).drop("_level")
+
+
 def last_months(df: DataFrame, months: int | None, cfg: Config, day: str = "svc_dt") -> DataFrame:
     """Rows of one look-back window; None keeps all."""
     return df if months is None else anchored(df, cfg, day).where(F.col(day) >= F.add_months("_anchor", -months)).drop("_anchor")

@@ -228,8 +228,7 @@ def top_code_share(spark: SparkSession, d: str) -> DataFrame:
 
 
 def servicing_features(spark: SparkSession, d: str) -> DataFrame:
-    b = _base(spark, d)
-    return rounded(screen.servicing_features(b.lines_w, b.days_w, b.exposed_w, CFG))
+    return rounded(screen.servicing_features(*_base(spark, d).leveled, CFG))
 
 
 def billing_features(spark: SparkSession, d: str) -> DataFrame:
@@ -237,12 +236,12 @@ def billing_features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lookalike_score(spark: SparkSession, d: str) -> DataFrame:
-    f = materialise(screening.features(_base(spark, d), CFG)[0], "features")
+    f = screening.features(_base(spark, d), CFG)[0]
     return rounded(screen.score_lookalikes(f, "servicing_id", TARGET_SERVICING, screen.SERVICING_FEATURES, CFG))
 
 
 def signature_features(spark: SparkSession, d: str) -> DataFrame:
-    f = materialise(screening.features(_base(spark, d), CFG)[0], "features")
+    f = screening.features(_base(spark, d), CFG)[0]
     return screen.signatures(f, "servicing_id", TARGET_SERVICING, screen.SERVICING_FEATURES, CFG, "servicing")
 
 

@@ -8,20 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
+from ..functions.scratch import materialise
 from ..operators import hours, patterns, screen
-from ..operators.prep import in_windows, last_months, service_lines
+from ..operators.prep import in_windows, last_months, service_lines, with_level
 
 
 @dataclass
 class Base:
-    """The tables that every part of the screen starts from."""
+    """The tables that every part of the screen starts from; leveled: lines, days and exposed lines with _level, for the features."""
 
     lines: DataFrame
     days: DataFrame
     exposed: DataFrame
     lines_w: DataFrame
     days_w: DataFrame
-    exposed_w: DataFrame
+    leveled: tuple[DataFrame, DataFrame, DataFrame]
 
 
 def base(claims: DataFrame, cfg: Config) -> Base:
@@ -30,12 +31,12 @@ def base(claims: DataFrame, cfg: Config) -> Base:
     exposed = hours.line_exposure(lines, days)
     anchor = lines.agg(F.max("svc_dt").alias("_anchor"))
     w = lambda df: in_windows(df, cfg, anchor=anchor)
-    return Base(lines, days, exposed, w(lines), w(days), w(exposed))
+    return Base(lines, days, exposed, w(lines), w(days), tuple(with_level(df, cfg, anchor=anchor) for df in (lines, days, exposed)))
 
 
 def features(b: Base, cfg: Config) -> tuple[DataFrame, DataFrame]:
-    serving = screen.servicing_features(b.lines_w, b.days_w, b.exposed_w, cfg)
-    return serving, screen.billing_features(b.lines_w, b.days_w, b.exposed_w, serving, cfg)
+    serving = materialise(screen.servicing_features(*b.leveled, cfg), "serving")
+    return serving, screen.billing_features(*b.leveled, serving, cfg)
 
 
 def labels(b: Base, cfg: Config) -> tuple[DataFrame, DataFrame, DataFrame]:
