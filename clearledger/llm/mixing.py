@@ -50,9 +50,10 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float
 def planned(docs: DataFrame, id_col: str, text: str, source: str, keep: list[str], seed: str = "mix", **how) -> DataFrame:
     """The columns `keep` of docs with _size, source_size, target and _copies for every row."""
     spark = docs.sparkSession
-    sized = docs.select(*keep, F.col(source).cast("string").alias("_source"), words_of(F.col(text)).alias("_size"), F.col(id_col).alias("_id"))
+    hashable = [F.col(c) for c, kind in docs.dtypes if "map<" not in kind]
+    sized = docs.select(*keep, F.col(source).cast("string").alias("_source"), words_of(F.col(text)).alias("_size"), F.col(id_col).alias("_id"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_text"), F.xxhash64(*hashable).alias("_row"))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    order = [F.col("_source").isNull(), F.col("_source"), F.col("_size"), F.col("_id")]
+    order = [F.col("_source").isNull(), F.col("_source"), F.col("_size"), F.col("_id"), F.col("_text"), F.col("_row")]  # a place of its own for all but equal rows
     placed = materialise(
         sized.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "placed"
     )  # written: both passes below read the same places
@@ -88,7 +89,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: s
 
 MIX_SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, CAST(COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, text, CAST(COALESCE(LEN(REGEXP_EXTRACT_ALL(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(SUM(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT *, CASE (ROW_NUMBER() OVER (ORDER BY source IS NULL, source) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS w, source_size * 2 AS cap FROM s),
 p AS (SELECT *, CAST(SUM(source_size) OVER () AS BIGINT) * CAST(1.5 AS DOUBLE) AS total, SUM(w) OVER () AS all_w,
@@ -97,7 +98,7 @@ p AS (SELECT *, CAST(SUM(source_size) OVER () AS BIGINT) * CAST(1.5 AS DOUBLE) A
 f AS (SELECT *, (total - caps) * w > cap * (all_w - ws) AS is_full FROM p),
 l AS (SELECT (MAX(total) - CAST(COALESCE(SUM(cap) FILTER (is_full), 0) AS BIGINT)) / CAST(SUM(w) FILTER (NOT is_full) AS BIGINT) AS level FROM f),
 t AS (SELECT source, source_size, CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE COALESCE(level * w, 0) END AS target FROM f, l),
-r AS (SELECT doc_id, size, source_size, target, ROW_NUMBER() OVER (PARTITION BY d.source ORDER BY size, doc_id) AS rank,
+r AS (SELECT doc_id, size, source_size, target, ROW_NUMBER() OVER (PARTITION BY d.source ORDER BY size, doc_id, MD5(COALESCE(text, ''))) AS rank,
   COALESCE(target / NULLIF(source_size, 0), 0) AS each,
   CAST(CAST('0x' || SUBSTR(MD5(COALESCE(d.source, CHR(0) || 'null') || 'mix'), 1, 8) AS BIGINT) AS DOUBLE) / CAST(4294967296 AS DOUBLE) AS u
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)

@@ -13,7 +13,10 @@ Second pass, for all others: prefix and skip merging. Only classes that share a
 lists that hold several components count. A class with fewer than MATCHES such lists has no partner left. The others skip
 their MATCHES - 1 longest lists and are posted under the rest alone: two classes with MATCHES common lists still meet in one of these. A
 passage that many documents share fills long lists, so these are skipped while it makes up less than MATCHES of COORDS (56 %) of
-the classes that share it; beyond, classes outside a long list's largest component meet all its members in a grid of bounded cells.
+the classes that share it. Beyond, the classes of long lists are posted anew, under their rarest shingles (a shingle's length is the number of
+those classes that hold it): of n shingles, the first n - ceil(0.75 n) + 1. Two sets at the threshold share their first common shingle early
+in both, so a passage brings classes together only where it makes up so much of both that they are near-duplicates anyway. In lists that are
+long even so, classes outside the largest component meet the list's members in a grid of bounded cells.
 
 Pairs inside a component cannot change the result, so groups of thousands cost a few links for each member. Long lists, of which there
 can only be a bounded number, are looked up in a broadcast table, so that no task holds one whole.
@@ -187,8 +190,33 @@ def _whole_lists(done):
     return run
 
 
+def _rare(who: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(list, many, doc, n, comp, sig, before, pos): the classes `who` under their rarest shingles, in lists of several components.
+
+    pos: the shingle's place in the class's order, rarest first, equals by hash. Shingles of one class come first and are posted nowhere. Lists in which no
+    class is early enough to meet one of its own size or more are left out. before is empty: pairs that share several lists are found in each.
+    """
+
+    @pandas_udf("array<long>")
+    def run(t: pd.Series) -> pd.Series:
+        words = _Words()
+        return pd.Series([shingles(x, size, words).view(np.int64) for x in t], dtype=object)
+
+    posts = texts.join(who.select("doc"), "doc").select("doc", F.explode(run("text")).alias("list"))
+    total = who.agg(F.sum("n")).first()[0]
+    lists = materialise(posts.groupBy("list").agg(F.count("*").alias("many")).where("many > 1"), "rare")
+    own = _in_lists(posts, lists, ["list"], total).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("many", "list"))).alias("all"))
+    start = F.col("n") - F.size("all")
+    early = F.greatest(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - start, F.lit(0)).cast("int")
+    placed = own.join(who, "doc").select("doc", "n", "comp", "sig", start.alias("start"), F.posexplode(F.slice("all", F.lit(1), early)).alias("i", "one"))
+    placed = materialise(placed.select(F.col("one.list").alias("list"), "doc", "n", "comp", "sig", F.array().cast("array<long>").alias("before"), (F.col("start") + F.col("i")).cast("long").alias("pos")), "placed")
+    open_ = F.col("pos") + F.ceil(2 * percent * F.col("n") / (100 + percent)) <= F.col("n")
+    several = placed.groupBy("list").agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(open_).alias("open")).where("lo < hi and open")
+    return _in_lists(placed, materialise(several.select("list", "many"), "mixed"), ["list"], placed.count())
+
+
 def _grid(hot: DataFrame) -> DataFrame:
-    """(list, doc, n, comp, stray, before, sig, role): each long list as a grid of bounded cells.
+    """(list, doc, n, comp, stray, pos, sig, role): each long list as a grid of bounded cells.
 
     In its cells every class outside the list's largest component (a guest, role 0) meets every class of the list (role 1).
     """
@@ -198,7 +226,7 @@ def _grid(hot: DataFrame) -> DataFrame:
     main = materialise(main.select("list", "many", "main", F.ceil(F.col("many") / side).cast("int").alias("blocks"), F.ceil((F.col("many") - F.col("most")) / side).cast("int").alias("chunks")), "grid")
     placed = _in_lists(hot.drop("many"), main, ["list"], hot.count()).withColumn("stray", F.col("comp") != F.col("main"))
     b, c = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"), F.pmod(F.xxhash64("doc", F.lit(1)), F.col("chunks")).cast("int")
-    cols = [F.xxhash64("list", "b", "c").alias("list"), "doc", "n", "comp", "stray", "before", "sig"]
+    cols = [F.xxhash64("list", "b", "c").alias("list"), "doc", "n", "comp", "stray", "pos", "sig"]
     members = placed.withColumn("b", b).withColumn("c", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(*cols, F.lit(1).alias("role"))
     guests = placed.where("stray").withColumn("c", c).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*cols, F.lit(0).alias("role"))
     return members.unionByName(guests)
@@ -219,21 +247,22 @@ class _Before:
 
 
 def _met(t: pa.Table, percent: int):
-    """(x, ys) for each guest x of the cells: the rows of other components that pass the size and match tests.
+    """(x, ys) for each guest x of the cells: the rows of other components that pass the place, size and match tests.
 
-    A pair is handled in its first shared list alone, and two guests from the smaller one's side.
+    Two guests are handled from the smaller one's side. Sets at the threshold have `least` shingles in common, so the list of their first common
+    one is that early in both.
     """
-    lists_, doc, n, comp, role = (t.column(k).to_numpy() for k in ("list", "doc", "n", "comp", "role"))
+    lists_, doc, n, comp, role, pos = (t.column(k).to_numpy() for k in ("list", "doc", "n", "comp", "role", "pos"))
     stray = t.column("stray").to_numpy(zero_copy_only=False)
     sig = np.frombuffer(b"".join(t.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, COORDS)
-    before = _Before(t.column("before"))
     for start, end in zip(s := np.flatnonzero(np.r_[True, lists_[1:] != lists_[:-1]]), np.r_[s[1:], len(lists_)], strict=True):
         first = start + int((role[start:end] == 0).sum())
         m = np.arange(first, end)
         for x in range(start, first):
             k = m[(comp[m] != comp[x]) & (~stray[m] | (doc[m] > doc[x])) & (100 * np.minimum(n[m], n[x]) >= percent * np.maximum(n[m], n[x]))]
+            least = -(-percent * (n[k] + n[x]) // (100 + percent))
+            k = k[(pos[k] + least <= n[k]) & (pos[x] + least <= n[x])]
             k = k[(sig[k] == sig[x]).sum(axis=1) >= MATCHES] if len(k) else k
-            k = np.array([y for y in k.tolist() if before.apart(x, y)], dtype=np.int64)
             if len(k):
                 yield x, k
 
@@ -394,15 +423,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     comps = materialise(connected_components(links), "components")
 
     rest = materialise(_prefixes(classes, near, comps), "lists")
-    more = materialise(_rest_pairs(rest.where(F.col("many") <= LIST), percent), "pairs")
-    hot = materialise(rest.where(F.col("many") > LIST), "hot")
-    long = not hot.isEmpty()
-    named = materialise(_named(hot, percent), "named") if long else either(more).limit(0)
-    new = materialise(either(more).unionByName(named).distinct().join(texts.select("doc"), "doc", "left_anti"), "new")
+    more = _rest_pairs(rest.where(F.col("many") <= LIST), percent)
+    hot = materialise(rest.where(F.col("many") > LIST).select("doc", "n", "comp", "sig").dropDuplicates(["doc"]), "hot")
+    if not hot.isEmpty():
+        held = fetch(hot.select("doc"))
+        rare = materialise(_rare(hot, held, size, percent), "rare")
+        more = more.unionByName(_rest_pairs(rare.where(F.col("many") <= LIST), percent))
+        long = materialise(rare.where(F.col("many") > LIST).drop("before"), "long")
+        if not long.isEmpty():
+            more = more.unionByName(_strays(long, materialise(_named(long, percent), "named"), held, size, percent))
+        texts = texts.unionByName(held.join(texts.select("doc"), "doc", "left_anti"))
+    more = materialise(more.distinct(), "pairs")
+    new = materialise(either(more).join(texts.select("doc"), "doc", "left_anti"), "new")
     if not new.isEmpty():
         texts = texts.unionByName(fetch(new))
-    if long:
-        more = materialise(more.unionByName(_strays(hot, named, texts, size, percent)).distinct(), "pairs")
     found = materialise(_confirmed(more, texts, size, percent), "links")
     if not found.isEmpty():
         comps = materialise(connected_components(links.unionByName(found)), "components")

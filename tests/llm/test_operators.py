@@ -307,6 +307,20 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch):
     assert got == brute_components(rows)
 
 
+@pytest.mark.parametrize("share", [62, 74, 78, 84, 88])
+def test_near_duplicates_among_documents_that_are_mostly_one_passage(spark, monkeypatch, share):
+    monkeypatch.setattr(neardup, "LIST", 8)
+    r = random.Random(share)
+    word = lambda: f"q{r.randrange(10**9)}"
+    passage = [word() for _ in range(share)]
+    rows = []
+    for i in range(0, 240, 2):  # pairs differ in a word or two, and texts in length; the passage is about `share` percent of each
+        own = [word() for _ in range(100 - share + i % 12)]
+        rows += [(i, " ".join(passage + own)), (i + 1, " ".join(passage + own[:-2] + [word(), word()]))]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == brute_components(rows)
+
+
 def test_near_duplicates_in_long_lists_meet_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(neardup, "LIST", 8)
     r = random.Random(3)
@@ -390,6 +404,14 @@ def test_mix_is_near_its_targets_and_reruns_agree(spark):
     assert mixing.mixed(docs).count() == int((a["taken"] / a["size"]).sum())
 
 
+def test_mix_of_tied_ids_is_repeatable(spark):
+    rows = [(7, f"word{i % 20} more words", "en", "a", i) for i in range(41)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    taken = [sorted(tuple(r) for r in mixing.mixed(docs.repartition(n, F.rand(n))).collect()) for n in (1, 3, 8)]
+    assert taken[0] == taken[1] == taken[2] and len(taken[0]) in (61, 62)
+
+
+
 # ---- tokens
 
 TABLE = pieces.Pieces(pieces.read_model(MODEL))
@@ -426,5 +448,3 @@ def test_pipeline_stages(spark, sf_dir):
         before = after
     out = p.STAGES[-1][1](spark, before, sf_dir).toPandas()
     assert len(out) == before.count() and (out["n_tokens"] >= 2).all()
-    toxic = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    assert zlib.crc32(b"1") and isinstance(out, pd.DataFrame) and toxic.count() > 0
