@@ -5,8 +5,9 @@ a digit generalised. At a node, the commonest token of each place, counted in do
 least ALIKE percent of the pattern's tokens, and with half of those after the leading ones, are one template there, whatever the places in
 which they differ: those places are its variable fields. The other lines go one level down by their next token (tokens of fewer
 than min_docs documents share the node of variable tokens), until the last level; a line that no pattern took is a
-template of its own. A template that occurs in min_docs documents or more recurs; its lines are dropped everywhere but in the
-document with the smallest id, which stands for it.
+template of its own. A line that occurs in min_docs documents or more recurs, numbers aside; it is dropped everywhere but in the document with
+the smallest id, which stands for it. Lines that differ in words may state different things, so a template with variable fields needs more: it
+recurs, and goes but for one line, only where template_docs documents or more hold it. In fewer, each of its lines counts for itself.
 
 Lines travel as two hashes, path and whole line, so only lines of paths that several documents have are read as text again.
 Counts are partial sums before each shuffle, and the joins that meet lines with templates or patterns are salted, so a line that a third of
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import materialise
 
-LEAD, DEPTH, SHORT, ALIKE, MIN_DOCS = 3, 3, 3, 70, 3
+LEAD, DEPTH, SHORT, ALIKE, MIN_DOCS, TEMPLATE_DOCS = 3, 3, 3, 70, 3, 30
 #: Parts of a join key of lines; lines of a node that one task compares with its pattern.
 SALT, MEMBERS = 8, 20_000
 _BLANK = r"[\x20\x09\x0B-\x0D]+"
@@ -93,8 +94,8 @@ def _level(kinds: DataFrame, lead: int, min_docs: int) -> DataFrame:
     return down.select("node", "origin", "whole", "docs", "tokens", "taken", child.alias("next"))
 
 
-def templates(docs: DataFrame, lines: DataFrame, id_col: str, text: str, min_docs: int = MIN_DOCS) -> DataFrame:
-    """(node, whole, first): the kinds of lines whose template recurs, and the document that keeps it. lines: as _hashed gives them."""
+def templates(docs: DataFrame, lines: DataFrame, id_col: str, text: str, min_docs: int = MIN_DOCS, template_docs: int = TEMPLATE_DOCS) -> DataFrame:
+    """(node, whole, first, alike): the kinds of lines that recur, and the document that keeps each or its template (alike). lines: as _hashed gives them."""
     kinds = materialise(_kinds(lines), "kinds")
     several = kinds.join(_shared(kinds, min_docs).select("node"), "node", "left_semi").select("node", "whole", "docs", "first.*")
     read = _exploded(docs, id_col, text).join(several.hint("shuffle_hash"), ["doc", "dk", "line"]).dropDuplicates(["node", "whole"])
@@ -105,22 +106,24 @@ def templates(docs: DataFrame, lines: DataFrame, id_col: str, text: str, min_doc
         found.append(level.where("taken").select(F.col("origin").alias("node"), "whole", F.struct(F.lit(lead).alias("lead"), "node").alias("template")))
         rest = level.where("not taken").select(F.col("next").alias("node"), "origin", "whole", "docs", "tokens")
     taken = reduce(DataFrame.unionByName, found)
-    own = kinds.where(F.col("docs") >= min_docs).join(taken, ["node", "whole"], "left_anti").select("node", "whole", "first.doc", "first.dk")
     salt = F.pmod(F.xxhash64("doc", "dk"), F.lit(SALT)).cast("int")
     spread = taken.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     held = lines.withColumn("salt", salt).join(spread, ["node", "whole", "salt"]).select("template", "doc", "dk").distinct()
-    recurring = held.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("doc", "dk")).alias("first")).where(F.col("docs") >= min_docs)
+    recurring = held.groupBy("template").agg(F.count("*").alias("docs"), F.min(F.struct("doc", "dk")).alias("first")).where(F.col("docs") >= template_docs)
     parts = recurring.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     joint = taken.withColumn("salt", F.pmod(F.xxhash64("whole"), F.lit(SALT)).cast("int")).join(parts, ["template", "salt"]).select("node", "whole", "first.doc", "first.dk")
-    return own.unionByName(joint).select("node", "whole", F.struct("doc", "dk").alias("first"))
+    joint = materialise(joint, "templates")
+    own = kinds.where(F.col("docs") >= min_docs).join(joint, ["node", "whole"], "left_anti").select("node", "whole", "first.doc", "first.dk")
+    both = own.withColumn("alike", F.lit(False)).unionByName(joint.withColumn("alike", F.lit(True)))
+    return both.select("node", "whole", F.struct("doc", "dk").alias("first"), "alike")
 
 
 def dropped_lines(lines: DataFrame, recurring: DataFrame) -> DataFrame:
-    """(doc, dk, dropped): the places of the lines that each document loses, in order."""
+    """(doc, dk, dropped, alike): the places of the lines that each document loses, in order, and how many of them go by a template."""
     salt = F.pmod(F.xxhash64("doc", "dk"), F.lit(SALT)).cast("int")
     spread = recurring.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     hit = lines.withColumn("salt", salt).join(spread, ["node", "whole", "salt"]).where(F.struct("doc", "dk") != F.col("first"))
-    return hit.groupBy("doc", "dk").agg(F.array_sort(F.collect_set("line")).alias("dropped"))
+    return hit.groupBy("doc", "dk").agg(F.array_sort(F.collect_set("line")).alias("dropped"), F.countDistinct(F.when(F.col("alike"), F.col("line"))).alias("alike"))
 
 
 def _without(lines: Column, dropped: Column) -> Column:
@@ -130,16 +133,16 @@ def _without(lines: Column, dropped: Column) -> Column:
     return F.element_at(F.transform(F.array(lines), lambda held: F.array_join(F.flatten(stretches(held)), "\n")), 1)  # lines are split once
 
 
-def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, info: str | None = None) -> DataFrame:
-    """docs with the recurring lines taken out of `text`; info names a struct column with n_lines and n_dropped."""
+def drop_recurring_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = MIN_DOCS, info: str | None = None, template_docs: int = TEMPLATE_DOCS) -> DataFrame:
+    """docs with the recurring lines taken out of `text`; info names a struct column with n_lines, n_dropped and n_alike (of these, by a template)."""
     lines = materialise(_hashed(_exploded(docs, id_col, text)), "lines").where("node is not null")  # a filter before would compute all of it twice
-    lost = dropped_lines(lines, templates(docs, lines, id_col, text, min_docs)).withColumnsRenamed({"doc": "_line_doc", "dk": "_line_dk", "dropped": "_line_dropped"})
+    lost = dropped_lines(lines, templates(docs, lines, id_col, text, min_docs, template_docs)).withColumnsRenamed({"doc": "_line_doc", "dk": "_line_dk", "dropped": "_line_dropped", "alike": "_line_alike"})
     doc, dk = _identity(docs, id_col, text)
     joined = docs.join(lost, (doc == F.col("_line_doc")) & (dk == F.col("_line_dk")), "left")
     body, gone = F.col(text).cast("string"), F.col("_line_dropped")
     left = F.when(gone.isNull(), body).otherwise(_without(F.split(body, "\n"), gone))
     count = F.length(body) - F.length(F.replace(body, F.lit("\n"), F.lit(""))) + 1
-    more = [] if info is None else [F.struct(F.coalesce(count, F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped")).alias(info)]
+    more = [] if info is None else [F.struct(F.coalesce(count, F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_dropped"), F.coalesce("_line_alike", F.lit(0)).cast("long").alias("n_alike")).alias(info)]
     return joined.select(*[left.alias(c) if c == text else F.col(c) for c in docs.columns], *more)
 
 
@@ -163,7 +166,8 @@ w AS (SELECT doc_id, line, tokens, ARRAY_TO_STRING(tokens, ' ') AS whole FROM t
 k0 AS (SELECT LEN(tokens) || ' ' || ARRAY_TO_STRING(tokens[1:{LEAD}], ' ') AS node, whole, COUNT(DISTINCT doc_id) AS docs, ANY_VALUE(tokens) AS tokens FROM w GROUP BY whole, node),
 {"".join(_level_sql(i) for i in range(DEPTH))}
 p AS (SELECT whole, {LEAD} || node AS template FROM x0 WHERE taken {"".join(f" UNION ALL SELECT whole, '{LEAD + i} ' || node FROM x{i} WHERE taken" for i in range(1, DEPTH))}),
-a AS (SELECT doc_id, line, COALESCE(template, 'own ' || whole) AS template FROM w LEFT JOIN p USING (whole)),
+v AS (SELECT template FROM w JOIN p USING (whole) GROUP BY template HAVING COUNT(DISTINCT doc_id) >= {TEMPLATE_DOCS}),
+a AS (SELECT doc_id, line, COALESCE(v.template, 'own ' || whole) AS template FROM w LEFT JOIN p USING (whole) LEFT JOIN v USING (template)),
 f AS (SELECT template, MIN(doc_id) AS first FROM a GROUP BY template HAVING COUNT(DISTINCT doc_id) >= {MIN_DOCS}),
 g AS (SELECT DISTINCT doc_id, line FROM a JOIN f USING (template) WHERE doc_id <> first)
 SELECT l.doc_id, CAST(COUNT(*) AS BIGINT) AS n_lines, CAST(COUNT(g.line) AS BIGINT) AS n_dropped,

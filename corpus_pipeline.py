@@ -21,11 +21,15 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go. A document with words of which no word is left goes with them: all it said stands in another."""
-    done = linededup.drop_recurring_lines(docs, info="_lines")
+    """Recurring lines go. A document of which no word is left goes with them if all its lines were equal to lines of others.
+
+    Where lines of such a document went by a template, words in which they differ may stand nowhere else: the document stays as it was.
+    """
+    done = linededup.drop_recurring_lines(docs.withColumn("_whole", F.col("text")), info="_lines")
     word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
-    kept = done.where((F.col("_lines.n_dropped") == 0) | word).select(*docs.columns)
-    return kept.withColumn("n_chars", F.length("text").cast("long"))
+    emptied = (F.col("_lines.n_dropped") > 0) & ~word
+    kept = done.where(~emptied | (F.col("_lines.n_alike") > 0)).withColumn("text", F.when(emptied, F.col("_whole")).otherwise(F.col("text")))
+    return kept.select(*docs.columns).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -192,7 +192,7 @@ def test_templates_generalise_fields(spark):
     line = "report for station north was filed on day {} by {} and closed"
     rows = [(i, OWN[i] + "\n" + line.format(i, n)) for i, n in enumerate(["anna", "ben", "cleo", "dora"])]
     df = spark.createDataFrame([(*r, "kept") for r in rows], "doc_id long, text string, dropped string")
-    got = {r.doc_id: r for r in linededup.drop_recurring_lines(df, info="i").collect()}
+    got = {r.doc_id: r for r in linededup.drop_recurring_lines(df, info="i", template_docs=3).collect()}
     assert got[0].text == rows[0][1] and all(got[i].text == rows[i][1].split("\n")[0] and got[i].i.n_dropped == 1 for i in (1, 2, 3)) and got[1].dropped == "kept"
 
 
@@ -200,11 +200,30 @@ def test_templates_generalise_neighbouring_and_short_fields(spark):
     names = [("jane", "doe"), ("max", "moor"), ("ann", "lee"), ("bo", "yu")]
     kept = ["this page was closed", "one and two"]  # too few equal tokens, and in two documents
     rows = [(i, "\n".join([OWN[i], f"this page was written by {a} {b} and closed", f"read more on {a} today", f"this page was {b}", *(kept if i < 2 else [])])) for i, (a, b) in enumerate(names)]
-    got = {r.doc_id: r.text.split("\n") for r in linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {r.doc_id: r.text.split("\n") for r in linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), template_docs=3).collect()}
     assert got[0] == rows[0][1].split("\n")
     assert all(got[i] == [OWN[i], f"this page was {names[i][1]}", *(kept if i < 2 else [])] for i in (1, 2, 3))
 
 
+def test_lines_that_state_different_things_stay(spark):
+    """Four facts in one form are no boilerplate; a form that 40 documents fill in, and lines equal but for numbers, are."""
+    facts = [f"in our long yearly atlas the capital city of {x} is the town of {y} today" for x, y in (("france", "paris"), ("spain", "madrid"), ("italy", "rome"), ("peru", "lima"))]
+    form = [f"this page of the town paper was filed by {chr(97 + i % 26)}{chr(97 + i // 26)}name and closed for good" for i in range(40)]
+    rows = [(i, f) for i, f in enumerate(facts)] + [(10 + i, f"{f}\nown words {chr(97 + i % 26)} {chr(97 + i // 26)} stay here") for i, f in enumerate(form)] + [(100 + i, f"printed on day {i} of the year") for i in range(3)]
+    got = {r.doc_id: r for r in linededup.drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string"), info="i").collect()}
+    assert [got[i].text for i in range(4)] == facts and got[10].text == rows[4][1]
+    assert all(got[10 + i].text == rows[4 + i][1].split("\n")[1] and got[10 + i].i.n_alike == 1 for i in range(1, 40))
+    assert got[100].text == rows[-3][1] and [(got[i].text, got[i].i.n_dropped, got[i].i.n_alike) for i in (101, 102)] == [("", 1, 0)] * 2
+
+
+def test_line_stage_keeps_documents_that_a_template_empties(spark):
+    from corpus_pipeline import line_stage
+
+    rows = [(i, f"this page of the town paper was filed by {chr(97 + i % 26)}{chr(97 + i // 26)}name and closed for good", "en", "a", 1) for i in range(40)] + [(50 + i, "the very same line in three", "en", "a", 1) for i in range(3)]
+    out = {r.doc_id: r.text for r in line_stage(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "").collect()}
+    assert out == {i: t for i, t, *_ in rows[:41]}
+
+
 def test_lines_on_odd_rows(odd, none):
     got = linededup.drop_recurring_lines(odd, info="i").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted((r[0] or 0, r[1] or "") for r in ROWS) and linededup.drop_recurring_lines(none).count() == 0
