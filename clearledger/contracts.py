@@ -30,7 +30,8 @@ QUEUE = _schema(
     "member_days_flagged:long dollars_incl_untrusted:double independent_families:int families:string has_tier1_family:boolean total_paid:double n_claims:long n_members:long "
     "last_svc_dt:date pct_dollars_at_risk:double data_end_date:date days_before_data_end:int corroborated:boolean tier_label:string untrusted_only:boolean"
 )
-LOAD_LOG = _schema("quarter:string edit:string service:string revision:int status:string rows:long tolerated_rows:long error:string note:string sha256:string path:string")
+#: One row per file and batch; the batches' rows together are the load log, and decide what is loaded.
+LOAD_LOG = _schema("version:long batch:string quarter:string edit:string service:string revision:int status:string rows:long tolerated_rows:long error:string note:string sha256:string path:string replaced_path:string")
 
 
 @dataclass(frozen=True)

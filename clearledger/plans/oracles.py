@@ -294,6 +294,18 @@ _FILES = """WITH o AS (SELECT *, CASE WHEN o_custkey % 2 = 0 THEN 'ptp' ELSE 'mu
 f AS (SELECT DISTINCT '/drop/' || (o_orderkey % 2) || '/' || CASE WHEN o_orderkey % 97 = 0 THEN 'edits_' || o_orderkey || '.txt' WHEN o_orderkey % 89 = 0 THEN 'notes_' || o_orderkey || '.pdf' ELSE kd || '_' || sv || '_' || YEAR(o_orderdate) || 'q' || QUARTER(o_orderdate) || '_r' || (o_orderkey % 3) || '.txt' END AS path,
   CASE WHEN o_orderkey % 97 = 0 THEN 'error' WHEN o_orderkey % 89 = 0 THEN 'other' ELSE 'edit' END AS kind, kd, sv, YEAR(o_orderdate) || 'Q' || QUARTER(o_orderdate) AS qr, o_orderkey % 3 AS rv FROM o),
 c AS (SELECT DISTINCT path, CASE WHEN kind = 'edit' THEN kd END AS edit, CASE WHEN kind = 'edit' THEN sv END AS service, CASE WHEN kind = 'edit' THEN qr END AS quarter, CASE WHEN kind = 'edit' THEN CAST(rv AS INTEGER) END AS revision, kind FROM f)"""
+#: Two loads of the same files by their names and their orders' rows; what a load says is loaded decides the next one.
+_EDIT_LOAD = """, e AS (SELECT '/drop/' || (o_orderkey % 2) || '/' || kd || '_' || sv || '_' || YEAR(o_orderdate) || 'q' || QUARTER(o_orderdate) || '_r' || (o_orderkey % 3) || '.txt' AS path, COUNT(*) AS rows,
+  MIN(CASE WHEN kd = 'ptp' AND o_orderkey % 997 = 0 THEN 'bad date' WHEN kd = 'mue' AND o_orderkey % 991 = 0 THEN 'limit is no number' END) AS bad FROM o WHERE o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0 GROUP BY 1),
+b AS (SELECT c.*, batch, COUNT(*) OVER (PARTITION BY batch, quarter, edit, service, revision) > 1 AND kind = 'edit' AS twice, batch = 'first' AND kind = 'edit' AND quarter > '1999Q4' AS aside FROM c, (VALUES ('first'), ('second')) x(batch) WHERE kind <> 'other' AND (batch = 'second' OR COALESCE(revision, 0) < 2)),
+r AS (SELECT *, CASE WHEN kind = 'edit' AND NOT twice AND NOT aside THEN ROW_NUMBER() OVER (PARTITION BY batch, kind, twice, aside, quarter, edit, service ORDER BY revision DESC, path) END AS rk FROM b),
+f1 AS (SELECT r.* EXCLUDE (batch), CASE WHEN kind = 'error' OR twice THEN 'failed' WHEN aside THEN 'archived_only' WHEN rk > 1 THEN 'superseded' WHEN bad IS NOT NULL THEN 'failed' ELSE 'loaded' END AS status, rows, bad FROM r LEFT JOIN e USING (path) WHERE batch = 'first'),
+l1 AS (SELECT quarter, edit, service, revision AS old, path AS old_path FROM f1 WHERE status = 'loaded'),
+f2 AS (SELECT r.* EXCLUDE (batch), old_path, CASE WHEN kind = 'error' OR twice THEN 'failed' WHEN rk > 1 THEN 'superseded' WHEN revision <= old THEN 'skipped_exists' WHEN bad IS NOT NULL THEN 'failed' WHEN old IS NULL THEN 'loaded' ELSE 'replaced' END AS status, rows, bad FROM r LEFT JOIN e USING (path) LEFT JOIN l1 USING (quarter, edit, service) WHERE batch = 'second'),
+u AS (SELECT 'first' AS batch, 1 AS version, * EXCLUDE (kind), kind, CAST(NULL AS VARCHAR) AS old_path FROM f1 UNION ALL BY NAME SELECT 'second' AS batch, 2 AS version, * FROM f2),
+v AS (SELECT *, status IN ('loaded', 'replaced') OR (status = 'failed' AND rk = 1) AS parsed, CASE WHEN status IN ('loaded', 'replaced') THEN version = MAX(version) FILTER (status IN ('loaded', 'replaced')) OVER (PARTITION BY quarter, edit, service) END AS live FROM u)
+SELECT batch, quarter, edit, service, revision, status, CASE WHEN parsed THEN rows END AS rows, CASE WHEN parsed THEN 2 END AS tolerated_rows, CASE WHEN kind = 'error' THEN 'name not understood' WHEN twice THEN 'two files for one key' WHEN parsed THEN bad END AS error, path,
+  CASE WHEN status = 'replaced' THEN old_path END AS replaced_path, CASE WHEN live THEN rows WHEN live IS NOT NULL THEN 0 END AS live_rows FROM v"""
 _CODE = f"""{SVC}, base AS (SELECT code, K, SUM(qty) AS units, COUNT(DISTINCT member_id) AS members, COUNT(DISTINCT svc_dt) AS days, COUNT(*) AS lines, {_money("paid")} AS paid, SUM(minutes) AS minutes FROM n GROUP BY ALL),
 cd AS (SELECT code, K, svc_dt, COUNT(DISTINCT member_id) AS m, CASE WHEN SUM(minutes) > 0 THEN SUM(minutes) / 60 END AS hours FROM n GROUP BY ALL), ca AS (SELECT code, K, ROUND(AVG(m), 6) AS members_day, QUANTILE_DISC(m, 0.5) AS med_members_day, MAX(m) AS max_members_day, {_shares("pct_days_over")} FROM cd GROUP BY ALL),
 cs AS (SELECT code, K, ROUND(AVG(h), 6) AS avg_session, ROUND(QUANTILE_DISC(h, 0.5), 6) AS med_session, ROUND(MAX(h), 6) AS max_session FROM (SELECT code, K, member_id, svc_dt, SUM(minutes) / 60 AS h FROM n GROUP BY ALL HAVING SUM(minutes) > 0) GROUP BY ALL),
@@ -383,5 +395,6 @@ SELECT entity_id, entity_type, rule_id, family, COUNT(*) AS occasions, COUNT(DIS
     "quarter_completeness": _FILES.replace("FROM f)", "FROM f WHERE NOT (kind = 'edit' AND kd = 'mue' AND sv = 'dme' AND qr LIKE '%Q4'))") + " SELECT q.quarter, e.edit, s.service FROM (SELECT DISTINCT quarter FROM c WHERE kind = 'edit') q, (VALUES ('ptp'), ('mue')) e(edit), (VALUES ('practitioner'), ('outpatient'), ('dme')) s(service) WHERE NOT EXISTS (SELECT 1 FROM c WHERE c.kind = 'edit' AND c.quarter = q.quarter AND c.edit = e.edit AND c.service = s.service)",
     "revision_plan": _FILES + ", h AS (SELECT quarter, edit, service, MAX(revision) AS have FROM c WHERE kind = 'edit' AND quarter < '1998Q1' AND revision < 2 GROUP BY ALL), p AS (SELECT c.*, have, ROW_NUMBER() OVER (PARTITION BY quarter, edit, service ORDER BY revision DESC, path) AS rk FROM c LEFT JOIN h USING (quarter, edit, service) WHERE kind = 'edit') SELECT path, edit, service, quarter, revision, kind, CASE WHEN rk > 1 THEN 'superseded' WHEN have IS NULL THEN 'load' WHEN revision > have THEN 'replace' ELSE 'skipped_exists' END AS status FROM p",
     "missing_quarters": _FILES + ", l AS (SELECT DISTINCT quarter FROM c WHERE kind = 'edit' AND edit = 'ptp' AND service = 'dme' AND revision = 2), r AS (SELECT UNNEST(RANGE((SELECT MIN(CAST(quarter[1:4] AS INTEGER) * 4 + CAST(quarter[6:6] AS INTEGER) - 1) FROM l), 2001 * 4 + 4)) AS i) SELECT (i // 4) || 'Q' || (i % 4 + 1) AS quarter FROM r WHERE (i // 4) || 'Q' || (i % 4 + 1) NOT IN (SELECT quarter FROM l)",
+    "edit_load": _FILES + _EDIT_LOAD,
     "load_baseline": _FILES + ", g AS (SELECT edit, service, quarter, COUNT(*) AS rows FROM c WHERE kind = 'edit' GROUP BY ALL), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY edit, service ORDER BY quarter DESC) AS rk FROM g) SELECT edit, service, quarter, rows FROM k WHERE rk = 1",
 }

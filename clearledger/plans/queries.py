@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FIXTURE as CFG
-from ..functions.scratch import materialise
+from ..functions.scratch import materialise, scratch
 from ..operators import duplicates, evidence, gate, graph, hours, patterns, report, rules, scoring, screen
 from ..operators.prep import prep, restrict_to_detection, service_lines
-from ..sources import editfiles
+from ..sources import editfiles, loads
 from ..sources.claims import claims_view, in_cohort
 from . import screening
 
@@ -407,14 +407,18 @@ def cohort_overview(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- edit files and rules, on tables that Spark derives from the given ones
 
-def _files(spark: SparkSession, d: str) -> DataFrame:
-    """File names from orders: quarter of the order date, and kinds and revisions from its numbers."""
+def _orders(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with the path of a file: quarter of the order date, and kinds and revisions from its numbers."""
     o = spark.read.parquet(f"{d}/orders.parquet")
     kind = F.when(F.col("o_custkey") % 2 == 0, "ptp").otherwise("mue")
     service = F.element_at(F.array(*[F.lit(s) for s in editfiles.SERVICES]), (F.col("o_custkey") % 3 + 1).cast("int"))
     q = F.concat(F.year("o_orderdate").cast("string"), F.lit("q"), F.quarter("o_orderdate").cast("string"))
     name = F.when(F.col("o_orderkey") % 97 == 0, F.concat(F.lit("edits_"), F.col("o_orderkey").cast("string"), F.lit(".txt"))).when(F.col("o_orderkey") % 89 == 0, F.concat(F.lit("notes_"), F.col("o_orderkey").cast("string"), F.lit(".pdf"))).otherwise(F.concat_ws("_", kind, service, q, F.concat(F.lit("r"), (F.col("o_orderkey") % 3).cast("string"), F.lit(".txt"))))
-    return o.select(F.concat(F.lit("/drop/"), (F.col("o_orderkey") % 2).cast("string"), F.lit("/"), name).alias("path")).distinct()
+    return o.withColumn("path", F.concat(F.lit("/drop/"), (F.col("o_orderkey") % 2).cast("string"), F.lit("/"), name))
+
+
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    return _orders(spark, d).select("path").distinct()
 
 
 def file_classes(spark: SparkSession, d: str) -> DataFrame:
@@ -446,6 +450,33 @@ def load_baseline(spark: SparkSession, d: str) -> DataFrame:
     return editfiles.baseline(editfiles.classify(_files(spark, d)).where("kind = 'edit'"))
 
 
+def _edit_text(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Edit files and their lines, written from orders: a title, a header, a row for each order of the file, a footer; some rows are wrong."""
+    o = _orders(spark, d).where("path not rlike 'edits_|notes_'")
+    pair, k = F.col("path").contains("/ptp_"), F.col("o_orderkey")
+    day = F.when(k % 997 == 0, "20011399").otherwise(F.date_format("o_orderdate", "yyyyMMdd"))
+    row = F.when(pair, F.concat_ws("\t", F.concat(F.lit("A"), F.col("o_custkey").cast("string")), F.concat(F.lit("B"), (k % 50).cast("string")), day, F.lit("*"), (k % 2).cast("string"))).otherwise(F.concat_ws("\t", F.concat(F.lit("C"), F.col("o_custkey").cast("string")), F.when(k % 991 == 0, "many").otherwise((k % 9).cast("string"))))
+    head = F.when(pair, "\t".join(editfiles.COLUMNS["ptp"])).otherwise("\t".join(editfiles.COLUMNS["mue"]))
+    at = lambda block, line: F.struct(F.lit(block).cast("long").alias("block"), line.cast("long").alias("line")).alias("place")
+    names = materialise(o.select("path").distinct(), "names")
+    frame = names.select("path", F.explode(F.array(*[F.struct(at(block, F.lit(0)), text.alias("value")) for block, text in ((0, F.lit("A title")), (1, head), (3, F.lit("Source: orders")))])).alias("x")).select("path", "x.*")
+    files = editfiles.classify(_files(spark, d).withColumn("sha256", F.sha2("path", 256)))
+    return files, materialise(frame.unionByName(o.select("path", at(2, k), row.alias("value"))), "lines")
+
+
+def edit_load(spark: SparkSession, d: str) -> DataFrame:
+    """The log of three loads: the first without the second revisions and the latest years, the second of everything, the third a repetition of the second."""
+    files, lines = _edit_text(spark, d)
+    target = scratch(spark, "edits")
+    early = [f"{y}Q{q}" for y in range(1990, 2000) for q in range(1, 5)]
+    loads.load_lines(files.where("coalesce(revision, 0) < 2"), lines, target, "first", quarters=early)
+    loads.load_lines(files, lines, target, "second")
+    loads.load_lines(files, lines, target, "second")
+    held = loads.table(spark, target, "ptp").select("path").unionByName(loads.table(spark, target, "mue").select("path")).groupBy("path").agg(F.count("*").alias("live_rows"))
+    told = loads.log(spark, target).join(held, "path", "left")
+    return told.select("batch", "quarter", "edit", "service", "revision", "status", "rows", "tolerated_rows", "error", "path", "replaced_path", F.when(F.col("status").isin(*loads.LIVE), F.coalesce("live_rows", F.lit(0))).cast("long").alias("live_rows"))
+
+
 def _rules_table(spark: SparkSession, d: str) -> DataFrame:
     """Billing rules written from parts: each part gives a rule whose fields vary with its numbers."""
     p = spark.read.parquet(f"{d}/part.parquet")
@@ -486,6 +517,6 @@ PLAIN = (
     case_leads, reasons, check_leads, evidence_cards, drill_down, clinician_day, line_exposure, recovery_dollars, cookie_cutter, pattern_sizes, repeat_packages, session_hours, top_code_share, servicing_features, billing_features,
     lookalike_score, signature_features, pattern_table, primary_billers, calibration, trend_labels, network_links, exposure_summary, screen_order, dup_groups, dup_pairs, dup_involvement, dup_reference, dup_largest, self_listed, target_dups,
     daily_volume, thresholds, totals, clinician_day_mix, peer_medians, members_per_day, counterparty_breakdown, counterparty_daily, outlier_clinicians, percent_ranks, code_profile, code_patterns, code_report, anomalous_codes,
-    code_counterparty, consolidated, target_self_listing, cohort_overview, file_classes, duplicate_files, quarter_completeness, revision_plan, missing_quarters, load_baseline, gate_status, gate_accepted,
+    code_counterparty, consolidated, target_self_listing, cohort_overview, file_classes, duplicate_files, quarter_completeness, revision_plan, missing_quarters, load_baseline, edit_load, gate_status, gate_accepted,
 )
 QUERIES: dict[str, Query] = RULE_QUERIES | {f.__name__: f for f in PLAIN} | {"exposure_by_clinician": _exposure("servicing_id"), "exposure_by_biller": _exposure("billing_id")}

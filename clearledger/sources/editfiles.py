@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from ..contracts import LOAD_LOG
+from ..functions.scratch import materialise
 
 EDITS, SERVICES = ("ptp", "mue"), ("practitioner", "outpatient", "dme")
 NAME = r"(?i)(ptp|mue)_(practitioner|outpatient|dme)_(\d{4})q([1-4])(?:_r(\d+))?\.txt$"
@@ -68,24 +68,29 @@ def _date_ok(c: Column) -> Column:
     return F.try_to_date(c, "yyyyMMdd").isNotNull()
 
 
-def parse(spark: SparkSession, files: DataFrame, edit: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, status) of planned files of one kind of edit, read as text by Spark.
+def read_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """(path, place, value): the lines of files, read as text by Spark. A line's place is its block in the file and its place in the block."""
+    paths = [r.path for r in files.select("path").distinct().collect()]  # one row a file: six a quarter
+    if not paths:
+        return spark.createDataFrame([], "path string, place struct<block:long,line:long>, value string")
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    return spark.read.text(paths).select(F.col("_metadata.file_path").alias("path"), place.alias("place"), "value")
+
+
+def parse(lines: DataFrame, files: DataFrame, edit: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, status) of planned files (status load or replace) of one kind of edit, from their lines (path, place, value).
 
     Lines before the header are tolerated and never loaded, whatever they look like; a footer is recognised; any other row that does not parse fails its
-    whole file. A line's place is its block in the file and its place in the block.
+    whole file. The lines are classified once and written.
     """
     cols = COLUMNS[edit]
     todo = files.where((F.col("edit") == edit) & F.col("status").isin("load", "replace"))
-    paths = [r.path for r in todo.select("path").collect()]  # one row a file: six a quarter
-    if not paths:
-        empty = ", ".join([f"{c} string" for c in cols] + ["path string", "quarter string", "service string", "revision int"])
-        return spark.createDataFrame([], empty), spark.createDataFrame([], "path string, rows long, tolerated_rows long, error string")
-    text = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("path"), F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("place"))
+    text = lines.join(todo.select("path"), "path", "left_semi")
     cells = F.split("value", "\t")
     header = F.lower("value") == "\t".join(cols)
     kind = F.when(header, "header").when(F.trim("value") == "", "blank").when(F.col("value").rlike(FOOTER), "footer").when(F.size(cells) == len(cols), "row").otherwise("other")
-    t = text.withColumn("kind", kind).withColumn("cells", cells)
-    heads = t.where("kind = 'header'").groupBy("path").agg(F.min("place").alias("head"))  # a row a file
+    t = materialise(text.select("path", "place", kind.alias("kind"), cells.alias("cells")), "parsed")
+    heads = t.where("kind = 'header'").groupBy("path").agg(F.min("place").alias("head"))  # a row for each file
     t = t.join(heads, "path", "left").withColumn("kind", F.when(F.col("place") < F.col("head"), "preamble").otherwise(F.col("kind")))
     r = t.where("kind = 'row'").select("path", *[F.trim(F.col("cells")[i]).alias(c) for i, c in enumerate(cols)])
     if edit == "ptp":
@@ -100,25 +105,6 @@ def parse(spark: SparkSession, files: DataFrame, edit: str) -> tuple[DataFrame,
     return good.drop("bad"), status
 
 
-def load(spark: SparkSession, folder: str, target: str, loaded: DataFrame | None = None) -> DataFrame:
-    """Load what is new into target/<edit>, partitioned by quarter and service, and return the log, a row a file.
-
-    Only partitions with new rows are replaced, so a repeated call changes nothing.
-    """
-    files = listing(spark, folder)
-    twice = duplicate_files(files).select("path").withColumn("twice", F.lit(True))
-    plan = revision_plan(files.join(twice, "path", "left_anti"), loaded)
-    logs = None
-    for edit in EDITS:
-        rows, status = parse(spark, plan, edit)
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quarter", "service").parquet(f"{target}/{edit}")
-        logs = status if logs is None else logs.unionByName(status)
-    told = plan.join(logs, "path", "left").withColumn("status", F.when(F.col("error").isNotNull(), "failed").when(F.col("status") == "load", "loaded").when(F.col("status") == "replace", "replaced").otherwise(F.col("status")))
-    out = told.withColumn("note", F.lit(None).cast("string")).unionByName(files.join(twice, "path").drop("twice").withColumns({"status": F.lit("failed"), "rows": F.lit(None).cast("long"), "tolerated_rows": F.lit(None).cast("long"), "error": F.lit("two files for one key"), "note": F.lit(None).cast("string")}))
-    out = out.unionByName(files.where("kind = 'error'").withColumns({"status": F.lit("failed"), "rows": F.lit(None).cast("long"), "tolerated_rows": F.lit(None).cast("long"), "error": F.lit("name not understood"), "note": F.lit(None).cast("string")}))
-    return out.select(*[F.col(f.name).cast(f.dataType) for f in LOAD_LOG])
-
-
 def status_report(log: DataFrame) -> DataFrame:
     return log.groupBy("status").agg(F.count("*").alias("files"))
 

@@ -18,7 +18,7 @@ from clearledger.functions.orderstats import deviation, percentiles, with_averag
 from clearledger.functions.scratch import connected_components
 from clearledger.operators import duplicates, evidence, gate, patterns, rules, scoring, screen
 from clearledger.operators.prep import in_windows, prep, service_lines
-from clearledger.sources import editfiles, sinks
+from clearledger.sources import editfiles, loads, sinks
 
 DAY = dt.date(2001, 5, 1)
 BASE = dict(line_id="a", claim_id=1, member_id=1, billing_id=10, servicing_id=20, code="T1", code_desc="CARE, PER 15 MINUTES", cos="CARE", qty=1.0, paid=10.0, svc_dt=DAY, svc_end=None, lob=None, tax_id=5, mod1=None, mod2=None, mod3=None, mod4=None, status="A")
@@ -197,14 +197,13 @@ def test_edit_files_load_once(spark, tmp_path):
     (drop / "mue_dme_2024q1_r0.txt").write_text("code\tunit_limit\nA\tmany\n")
     (drop / "my_edit_list.txt").write_text("x")
     (drop / "readme.txt").write_text("x")
-    log = {r.path.split("/")[-1]: r for r in editfiles.load(spark, str(drop), target).collect()}
+    log = {r.path.split("/")[-1]: r for r in loads.load(spark, str(drop), target, "one").collect()}
     assert {k: v.status for k, v in log.items()} == {"ptp_practitioner_2024q1_r0.txt": "superseded", "ptp_practitioner_2024q1_r1.txt": "loaded", "mue_dme_2024q1_r0.txt": "failed", "my_edit_list.txt": "failed"}
-    assert spark.read.parquet(f"{target}/ptp").count() == 2
-    loaded = spark.createDataFrame([("2024Q1", "ptp", "practitioner", 1)], "quarter string, edit string, service string, revision int")
-    again = {r.path.split("/")[-1]: r.status for r in editfiles.load(spark, str(drop), target, loaded).collect()}
-    assert again["ptp_practitioner_2024q1_r1.txt"] == "skipped_exists" and spark.read.parquet(f"{target}/ptp").count() == 2
+    assert loads.table(spark, target, "ptp").count() == 2
+    again = {r.path.split("/")[-1]: r.status for r in loads.load(spark, str(drop), target, "two").collect()}
+    assert again["ptp_practitioner_2024q1_r1.txt"] == "skipped_exists" and loads.table(spark, target, "ptp").count() == 2
     with pytest.raises(RuntimeError):
-        editfiles.go(editfiles.load(spark, str(drop), target, loaded))
+        editfiles.go(loads.log(spark, target))
 
 
 def test_schema_check(spark):
@@ -230,14 +229,3 @@ def test_invariants_hold(spark, sf_dir):
     from clearledger.plans.queries import check_leads, invariants
 
     assert all(r.violations == 0 for r in itertools.chain(invariants(spark, sf_dir).collect(), check_leads(spark, sf_dir).collect()))
-
-
-def test_stream_of_new_files(spark, tmp_path):
-    from clearledger.streaming.dropzone import log_new_files
-
-    drop = tmp_path / "in"
-    drop.mkdir()
-    (drop / "mue_dme_2024q1.txt").write_text("x")
-    for _ in range(2):
-        log_new_files(spark, str(drop), str(tmp_path / "log"), str(tmp_path / "check"))
-    assert [(r.edit, r.quarter, r.revision) for r in spark.read.parquet(str(tmp_path / "log")).collect()] == [("mue", "2024Q1", 0)]
