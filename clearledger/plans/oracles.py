@@ -129,6 +129,7 @@ shared AS (SELECT a.billing_id AS pa, b.billing_id AS pb, a.size AS sza, b.size
 pairs AS (SELECT *, LN(CAST(shared * (SELECT COUNT(DISTINCT member_id) FROM paid) AS DOUBLE) / (sza * szb)) AS pmi, CAST(shared AS DOUBLE) / (sza + szb - shared) AS jaccard FROM shared)"""
 _NAMES = """names AS (SELECT l.entity_id, 'billing' AS entity_type, s_name AS name, CASE WHEN s_acctbal < 0 THEN 'GROUP' ELSE 'SOLO' END AS ptype FROM (SELECT DISTINCT billing_id AS entity_id, tax_id FROM claims) l JOIN supplier ON s_suppkey % 25 = l.entity_id)"""
 
+_COHORT = "servicing_id <> -1 AND servicing_id % 3 <> 2"
 #: The cohort's lines as the screen uses them.
 SVC = f"""WITH {_claims(True)}, svc AS (SELECT *, UPPER(TRIM(code)) AS ucode, billing_id = servicing_id AS own, COALESCE(mod1, '') <> 'HQ' AND UPPER(code) IN ({", ".join(f"'BRAND#{i}'" for i in range(1, 10))}) AS timed,
   CONCAT_WS('|', UPPER(TRIM(code)), COALESCE(mod1, ''), '', '', '', CAST(qty AS VARCHAR)) AS signature FROM claims WHERE status = 'A' AND servicing_id <> -1 AND servicing_id % 3 <> 2),
@@ -240,6 +241,41 @@ _CALIBRATION = """own AS (SELECT w.win, p.* EXCLUDE (win) FROM windows w LEFT JO
   SELECT win, servicing_id, 'days over 24h with another biller' AS "check", CAST(days_over_24h_with_other AS VARCHAR) AS value, days_over_24h_with_other >= 2 AS ok FROM own
   UNION ALL SELECT win, servicing_id, 'bills itself and is billed by others', CONCAT_WS('/', self_lines, other_lines), self_lines > 0 AND other_lines > 0 FROM own UNION ALL SELECT win, servicing_id, 'share of other billers', CAST(ROUND(other_share, 3) AS VARCHAR), other_share >= 0.5 FROM own
   UNION ALL SELECT win, servicing_id, 'units ratio of others', CAST(ROUND(units_ratio, 2) AS VARCHAR), units_ratio >= 5 FROM own UNION ALL SELECT win, servicing_id, 'pattern label', pattern, pattern = 'Full' FROM own)"""
+
+
+def _assembled(p: str, key: str, looks: str, source: str, extra: str, parts: str) -> str:
+    """The combined table with all its columns: states and scores by window beside each other, and what else is known of the key."""
+    w = {"Full": "Full", "1Y": "1Y", "6M": "6M"}
+    state = ", ".join(f"MAX(CASE WHEN win = '{x}' THEN {c} END) AS \"{c}_{x}\"" for c in ("status", "pattern") for x in w)
+    score = ", ".join(f"ROUND(MAX(CASE WHEN win = '{x}' THEN {c} END), 6) AS \"{n}_{x}\"" for c, n in (("similarity", "similarity"), ("signature_match", "signature_match")) for x in w)
+    flags = ", ".join(f"MAX(CASE WHEN win = '{x}' THEN {c} END) AS \"{n}_{x}\"" for c, n in (("n_red_flags", "n_flags"), ("red_flags", "red_flags"), ("tier2_per_month", "tier2_per_month")) for x in w)
+    claims = "SELECT * FROM claims WHERE status = 'A'"
+    return f""", {p}st AS (SELECT {key}, {state} FROM {p}state GROUP BY 1), {p}z AS (SELECT l.*, tier2_per_month, top_code, CASE win WHEN 'Full' THEN 0 WHEN '1Y' THEN 1 ELSE 2 END AS place FROM {looks} l JOIN {source} USING (win, {key})),
+{p}zz AS (SELECT {key}, {score}, {flags}, MAX(CASE WHEN place = (SELECT MIN(place) FROM {p}z) THEN top_code END) AS top_code FROM {p}z GROUP BY 1),
+{p}paid AS (SELECT * FROM ({claims}) WHERE svc_dt >= (SELECT MAX(svc_dt) FROM n) - INTERVAL 24 MONTH), {p}keys AS (SELECT DISTINCT member_id, code, svc_dt FROM ({claims}) WHERE {_COHORT}),
+{p}per AS (SELECT member_id, code, svc_dt, billing_id, {_money("paid")} AS paid, LIST(DISTINCT servicing_id) AS servicers FROM {p}paid SEMI JOIN {p}keys USING (member_id, code, svc_dt) WHERE paid > 0 AND (lob IS NULL OR lob <> 'MSP') GROUP BY ALL),
+{p}grp AS (SELECT LIST_DISTINCT(LIST_CONCAT(LIST(billing_id), FLATTEN(LIST(servicers)))) AS who, CAST(SUM(CAST(paid AS DECIMAL(18,2))) - MAX(CAST(paid AS DECIMAL(18,2))) AS DOUBLE) AS dup FROM {p}per GROUP BY member_id, code, svc_dt HAVING COUNT(*) >= 2),
+{p}inv AS (SELECT {key}, COUNT(*) AS dup_services, {_money("dup")} AS dup_paid FROM (SELECT UNNEST(who) AS {key}, dup FROM {p}grp) GROUP BY 1){parts}
+SELECT t.*, {p}st.* EXCLUDE ({key}), {p}zz.* EXCLUDE ({key}), r.* EXCLUDE ({key}), dup_services, dup_paid, {extra}, CASE match_basis WHEN 'Both' THEN 1 WHEN 'Pattern only' THEN 2 ELSE 3 END AS basis_rank,
+  CASE WHEN trend = 'Persistent' THEN 1 WHEN trend IN ('Emerging', 'Active - intermittent') THEN 2 WHEN trend = 'Recently normalized' THEN 3 WHEN trend LIKE 'Historical%' THEN 4 ELSE 5 END AS trend_rank
+FROM {p}trend t JOIN {p}st USING ({key}) LEFT JOIN {p}zz USING ({key}) LEFT JOIN {_recovery(key)} r USING ({key}) LEFT JOIN {p}inv USING ({key})"""
+
+
+def _wide_servicing() -> str:
+    measures = "days_over_24h, days_over_24h_with_other, n_other_billers, top_other_biller, other_share, self_units_per_day, other_units_per_day, units_ratio"
+    rounded = ", ".join(f"ROUND({m}, 6) AS {m}" if m in ("other_share", "self_units_per_day", "other_units_per_day", "units_ratio") else f"CAST({m} AS BIGINT) AS {m}" for m in measures.split(", "))
+    parts = f", pw AS (SELECT servicing_id, win AS pattern_window, {measures} FROM pattern QUALIFY ROW_NUMBER() OVER (PARTITION BY servicing_id ORDER BY CASE win WHEN 'Full' THEN 0 WHEN '1Y' THEN 1 ELSE 2 END) = 1)"
+    extra = f"COALESCE(servicing_id IN (SELECT servicing_id FROM n WHERE billing_id = 3), FALSE) AS bills_through_reference, pattern_window, {rounded}"
+    return TRENDS + _assembled("c", "servicing_id", "looks", "sdone", extra, parts) + " LEFT JOIN pw USING (servicing_id)"
+
+
+def _wide_billing() -> str:
+    parts = f""", role AS (SELECT billing_id, COUNT(*) AS lines, COUNT(*) FILTER (billing_id = servicing_id) AS self_lines, COALESCE({_money("CASE WHEN billing_id = servicing_id THEN paid END")}, 0) AS self_paid FROM opaid WHERE billing_id IN (SELECT billing_id FROM claims WHERE status = 'A' AND {_COHORT}) GROUP BY 1),
+mc AS (SELECT top_other_biller AS billing_id, STRING_AGG(CAST(servicing_id AS VARCHAR), ', ' ORDER BY servicing_id) AS matched_clinicians FROM (SELECT DISTINCT top_other_biller, servicing_id FROM pattern WHERE pattern IN ('Full', 'Close') AND top_other_biller IS NOT NULL) GROUP BY 1)"""
+    extra = "billing_id IN (SELECT billing_id FROM n WHERE servicing_id = 7) AS reference_bills_here, matched_clinicians, self_lines, ROUND(CAST(self_lines AS DOUBLE) * 100 / lines, 6) AS pct_self_lines, self_paid"
+    return TRENDS + _assembled("o", "billing_id", "mlooks", "bfull", extra, parts) + " LEFT JOIN mc USING (billing_id) LEFT JOIN (SELECT * FROM role WHERE self_lines > 0 AND self_lines < lines) USING (billing_id)"
+
+
 #: Rules derived from parts, and the verdict of the first check that each fails; notes in the order in which they are joined.
 _GATE = """WITH r AS (SELECT 'rule-' || p_partkey AS rule_id, ['edit_file', 'state', 'manual'][p_partkey % 3 + 1] AS origin, CASE WHEN p_partkey % 31 <> 0 THEN p_name END AS statement, CASE WHEN p_partkey % 37 <> 0 THEN 'manual' END AS source,
   CASE WHEN p_partkey % 4 <> 0 THEN [' x' || p_size, ' '] ELSE CAST([] AS VARCHAR[]) END AS given, ['all', 'Members under 21', '', 'ALL MEMBERS', NULL][p_partkey % 5 + 1] AS population, p_partkey % 11 <> 0 AS checkable, p_partkey % 13 = 0 AS ambiguous, p_partkey % 6 = 0 AS lacks,
@@ -284,7 +320,6 @@ grp AS (SELECT member_id, code, svc_dt, COUNT(*) AS n_billers, LIST_SORT(LIST(bi
 shown AS (SELECT * REPLACE (ARRAY_TO_STRING(billers, ',') AS billers, ARRAY_TO_STRING(servicers, ',') AS servicers) FROM grp)"""
 
 
-_COHORT = "servicing_id <> -1 AND servicing_id % 3 <> 2"
 _DAILY = "{0}, svc_dt, SUM(qty) AS units, COUNT(DISTINCT member_id) AS members, SUM(minutes) / 60 AS hours"
 _VOLUME = """SELECT servicing_id, COUNT(*) AS days, ROUND(AVG(units), 6) AS avg_units_day, MAX(units) AS max_units_day, ROUND(AVG(members), 6) AS avg_members_day, MAX(members) AS max_members_day, ROUND(AVG(hours), 6) AS avg_hours_day, MAX(hours) AS max_hours_day,
   QUANTILE_DISC(units, 0.5) AS med_units_day, QUANTILE_DISC(members, 0.5) AS med_members_day, QUANTILE_DISC(hours, 0.5) AS med_hours_day FROM dd GROUP BY servicing_id"""
@@ -361,6 +396,7 @@ SELECT entity_id, entity_type, rule_id, family, COUNT(*) AS occasions, COUNT(DIS
     "trend_labels": TRENDS + " SELECT 'servicing' AS level, servicing_id AS id, * EXCLUDE (servicing_id) FROM ctrend UNION ALL SELECT 'billing', billing_id, * EXCLUDE (billing_id) FROM otrend",
     "network_links": TRENDS + f" SELECT servicing_id, billing_id, pair_paid, c.trend AS servicing_trend, o.trend AS billing_trend FROM (SELECT servicing_id, billing_id, {_money('paid')} AS pair_paid FROM rn GROUP BY ALL) JOIN ctrend c USING (servicing_id) JOIN otrend o USING (billing_id)",
     "exposure_summary": TRENDS + f" {_by_trend('ctrend', 'servicing_id', 'Servicing')} UNION ALL {_by_trend('otrend', 'billing_id', 'Billing')}",
+    "combined_servicing": _wide_servicing(), "combined_billing": _wide_billing(),
     "screen_order": TRENDS + f" SELECT servicing_id, is_reference, match_basis, trend, CASE match_basis WHEN 'Both' THEN 1 WHEN 'Pattern only' THEN 2 ELSE 3 END AS basis_rank, CASE WHEN trend = 'Persistent' THEN 1 WHEN trend IN ('Emerging', 'Active - intermittent') THEN 2 WHEN trend = 'Recently normalized' THEN 3 WHEN trend LIKE 'Historical%' THEN 4 ELSE 5 END AS trend_rank, total_paid, tier1, tier2 FROM ctrend LEFT JOIN {_recovery('servicing_id')} USING (servicing_id)",
     "dup_groups": _dups(_COHORT) + " SELECT * FROM shown",
     "dup_pairs": _dups(_COHORT) + f", o AS (SELECT per.*, same_units FROM per JOIN grp USING (member_id, code, svc_dt)) SELECT a.billing_id AS biller_a, b.billing_id AS biller_b, COUNT(*) AS services, COUNT(*) FILTER (a.same_units) AS services_same_units, COUNT(DISTINCT a.member_id) AS members, {_money('LEAST(a.paid, b.paid)')} AS possible_duplicate_paid, {_money('CAST(a.paid AS DECIMAL(18,2)) + CAST(b.paid AS DECIMAL(18,2))')} AS paid_by_both FROM o a JOIN o b ON a.member_id = b.member_id AND a.code = b.code AND a.svc_dt = b.svc_dt AND a.billing_id < b.billing_id GROUP BY ALL",

@@ -288,6 +288,18 @@ def screen_order(spark: SparkSession, d: str) -> DataFrame:
     return rounded(out.select("servicing_id", "is_reference", "match_basis", "trend", "basis_rank", "trend_rank", "total_paid", "tier1", "tier2"))
 
 
+def _screen(spark: SparkSession, d: str) -> screening.Screen:
+    return screening.run(claims_view(spark, d).where("status = 'A'"), cohort_claims(spark, d), CFG)
+
+
+def combined_servicing(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(_screen(spark, d).servicing)
+
+
+def combined_billing(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(_screen(spark, d).billing)
+
+
 # ---- duplicates
 
 def _per_biller(spark: SparkSession, d: str) -> DataFrame:
@@ -515,7 +527,7 @@ RULE_QUERIES: dict[str, Query] = {
 PLAIN = (
     flagged_lines, dollars_at_risk, risk_score, provider_context, independent_families, queue, tier_mix, hits_per_rule, invariants, biller_pmi, member_fanout, connected_components, label_propagation, modularity, top_edges, provider_names, rule_stats,
     case_leads, reasons, check_leads, evidence_cards, drill_down, clinician_day, line_exposure, recovery_dollars, cookie_cutter, pattern_sizes, repeat_packages, session_hours, top_code_share, servicing_features, billing_features,
-    lookalike_score, signature_features, pattern_table, primary_billers, calibration, trend_labels, network_links, exposure_summary, screen_order, dup_groups, dup_pairs, dup_involvement, dup_reference, dup_largest, self_listed, target_dups,
+    lookalike_score, signature_features, pattern_table, primary_billers, calibration, trend_labels, network_links, exposure_summary, screen_order, combined_servicing, combined_billing, dup_groups, dup_pairs, dup_involvement, dup_reference, dup_largest, self_listed, target_dups,
     daily_volume, thresholds, totals, clinician_day_mix, peer_medians, members_per_day, counterparty_breakdown, counterparty_daily, outlier_clinicians, percent_ranks, code_profile, code_patterns, code_report, anomalous_codes,
     code_counterparty, consolidated, target_self_listing, cohort_overview, file_classes, duplicate_files, quarter_completeness, revision_plan, missing_quarters, load_baseline, edit_load, gate_status, gate_accepted,
 )
