@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ..operators.evidence import BANNED, BASIS, FINDINGS  # fixed texts
+
 
 def _claims(dense: bool) -> str:
     member, biller, unit = ("o_custkey % 60", "l_suppkey % 25", "month") if dense else ("o_custkey", "l_suppkey", "week")
@@ -12,7 +14,7 @@ def _claims(dense: bool) -> str:
   REGEXP_MATCHES(UPPER(code_desc), 'UP TO\\s+\\d+') AS bounded FROM (SELECT CONCAT_WS('-', l_orderkey, l_linenumber, l_suppkey, l_partkey, CAST(l_shipdate AS DATE)) AS line_id, l_orderkey AS claim_id, {member} AS member_id, {biller} AS billing_id,
   CAST(CASE WHEN l_linenumber = 7 THEN -1 WHEN l_partkey % 4 = 0 THEN l_suppkey % 25 WHEN l_partkey % 4 = 1 THEN (l_suppkey * l_suppkey) % 25 ELSE l_suppkey % 25 + 25 * (1 + l_partkey % (1 + l_suppkey % 9)) END AS BIGINT) AS servicing_id,
   p_brand AS code, p_type AS cos, CASE WHEN p_partkey % 500 = 7 THEN 'SUPPLY, PER 99999999999 MINUTES' ELSE [{texts}][p_partkey % 10 + 1] END AS code_desc, l_quantity AS qty, l_extendedprice AS paid,
-  CAST(DATE_TRUNC('{unit}', l_shipdate) AS DATE) AS svc_dt, CAST(s_nationkey AS BIGINT) AS tax_id, CASE WHEN o_orderpriority = '5-LOW' THEN 'MSP' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END AS lob,
+  CAST(DATE_TRUNC('{unit}', l_shipdate) AS DATE) AS svc_dt, CASE WHEN l_linenumber = 5 THEN CAST(DATE_TRUNC('{unit}', l_shipdate) AS DATE) + CAST(1 + 2 * (l_partkey % 2) AS INTEGER) END AS svc_end, CAST(s_nationkey AS BIGINT) AS tax_id, CASE WHEN o_orderpriority = '5-LOW' THEN 'MSP' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN NULL ELSE o_orderpriority END AS lob,
   CASE WHEN l_linenumber = 6 THEN 'HQ' END AS mod1, CASE WHEN l_returnflag = 'R' THEN 'V' ELSE 'A' END AS status
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey))"""
 
@@ -34,7 +36,7 @@ TITLE = {
 }
 #: Ties at one decimal place go up, as in the other engine.
 _PART = "code || ' ' || FORMAT('{:.1f}', ROUND(minutes / 60, 1)) || 'h'"
-_R1_TEXT = "CONCAT_WS('; ', ARRAY_TO_STRING(parts, ' + '), CASE WHEN codes > 1 THEN 'several codes together' END, CASE WHEN bounded THEN 'some units are upper bounds' END, CASE WHEN exact > 1440 THEN 'one code alone passes the limit' END)"
+_R1_TEXT = "CONCAT_WS('; ', ARRAY_TO_STRING(parts, ' + '), CASE WHEN codes > 1 THEN 'several codes together' END, CASE WHEN bounded THEN 'some units are upper bounds' END, CASE WHEN spans THEN 'multi-day lines count by day' END, CASE WHEN exact > 1440 THEN 'one code alone passes the limit' END)"
 _R5_TEXT = "CASE WHEN z > 1.2 AND n > GREATEST(many, 1) THEN 'price_and_stacked' WHEN z > 1.2 THEN 'price' ELSE 'stacked' END"
 
 
@@ -50,8 +52,8 @@ def _group(name: str, keys: str, more: str, where: str = "TRUE", source: str = "
 #: CTEs of each rule, and its hits.
 RULES: dict[str, tuple[str, str]] = {
     "R1": (
-        f"""c1 AS (SELECT billing_id, member_id, svc_dt, code, SUM(qty * unit) AS minutes, MAX(bounded) AS bounded, {_money("paid")} AS dollars, LIST(DISTINCT cos) AS cs, LIST(line_id) AS ks FROM paid WHERE unit IS NOT NULL GROUP BY ALL),
-g1 AS (SELECT billing_id, member_id, svc_dt, LIST_SORT(LIST({_PART})) AS parts, COUNT(*) AS codes, MAX(bounded) AS bounded, SUM(minutes) AS minutes, MAX(minutes) FILTER (NOT bounded) AS exact, {_money("dollars")} AS dollars, ARRAY_TO_STRING(LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(cs)))), ', ') AS cos, LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(ks)))) AS line_keys FROM c1 GROUP BY ALL HAVING SUM(minutes) > 1440)""",
+        f"""c1 AS (SELECT billing_id, member_id, svc_dt, code, SUM(qty * unit / GREATEST(COALESCE(svc_end, svc_dt) - svc_dt + 1, 1)) AS minutes, MAX(bounded) AS bounded, MAX(COALESCE(svc_end > svc_dt, FALSE)) AS spans, {_money("paid")} AS dollars, LIST(DISTINCT cos) AS cs, LIST(line_id) AS ks FROM paid WHERE unit IS NOT NULL GROUP BY ALL),
+g1 AS (SELECT billing_id, member_id, svc_dt, LIST_SORT(LIST({_PART})) AS parts, COUNT(*) AS codes, MAX(bounded) AS bounded, MAX(spans) AS spans, SUM(minutes) AS minutes, MAX(minutes) FILTER (NOT bounded) AS exact, {_money("dollars")} AS dollars, ARRAY_TO_STRING(LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(cs)))), ', ') AS cos, LIST_SORT(LIST_DISTINCT(FLATTEN(LIST(ks)))) AS line_keys FROM c1 GROUP BY ALL HAVING SUM(minutes) > 1440)""",
         _hit("R1", "g1", "minutes / 1440", "minutes / 60", "CASE WHEN exact > 1440 THEN 1 ELSE 2 END", cos="cos", detail=_R1_TEXT),
     ),
     "R2": (
@@ -127,11 +129,11 @@ q AS (SELECT * EXCLUDE (score0), ROUND(score0 * CASE WHEN corroborated THEN 1.3
 _PAIRS = """own AS (SELECT DISTINCT billing_id, member_id FROM paid), panels AS (SELECT billing_id, COUNT(*) AS size FROM own GROUP BY billing_id HAVING COUNT(*) >= 5), o AS (SELECT own.*, size FROM own JOIN panels USING (billing_id)),
 shared AS (SELECT a.billing_id AS pa, b.billing_id AS pb, a.size AS sza, b.size AS szb, COUNT(*) AS shared FROM o a JOIN o b ON a.member_id = b.member_id AND a.billing_id < b.billing_id GROUP BY ALL HAVING COUNT(*) >= 3),
 pairs AS (SELECT *, LN(CAST(shared * (SELECT COUNT(DISTINCT member_id) FROM paid) AS DOUBLE) / (sza * szb)) AS pmi, CAST(shared AS DOUBLE) / (sza + szb - shared) AS jaccard FROM shared)"""
-_NAMES = """names AS (SELECT l.entity_id, 'billing' AS entity_type, s_name AS name, CASE WHEN s_acctbal < 0 THEN 'GROUP' ELSE 'SOLO' END AS ptype FROM (SELECT DISTINCT billing_id AS entity_id, tax_id FROM claims) l JOIN supplier ON s_suppkey % 25 = l.entity_id)"""
+_NAMES = """names AS (SELECT billing_id AS entity_id, 'billing' AS entity_type, s_name AS name, CASE WHEN s_acctbal < 0 THEN 'GROUP' ELSE 'SOLO' END AS ptype FROM claims JOIN supplier ON s_suppkey = CAST(SPLIT_PART(line_id, '-', 3) AS BIGINT))"""
 
 _COHORT = "servicing_id <> -1 AND servicing_id % 3 <> 2"
 #: The cohort's lines as the screen uses them.
-SVC = f"""WITH {_claims(True)}, svc AS (SELECT *, UPPER(TRIM(code)) AS ucode, billing_id = servicing_id AS own, COALESCE(mod1, '') <> 'HQ' AND UPPER(code) IN ({", ".join(f"'BRAND#{i}'" for i in range(1, 10))}) AS timed,
+SVC = f"""WITH {_claims(True)}, svc AS (SELECT *, UPPER(TRIM(code)) AS ucode, billing_id = servicing_id AS own, COALESCE(mod1, '') <> 'HQ' AND UPPER(code) IN ({", ".join(f"'BRAND#{i}'" for i in range(1, 10))}) AND COALESCE(svc_end, svc_dt) = svc_dt AS timed,
   CONCAT_WS('|', UPPER(TRIM(code)), COALESCE(mod1, ''), '', '', '', CAST(qty AS VARCHAR)) AS signature FROM claims WHERE status = 'A' AND servicing_id <> -1 AND servicing_id % 3 <> 2),
 n AS (SELECT * EXCLUDE (code, ucode), ucode AS code, CASE WHEN timed THEN qty * 15 ELSE 0.0 END AS minutes, DATE_TRUNC('month', svc_dt) AS mon FROM svc)"""
 _OVER = "CASE WHEN minutes > {0} THEN (minutes - {0}) / minutes ELSE 0.0 END"
@@ -311,6 +313,46 @@ lp AS (SELECT 0 AS k, id, id AS label FROM (SELECT DISTINCT id FROM e) UNION ALL
 settled AS (SELECT id, label AS community FROM lp WHERE k = {rounds})"""
 
 
+_STATS = """keys AS (SELECT entity_id, entity_type, rule_id, family, UNNEST(line_keys[:5]) AS key, UNNEST(RANGE(LEN(line_keys[:5]))) AS i, hit_dollars, ARRAY_TO_STRING(line_keys[:5], '|') AS k FROM hits),
+firsts AS (SELECT * EXCLUDE (key), key FROM keys QUALIFY ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type, rule_id, family ORDER BY hit_dollars DESC, k, i) <= 5),
+ex AS (SELECT entity_id, entity_type, rule_id, family, STRING_AGG(key, ',' ORDER BY hit_dollars DESC, k, i) AS example_keys FROM firsts GROUP BY ALL),
+stats AS (SELECT entity_id, entity_type, rule_id, family, COUNT(*) AS occasions, COUNT(DISTINCT member_id) AS members, ROUND(MAX(metric), 6) AS peak, COUNT(*) FILTER (rule_id = 'R5' AND detail LIKE 'price%') AS by_price, COUNT(*) FILTER (rule_id = 'R5' AND detail LIKE '%stacked') AS by_lines,
+  COUNT(*) FILTER (detail LIKE '%one code alone%') AS single_code_days, ANY_VALUE(example_keys) AS example_keys FROM hits JOIN ex USING (entity_id, entity_type, rule_id, family) GROUP BY ALL)"""
+
+
+def _leads() -> str:
+    """The texts of the leads: templates with their marks filled in, findings numbered, and the grounds wrapped a word at a time."""
+    quoted = lambda text: "'" + text.replace("'", "''") + "'"
+    table = ", ".join(f"('{rule}', {quoted(title)}, {quoted(body)})" for rule, (title, body) in FINDINGS.items())
+    banned = " OR ".join(f"CONTAINS(LOWER(lead), '{x}')" for x in BANNED)
+    return QUEUE + f""", {_STATS}, texts AS (SELECT * FROM (VALUES {table}) t(rule_id, title, body)), {_NAMES},
+nc AS (SELECT entity_id, entity_type, name, ptype, COUNT(*) AS n FROM names GROUP BY ALL), nk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type ORDER BY n DESC, name NULLS FIRST, ptype NULLS FIRST) AS rk FROM nc), nm AS (SELECT *, MAX(CASE WHEN rk = 1 THEN name END) OVER (PARTITION BY entity_id, entity_type) AS main FROM nk),
+named AS (SELECT entity_id, entity_type, MAX(CASE WHEN rk = 1 THEN name END) AS name, MAX(CASE WHEN rk = 1 THEN ptype END) AS ptype, STRING_AGG(DISTINCT name, '; ' ORDER BY name) FILTER (rk > 1 AND name <> main) AS other_names FROM nm GROUP BY ALL),
+found AS (SELECT s.*, t.title, REPLACE(REPLACE(REPLACE(body, '{{n}}', CAST(occasions AS VARCHAR)), '{{members}}', CAST(members AS VARCHAR)), '{{peak}}', FORMAT('{{:.0f}}', ROUND(peak)))
+  || CASE WHEN s.rule_id = 'R5' THEN ' By amount: ' || by_price || '; by lines: ' || by_lines || '.' WHEN s.rule_id = 'R1' AND single_code_days > 0 THEN ' On ' || single_code_days || ' of them one code alone passes the limit.' ELSE '' END || ' Examples: ' || REPLACE(example_keys, ',', ', ') AS sentence FROM stats s JOIN texts t USING (rule_id)),
+listed AS (SELECT entity_id, entity_type, STRING_AGG(k || '. ' || title || tag || ': ' || sentence, CHR(10) ORDER BY k) AS body FROM (SELECT f.*, CASE WHEN LIST_CONTAINS(STRING_SPLIT(families, ','), f.family) THEN '' ELSE ' (not independent)' END AS tag, ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type ORDER BY f.rule_id) AS k FROM found f JOIN q USING (entity_id, entity_type) WHERE corroborated) GROUP BY ALL),
+words AS (SELECT entity_id, entity_type, STRING_SPLIT('Grounds: ' || independent_families || ' independent kind(s) of pattern (' || families || '), ' || members_flagged || ' member(s), ' || member_days_flagged || ' member-day(s).', ' ') AS ws FROM q WHERE corroborated),
+wrap AS (SELECT entity_id, entity_type, ws, 1 AS i, '' AS done, ws[1] AS line FROM words UNION ALL
+  SELECT entity_id, entity_type, ws, i + 1, CASE WHEN LENGTH(line) + 1 + LENGTH(ws[i + 1]) <= 70 THEN done ELSE done || line || CHR(10) END, CASE WHEN LENGTH(line) + 1 + LENGTH(ws[i + 1]) <= 70 THEN line || ' ' || ws[i + 1] ELSE ws[i + 1] END FROM wrap WHERE i < LEN(ws)),
+grounds AS (SELECT entity_id, entity_type, done || line || CHR(10) AS grounds FROM wrap WHERE i = LEN(ws)),
+leads AS (SELECT q.entity_id, q.entity_type, tier_label, independent_families, CONCAT_WS(CHR(10), 'Lead: ' || CONCAT_WS(' ', q.entity_type, 'provider', q.entity_id, name, '[' || tier_label || ']'), grounds, FORMAT('Dollars at risk: {{:.2f}} of {{:.2f}} paid.', dollars_at_risk, total_paid), body,
+  'Next: request records of the example lines and compare with the schedule.', {quoted(BASIS)}) AS lead FROM q JOIN listed USING (entity_id, entity_type) JOIN grounds USING (entity_id, entity_type) LEFT JOIN named USING (entity_id, entity_type) WHERE corroborated),
+titles AS (SELECT entity_id, entity_type, STRING_AGG(DISTINCT title, '; ' ORDER BY title) AS findings, STRING_AGG(DISTINCT rule_id, ', ' ORDER BY rule_id) AS rule_codes FROM found GROUP BY ALL),
+reasons AS (SELECT 'claims' AS data_source, entity_id, entity_type, name, other_names, ptype, tier_label, independent_families, families AS grounds, members_flagged, member_days_flagged, dollars_at_risk, pct_dollars_at_risk, total_paid, last_svc_dt, days_before_data_end, data_end_date, rule_codes, findings
+  FROM q LEFT JOIN named USING (entity_id, entity_type) LEFT JOIN titles USING (entity_id, entity_type) WHERE corroborated),
+banned AS (SELECT COUNT(*) FILTER ({banned}) AS n FROM leads)"""
+
+
+LEADS = _leads()
+_CHECKED = """, k AS (SELECT entity_id, entity_type FROM q WHERE corroborated) SELECT 'leads match the queue' AS "check", (SELECT COUNT(*) FROM k FULL JOIN leads l USING (entity_id, entity_type) WHERE l.lead IS NULL OR (entity_id, entity_type) NOT IN (SELECT (entity_id, entity_type) FROM k)) AS violations
+UNION ALL SELECT 'the table matches the queue', (SELECT COUNT(*) FROM k FULL JOIN reasons r USING (entity_id, entity_type) WHERE r.data_source IS NULL OR (entity_id, entity_type) NOT IN (SELECT (entity_id, entity_type) FROM k)) UNION ALL SELECT 'shares are within 1', COUNT(*) FILTER (pct_dollars_at_risk > 1.000000001) FROM reasons UNION ALL SELECT 'no banned phrase', n FROM banned"""
+#: The first 15 of the queue, a row for each of their ten largest hits.
+_CARDS = """, top AS (SELECT * FROM q WHERE corroborated ORDER BY CASE tier_label WHEN 'Strong' THEN 0 WHEN 'Moderate' THEN 1 ELSE 2 END, independent_families DESC, risk_score DESC, entity_id, entity_type LIMIT 15),
+held AS (SELECT h.*, ARRAY_TO_STRING(line_keys[:20], '|') AS ek FROM hits h SEMI JOIN top USING (entity_id, entity_type)),
+ten AS (SELECT *, CAST(ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type ORDER BY hit_dollars DESC, rule_id, member_id NULLS FIRST, ek) AS INTEGER) AS place FROM held QUALIFY place <= 10)
+SELECT t.entity_id, t.entity_type, tier_label, independent_families, families, rules, members_flagged, total_paid, dollars_at_risk, pct_dollars_at_risk, place, rule_id, family, title, tier, member_id, cos, hit_dollars, ARRAY_TO_STRING(line_keys[:5], ',') AS example_keys FROM top t JOIN ten USING (entity_id, entity_type)"""
+
+
 def _dups(where: str) -> str:
     """Duplicate groups among lines that share a service with those where the condition holds."""
     return f"""WITH {_claims(True)}, base AS (SELECT * FROM claims WHERE status = 'A'), keys AS (SELECT DISTINCT member_id, code, svc_dt FROM base WHERE {where}), elig AS (SELECT base.* FROM base SEMI JOIN keys USING (member_id, code, svc_dt) WHERE paid > 0 AND (lob IS NULL OR lob <> 'MSP')),
@@ -325,6 +367,14 @@ _VOLUME = """SELECT servicing_id, COUNT(*) AS days, ROUND(AVG(units), 6) AS avg_
   QUANTILE_DISC(units, 0.5) AS med_units_day, QUANTILE_DISC(members, 0.5) AS med_members_day, QUANTILE_DISC(hours, 0.5) AS med_hours_day FROM dd GROUP BY servicing_id"""
 _TOTALS = f"SELECT {{0}}, SUM(qty) AS units, {_money('paid')} AS paid, COUNT(DISTINCT member_id) AS members, COUNT(DISTINCT {{1}}) AS counterparties, COUNT(DISTINCT code) AS codes, COUNT(*) AS lines FROM n GROUP BY {{0}}"
 _PEERS = ", ".join(f"QUANTILE_DISC({c}, 0.5) AS {c}" for c in ("units", "paid", "members", "counterparties", "codes", "lines"))
+#: All measures of the first sheet in each window: the target beside the median of its peers.
+_MEASURES = [*[f"{f}_{c}_day" for f in ("avg", "max", "med") for c in ("units", "members", "hours")], "days", *[f"pct_days_over_{h}h" for h in (4, 8, 12, 16, 20, 24)], "units", "paid", "members", "counterparties", "codes", "lines"]
+_WINDOW_REPORTS = f""", dd AS (SELECT win, servicing_id, svc_dt, SUM(qty) AS units, COUNT(DISTINCT member_id) AS members, SUM(minutes) / 60 AS hours FROM nw GROUP BY ALL),
+vol AS (SELECT win, servicing_id, COUNT(*) AS days, {", ".join(f"AVG({c}) AS avg_{c}_day, MAX({c}) AS max_{c}_day, QUANTILE_DISC({c}, 0.5) AS med_{c}_day" for c in ("units", "members", "hours"))}, {", ".join(f"SUM(CASE WHEN hours > {h} THEN 1 WHEN hours IS NOT NULL THEN 0 END) * 100.0 / COUNT(*) AS pct_days_over_{h}h" for h in (4, 8, 12, 16, 20, 24))} FROM dd GROUP BY ALL),
+tot AS (SELECT win, servicing_id, SUM(qty) AS units, {_money("paid")} AS paid, COUNT(DISTINCT member_id) AS members, COUNT(DISTINCT billing_id) AS counterparties, COUNT(DISTINCT code) AS codes, COUNT(*) AS lines FROM nw GROUP BY ALL),
+w AS (UNPIVOT (SELECT win, servicing_id, {", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in _MEASURES)} FROM vol JOIN tot USING (win, servicing_id)) ON {", ".join(_MEASURES)} INTO NAME metric VALUE value),
+z AS (SELECT win, metric, MAX(CASE WHEN servicing_id = 7 THEN value END) AS target, QUANTILE_DISC(CASE WHEN servicing_id <> 7 THEN value END, 0.5) AS peer FROM w GROUP BY ALL)
+SELECT win AS "window", metric, ROUND(target, 6) AS target, ROUND(peer, 6) AS peer_median, CASE WHEN peer > 0 THEN ROUND(target / peer, 1) END AS ratio FROM z"""
 _FILES = """WITH o AS (SELECT *, CASE WHEN o_custkey % 2 = 0 THEN 'ptp' ELSE 'mue' END AS kd, CASE o_custkey % 3 WHEN 0 THEN 'practitioner' WHEN 1 THEN 'outpatient' ELSE 'dme' END AS sv FROM orders),
 f AS (SELECT DISTINCT '/drop/' || (o_orderkey % 2) || '/' || CASE WHEN o_orderkey % 97 = 0 THEN 'edits_' || o_orderkey || '.txt' WHEN o_orderkey % 89 = 0 THEN 'notes_' || o_orderkey || '.pdf' ELSE kd || '_' || sv || '_' || YEAR(o_orderdate) || 'q' || QUARTER(o_orderdate) || '_r' || (o_orderkey % 3) || '.txt' END AS path,
   CASE WHEN o_orderkey % 97 = 0 THEN 'error' WHEN o_orderkey % 89 = 0 THEN 'other' ELSE 'edit' END AS kind, kd, sv, YEAR(o_orderdate) || 'Q' || QUARTER(o_orderdate) AS qr, o_orderkey % 3 AS rv FROM o),
@@ -371,11 +421,11 @@ SELECT community, members, ROUND(inside, 6) AS inside, ROUND(degree, 6) AS degre
     "top_edges": f"{_paid(False)}, {_PAIRS} SELECT pa, pb, shared, sza, szb, ROUND(pmi, 6) AS pmi, ROUND(jaccard, 6) AS jaccard, CAST(ROW_NUMBER() OVER (ORDER BY pmi DESC, pa, pb) AS INTEGER) AS place FROM pairs WHERE pmi >= 0 QUALIFY place <= 200",
     "invariants": QUEUE + " " + _INVARIANTS,
     "provider_names": f"WITH {_claims(True)}, {_NAMES}, c AS (SELECT entity_id, entity_type, name, ptype, COUNT(*) AS n FROM names GROUP BY ALL), k AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type ORDER BY n DESC, name NULLS FIRST, ptype NULLS FIRST) AS rk FROM c), m AS (SELECT *, MAX(CASE WHEN rk = 1 THEN name END) OVER (PARTITION BY entity_id, entity_type) AS main FROM k) SELECT entity_id, entity_type, MAX(CASE WHEN rk = 1 THEN name END) AS name, MAX(CASE WHEN rk = 1 THEN ptype END) AS ptype, STRING_AGG(DISTINCT name, '; ' ORDER BY name) FILTER (rk > 1 AND name <> main) AS other_names FROM m GROUP BY ALL",
-    "rule_stats": HITS + """, keys AS (SELECT entity_id, entity_type, rule_id, family, UNNEST(line_keys[:5]) AS key, UNNEST(RANGE(LEN(line_keys[:5]))) AS i, hit_dollars, ARRAY_TO_STRING(line_keys[:5], '|') AS k FROM hits),
-firsts AS (SELECT * EXCLUDE (key), key FROM keys QUALIFY ROW_NUMBER() OVER (PARTITION BY entity_id, entity_type, rule_id, family ORDER BY hit_dollars DESC, k, i) <= 5),
-ex AS (SELECT entity_id, entity_type, rule_id, family, STRING_AGG(key, ',' ORDER BY hit_dollars DESC, k, i) AS example_keys FROM firsts GROUP BY ALL)
-SELECT entity_id, entity_type, rule_id, family, COUNT(*) AS occasions, COUNT(DISTINCT member_id) AS members, ROUND(MAX(metric), 6) AS peak, COUNT(*) FILTER (rule_id = 'R5' AND detail LIKE 'price%') AS by_price, COUNT(*) FILTER (rule_id = 'R5' AND detail LIKE '%stacked') AS by_lines,
-  COUNT(*) FILTER (detail LIKE '%one code alone%') AS single_code_days, ANY_VALUE(example_keys) AS example_keys FROM hits JOIN ex USING (entity_id, entity_type, rule_id, family) GROUP BY ALL""",
+    "rule_stats": HITS + f", {_STATS} SELECT * FROM stats",
+    "case_leads": LEADS + " SELECT entity_id, entity_type, tier_label, independent_families, lead FROM leads",
+    "reasons": LEADS + " SELECT * FROM reasons",
+    "check_leads": LEADS + _CHECKED,
+    "evidence_cards": QUEUE + _CARDS,
     "drill_down": LINES + " SELECT l.rule_id, l.family, l.tier, l.line_id, p.svc_dt, p.member_id, code, cos, qty, p.paid, claim_id FROM lines l JOIN paid p USING (line_id) WHERE entity_id = 3 AND entity_type = 'billing'",
     "clinician_day": DAYS + " SELECT * REPLACE (ROUND(r24, 6) AS r24, ROUND(rcap, 6) AS rcap) FROM days",
     "line_exposure": DAYS + " SELECT * REPLACE (ROUND(over24, 6) AS over24, ROUND(overcap, 6) AS overcap) FROM x",
@@ -405,6 +455,10 @@ SELECT entity_id, entity_type, rule_id, family, COUNT(*) AS occasions, COUNT(DIS
     "dup_largest": _dups(_COHORT) + " SELECT * FROM shown ORDER BY possible_duplicate_paid DESC, member_id, code, svc_dt LIMIT 100",
     "target_dups": _dups("billing_id = 3") + " SELECT * FROM shown",
     "self_listed": f"WITH {_claims(True)}, b AS (SELECT * FROM claims WHERE status = 'A'), s AS (SELECT b.* FROM b WHERE billing_id IN (SELECT billing_id FROM b WHERE {_COHORT})), g AS (SELECT billing_id, COUNT(*) AS lines, COUNT(*) FILTER (billing_id = servicing_id) AS self_lines, {_money('paid')} AS paid, COALESCE({_money('CASE WHEN billing_id = servicing_id THEN paid END')}, 0) AS self_paid FROM s GROUP BY ALL) SELECT *, ROUND(CAST(self_lines AS DOUBLE) * 100 / lines, 6) AS pct_self_lines FROM g WHERE self_lines > 0 AND self_lines < lines",
+    "window_reports": WINDOWS + _WINDOW_REPORTS,
+    "layout_b": """SELECT CASE WHEN l_linenumber = 7 THEN NULL ELSE 'S' || l_partkey END AS servicing_id, 'B' || l_suppkey AS billing_id, l_orderkey AS member_id, UPPER(TRIM(p_brand)) AS code, l_quantity AS qty, l_extendedprice AS paid,
+  CASE WHEN l_partkey % 50 <> 0 THEN CAST(l_shipdate AS DATE) END AS svc_dt, CASE WHEN l_linenumber = 5 THEN CAST(l_shipdate AS DATE) + 2 END AS svc_end, CAST(NULL AS VARCHAR) AS lob, CASE WHEN l_linenumber = 6 THEN 'HQ' END AS mod1, CAST(NULL AS VARCHAR) AS mod2, CAST(NULL AS VARCHAR) AS mod3, CAST(NULL AS VARCHAR) AS mod4
+FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "daily_volume": SVC + f", dd AS (SELECT {_DAILY.format('servicing_id')} FROM n GROUP BY ALL) {_VOLUME}",
     "thresholds": SVC + f", dd AS (SELECT {_DAILY.format('servicing_id')} FROM n GROUP BY ALL) SELECT servicing_id, {_shares('pct_days_over')} FROM dd GROUP BY ALL",
     "totals": SVC + " " + _TOTALS.format("billing_id", "servicing_id"),

@@ -16,7 +16,7 @@ from ..functions.scratch import materialise, scratch
 from ..operators import duplicates, evidence, gate, graph, hours, patterns, report, rules, scoring, screen
 from ..operators.prep import prep, restrict_to_detection, service_lines
 from ..sources import editfiles, loads
-from ..sources.claims import claims_view, in_cohort
+from ..sources.claims import claims_view, from_screen, in_cohort
 from . import screening
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,10 +129,10 @@ def top_edges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
-    """A name and type for each claim line's roles, from the supplier and its nation."""
-    lines = claims_view(spark, d)
-    supp = spark.read.parquet(f"{d}/supplier.parquet").select((F.col("s_suppkey") % 25).alias("k"), F.col("s_name").alias("name"), F.when(F.col("s_acctbal") < 0, "GROUP").otherwise("SOLO").alias("ptype"))
-    return lines.select(F.col("billing_id").alias("entity_id"), F.lit("billing").alias("entity_type"), "tax_id").distinct().join(supp, F.col("entity_id") == F.col("k")).drop("k", "tax_id")
+    """The biller of each claim line with the name and type of the line's supplier, so that billers have several names, some more often."""
+    supp = spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey", F.col("s_name").alias("name"), F.when(F.col("s_acctbal") < 0, "GROUP").otherwise("SOLO").alias("ptype"))
+    lines = claims_view(spark, d).select(F.col("billing_id").alias("entity_id"), F.lit("billing").alias("entity_type"), F.get(F.split("line_id", "-"), F.lit(2)).cast("long").alias("s_suppkey"))
+    return lines.join(supp, "s_suppkey").drop("s_suppkey")
 
 
 def provider_names(spark: SparkSession, d: str) -> DataFrame:
@@ -145,12 +145,12 @@ def rule_stats(spark: SparkSession, d: str) -> DataFrame:
 
 def case_leads(spark: SparkSession, d: str) -> DataFrame:
     p, h = all_hits(spark, d)
-    return evidence.case_leads(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, evidence.provider_names(_names(spark, d)))
+    return rounded(evidence.case_leads(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, evidence.provider_names(_names(spark, d))))
 
 
 def reasons(spark: SparkSession, d: str) -> DataFrame:
     p, h = all_hits(spark, d)
-    return evidence.queue_with_reasons(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, evidence.provider_names(_names(spark, d)))
+    return rounded(evidence.queue_with_reasons(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, evidence.provider_names(_names(spark, d))))
 
 
 def check_leads(spark: SparkSession, d: str) -> DataFrame:
@@ -160,8 +160,13 @@ def check_leads(spark: SparkSession, d: str) -> DataFrame:
 
 
 def evidence_cards(spark: SparkSession, d: str) -> DataFrame:
+    """The cards, read back from their JSON, a row for each finding."""
     p, h = all_hits(spark, d)
-    return evidence.evidence_cards(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, CFG).select("entity_id", "entity_type", "tier_label", "card")
+    cards = evidence.evidence_cards(materialise(scoring.queue(h, p, CFG), "queue"), h.hits, CFG)
+    keep = "entity_id long, entity_type string, tier_label string, independent_families int, families string, rules string, members_flagged long, total_paid double, dollars_at_risk double, pct_dollars_at_risk double"
+    held = "findings array<struct<rk: int, rule_id: string, family: string, title: string, tier: int, member_id: bigint, cos: string, hit_dollars: double, example_keys: array<string>>>"
+    read = cards.select(F.from_json("card", f"{keep}, {held}").alias("c")).select("c.*").withColumn("f", F.explode("findings")).drop("findings")
+    return rounded(read.select("*", F.col("f.rk").alias("place"), *[F.col(f"f.{c}").alias(c) for c in ("rule_id", "family", "title", "tier", "member_id", "cos", "hit_dollars", "example_keys")]).drop("f"))
 
 
 def drill_down(spark: SparkSession, d: str) -> DataFrame:
@@ -413,6 +418,26 @@ def target_self_listing(spark: SparkSession, d: str) -> DataFrame:
     return rounded(report.self_listing(_lines(spark, d), TARGET_BILLING))
 
 
+def window_reports(spark: SparkSession, d: str) -> DataFrame:
+    """The first sheet of every window, all measures."""
+    b = _base(spark, d)
+    sheets = report.all_windows(materialise(b.lines_w, "lines"), "servicing_id", TARGET_SERVICING, CFG)
+    each = [sheets[f"Overall_{w}"].withColumn("window", F.lit(w)) for w, _ in CFG.windows]
+    return rounded(each[0].unionByName(each[1]).unionByName(each[2]))
+
+
+def layout_b(spark: SparkSession, d: str) -> DataFrame:
+    """Line items written as the screen's layout (numbers as dates, some of which are none) and read back into canonical columns."""
+    j = spark.read.parquet(f"{d}/lineitem.parquet").join(spark.read.parquet(f"{d}/part.parquet"), F.col("l_partkey") == F.col("p_partkey"))
+    key = lambda c: F.date_format(c, "yyyyMMdd").cast("int")
+    raw = j.select(
+        F.when(F.col("l_linenumber") != 7, F.concat(F.lit("S"), F.col("l_partkey").cast("string"))).alias("Servicing_Provider_ID"), F.concat(F.lit("B"), F.col("l_suppkey").cast("string")).alias("Billing_Provider_ID"), F.col("l_orderkey").alias("MEMBER_KEY"),
+        F.concat(F.lit(" "), F.lower("p_brand"), F.lit(" ")).alias("PROC_CD"), F.col("l_quantity").alias("QUANTITY_PAID"), F.col("l_extendedprice").alias("PMT_AMT"),
+        F.when(F.col("l_partkey") % 50 == 0, F.lit(20019999)).otherwise(key(F.col("l_shipdate"))).alias("SRV_BEG_CALENDAR_KEY"), F.when(F.col("l_linenumber") == 5, key(F.date_add(F.to_date("l_shipdate"), 2))).alias("SRV_END_CALENDAR_KEY"), F.when(F.col("l_linenumber") == 6, "HQ").alias("MODIFIER_1"),
+    )
+    return rounded(from_screen(raw))
+
+
 def cohort_overview(spark: SparkSession, d: str) -> DataFrame:
     return report.cohort_overview(_lines(spark, d), "servicing_id", TARGET_SERVICING)
 
@@ -529,6 +554,6 @@ PLAIN = (
     case_leads, reasons, check_leads, evidence_cards, drill_down, clinician_day, line_exposure, recovery_dollars, cookie_cutter, pattern_sizes, repeat_packages, session_hours, top_code_share, servicing_features, billing_features,
     lookalike_score, signature_features, pattern_table, primary_billers, calibration, trend_labels, network_links, exposure_summary, screen_order, combined_servicing, combined_billing, dup_groups, dup_pairs, dup_involvement, dup_reference, dup_largest, self_listed, target_dups,
     daily_volume, thresholds, totals, clinician_day_mix, peer_medians, members_per_day, counterparty_breakdown, counterparty_daily, outlier_clinicians, percent_ranks, code_profile, code_patterns, code_report, anomalous_codes,
-    code_counterparty, consolidated, target_self_listing, cohort_overview, file_classes, duplicate_files, quarter_completeness, revision_plan, missing_quarters, load_baseline, edit_load, gate_status, gate_accepted,
+    code_counterparty, consolidated, target_self_listing, cohort_overview, window_reports, layout_b, file_classes, duplicate_files, quarter_completeness, revision_plan, missing_quarters, load_baseline, edit_load, gate_status, gate_accepted,
 )
 QUERIES: dict[str, Query] = RULE_QUERIES | {f.__name__: f for f in PLAIN} | {"exposure_by_clinician": _exposure("servicing_id"), "exposure_by_biller": _exposure("billing_id")}

@@ -79,6 +79,8 @@ def claims_view(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFra
         .when(F.col("l_partkey") % 4 == 1, (F.col("l_suppkey") * F.col("l_suppkey")) % 25)
         .otherwise(biller + 25 * (1 + F.col("l_partkey") % (1 + F.col("l_suppkey") % 9)))
     )
+    day = F.to_date(F.date_trunc("month" if dense else "week", "l_shipdate"))
+    ends = F.when(F.col("l_linenumber") == 5, F.date_add(day, (1 + 2 * (F.col("l_partkey") % 2)).cast("int")))
     texts = F.array(*[F.lit(t) for t in DESCRIPTIONS])
     described = F.when(F.col("p_partkey") % 500 == 7, "SUPPLY, PER 99999999999 MINUTES").otherwise(F.element_at(texts, (F.col("p_partkey") % len(DESCRIPTIONS) + 1).cast("int")))
     payer = F.when(F.col("o_orderpriority") == "5-LOW", "MSP").when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None)).otherwise(F.col("o_orderpriority"))
@@ -86,7 +88,7 @@ def claims_view(spark: SparkSession, sf_dir: str, dense: bool = True) -> DataFra
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_suppkey", "l_partkey", F.col("l_shipdate").cast("date")).alias("line_id"), F.col("l_orderkey").alias("claim_id"),
         (F.col("o_custkey") % 60 if dense else F.col("o_custkey")).alias("member_id"), (biller if dense else F.col("l_suppkey")).alias("billing_id"), servicing.cast("long").alias("servicing_id"),
         F.col("p_brand").alias("code"), described.alias("code_desc"), F.col("p_type").alias("cos"), F.col("l_quantity").alias("qty"), F.col("l_extendedprice").alias("paid"),
-        F.to_date(F.date_trunc("month" if dense else "week", "l_shipdate")).alias("svc_dt"), F.lit(None).cast("date").alias("svc_end"), payer.alias("lob"), F.col("s_nationkey").cast("long").alias("tax_id"),
+        day.alias("svc_dt"), ends.alias("svc_end"), payer.alias("lob"), F.col("s_nationkey").cast("long").alias("tax_id"),
         F.when(F.col("l_linenumber") == 6, "HQ").alias("mod1"), *[F.lit(None).cast("string").alias(f"mod{i}") for i in (2, 3, 4)],
         F.when(F.col("l_returnflag") == "R", "V").otherwise("A").alias("status"),
     )
