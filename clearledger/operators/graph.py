@@ -44,31 +44,28 @@ def biller_components(edges: DataFrame) -> DataFrame:
     return connected_components(edges.select(F.col("pa").alias("a"), F.col("pb").alias("b")))
 
 
-def label_propagation(pairs: DataFrame, rounds: int = 30) -> DataFrame:
-    """(id, community): each biller takes the label with the most weight around it, ties to the smallest; weights are pmi.
+def label_propagation(pairs: DataFrame, rounds: int = 200) -> DataFrame:
+    """(id, community): each biller holds the label with the most weight around it, ties to the smallest; weights are pmi.
 
-    A biller keeps its label unless another weighs more. Two neighbours that take each other's label at the same time could swing for ever, so only
-    one half of the billers moves in a round, even and odd ids in turn. The run ends when neither half moves. A state that was there
-    before after the same half (digests are compared) or too many rounds raise an error; nothing unsettled is returned.
+    A biller wants to move if another label weighs more than its own. Neighbours that move at the same time could swing for ever, so in a round
+    only those move that gain more than every neighbour that wants to (ties: the smaller id). No two of them are neighbours, so each round
+    adds to the weight of the pairs with one label: no state comes back, and the run ends when nobody wants to move. If that takes more than `rounds`
+    rounds an error is raised; nothing unsettled is returned.
     """
     edges = materialise(pairs.select(F.col("pa").alias("id"), F.col("pb").alias("to"), "pmi").unionByName(pairs.select(F.col("pb").alias("id"), F.col("pa").alias("to"), "pmi")), "edges")
-    labels = materialise(edges.select("id").distinct().select("id", F.col("id").alias("label"), F.pmod("id", F.lit(2)).alias("half")), "labels")
-    seen, still = set(), 0
-    for k in range(rounds):
+    labels = materialise(edges.select("id").distinct().withColumn("label", F.col("id")), "labels")
+    for _ in range(rounds):
         votes = edges.join(labels.select(F.col("id").alias("to"), "label"), "to").groupBy("id", "label").agg(F.round(F.sum("pmi"), 6).alias("w"))
         best = votes.groupBy("id").agg(F.min(F.struct((-F.col("w")).alias("w"), "label")).alias("best"))
         own = votes.select("id", "label", F.col("w").alias("own_w"))
-        more = (F.col("half") == k % 2) & (-F.col("best.w") > F.coalesce(F.col("own_w"), F.lit(0.0)))
-        now = labels.join(best, "id").join(own, ["id", "label"], "left").select("id", "half", "label", F.when(more, F.col("best.label")).otherwise(F.col("label")).alias("next"))
-        now = materialise(now, "labels")
-        moved, state = now.agg(F.sum((F.col("label") != F.col("next")).cast("long")), F.sum(F.xxhash64("id", "next").cast("decimal(38,0)"))).first()
-        labels = now.select("id", "half", F.col("next").alias("label"))
-        still = 0 if moved else still + 1
-        if still == 2:
+        gain = F.round(-F.col("best.w") - F.coalesce(F.col("own_w"), F.lit(0.0)), 6)
+        wants = materialise(labels.join(best, "id").join(own, ["id", "label"], "left").select("id", F.col("best.label").alias("next"), gain.alias("gain")).where("gain > 0"), "wants")
+        if wants.isEmpty():
             return labels.select("id", F.col("label").alias("community"))
-        if moved and (state, k % 2) in seen:
-            raise RuntimeError(f"labels came back to an earlier state in round {k}")
-        seen.add((state, k % 2))
+        place = lambda i: F.struct(F.col("gain").alias("gain"), (-F.col(i)).alias("i"))
+        rivals = edges.join(wants.select(F.col("id").alias("to"), "gain"), "to").groupBy("id").agg(F.max(place("to")).alias("rival"))
+        moves = wants.join(rivals, "id", "left").where(F.col("rival").isNull() | (F.col("rival") < place("id"))).select("id", "next")
+        labels = materialise(labels.join(moves, "id", "left").select("id", F.coalesce("next", "label").alias("label")), "labels")
     raise RuntimeError(f"labels did not settle in {rounds} rounds")
 
 

@@ -304,12 +304,13 @@ UNION ALL SELECT 'untrusted rules add no dollars at risk', COUNT(*) FILTER (doll
 UNION ALL SELECT 'flagged dollars are within paid dollars', COUNT(*) FILTER (a > b + 0.01) FROM (SELECT (SELECT COALESCE({_money("paid")}, 0) FROM (SELECT DISTINCT line_id, paid FROM lines WHERE rule_id <> 'R6')) AS a, (SELECT COALESCE({_money("paid")}, 0) FROM paid) AS b)"""
 
 
-def _spread(strong: float, rounds: int = 30) -> str:
-    """Label propagation, a round at a time for even and for odd ids in turn."""
+def _spread(strong: float, rounds: int = 60) -> str:
+    """Label propagation, a round at a time; of neighbours that want to move, the one that gains most does."""
     votes = "SELECT e.id, l.label, ROUND(SUM(pmi), 6) AS w FROM e JOIN lp l ON l.id = e.other GROUP BY ALL"
+    wants = f"""SELECT a.k, a.id, a.label, t.label AS new, ROUND(t.w - COALESCE(o.w, 0), 6) AS gain FROM lp a JOIN (SELECT * FROM ({votes}) QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY w DESC, label) = 1) t ON t.id = a.id LEFT JOIN ({votes}) o ON o.id = a.id AND o.label = a.label"""
     return f"""{_paid(False)}, {_PAIRS}, strong AS (SELECT * FROM pairs WHERE pmi >= {strong}), e AS MATERIALIZED (SELECT pa AS id, pb AS other, pmi FROM strong UNION ALL SELECT pb, pa, pmi FROM strong),
-lp AS (SELECT 0 AS k, id, id AS label FROM (SELECT DISTINCT id FROM e) UNION ALL SELECT a.k + 1, a.id, CASE WHEN a.id % 2 = a.k % 2 AND t.w > COALESCE(o.w, 0) THEN t.label ELSE a.label END
-  FROM lp a JOIN (SELECT * FROM ({votes}) QUALIFY ROW_NUMBER() OVER (PARTITION BY id ORDER BY w DESC, label) = 1) t ON t.id = a.id LEFT JOIN ({votes}) o ON o.id = a.id AND o.label = a.label WHERE a.k < {rounds}),
+lp AS (SELECT 0 AS k, id, id AS label FROM (SELECT DISTINCT id FROM e) UNION ALL SELECT x.k + 1, x.id, CASE WHEN x.gain > 0 AND (r.rival IS NULL OR r.rival < STRUCT_PACK(g := x.gain, i := -x.id)) THEN x.new ELSE x.label END
+  FROM ({wants}) x LEFT JOIN (SELECT e.id, MAX(STRUCT_PACK(g := v.gain, i := -v.id)) AS rival FROM e JOIN ({wants}) v ON v.id = e.other WHERE v.gain > 0 GROUP BY e.id) r ON r.id = x.id WHERE x.k < {rounds}),
 settled AS (SELECT id, label AS community FROM lp WHERE k = {rounds})"""
 
 
