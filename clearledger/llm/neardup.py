@@ -13,8 +13,8 @@ Second pass, for all others: prefix and skip merging. Only classes that share a
 lists that hold several components count. A class with fewer than MATCHES such lists has no partner left. The others skip
 their MATCHES - 1 longest lists and are posted under the rest alone: two classes with MATCHES common lists still meet in one of these. A
 passage that many documents share fills long lists, so these are skipped while it makes up less than MATCHES of COORDS (56 %) of
-the classes that share it. Beyond, the classes of long lists are posted anew, under their rarest shingles (a shingle's length is the number of
-those classes that hold it): of n shingles, the first n - ceil(0.75 n) + 1. Two sets at the threshold share their first common shingle early
+the classes that share it. Beyond, the classes of long lists are posted anew, under their rarest shingles (those of one
+component first, then by the number of classes that hold them): of n shingles, the first n - ceil(0.75 n) + 1. Two sets at the threshold share their first common shingle early
 in both, so a passage brings classes together only where it makes up so much of both that they are near-duplicates anyway. In lists that are
 long even so, classes outside the largest component meet the list's members in a grid of bounded cells.
 
@@ -193,23 +193,45 @@ def _whole_lists(done):
 def _rare(who: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """(list, many, doc, n, comp, sig, before, pos): the classes `who` under their rarest shingles, in lists of several components.
 
-    pos: the shingle's place in the class's order, rarest first, equals by hash. Shingles of one class come first and are posted nowhere. Lists in which no
-    class is early enough to meet one of its own size or more are left out. before is empty: pairs that share several lists are found in each.
+    pos: the shingle's place in the class's order. Shingles of one component come first and are posted nowhere; the others follow by number of classes,
+    equals by hash. The commonest, of which there are FEW at most, are known to every task, so they are counted and placed where the text is read. Lists in
+    which no class is early enough to meet one of its own size or more are left out. before is empty: pairs that share several lists are found in each.
     """
+    own = texts.join(who.select("doc", "comp", "n"), "doc")
 
     @pandas_udf("array<long>")
-    def run(t: pd.Series) -> pd.Series:
+    def every(t: pd.Series) -> pd.Series:
         words = _Words()
         return pd.Series([shingles(x, size, words).view(np.int64) for x in t], dtype=object)
 
-    posts = texts.join(who.select("doc"), "doc").select("doc", F.explode(run("text")).alias("list"))
-    total = who.agg(F.sum("n")).first()[0]
-    lists = materialise(posts.groupBy("list").agg(F.count("*").alias("many")).where("many > 1"), "rare")
-    own = _in_lists(posts, lists, ["list"], total).groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("many", "list"))).alias("all"))
-    start = F.col("n") - F.size("all")
-    early = F.greatest(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - start, F.lit(0)).cast("int")
-    placed = own.join(who, "doc").select("doc", "n", "comp", "sig", start.alias("start"), F.posexplode(F.slice("all", F.lit(1), early)).alias("i", "one"))
-    placed = materialise(placed.select(F.col("one.list").alias("list"), "doc", "n", "comp", "sig", F.array().cast("array<long>").alias("before"), (F.col("start") + F.col("i")).cast("long").alias("pos")), "placed")
+    posts = own.select("comp", F.explode(every("text")).alias("list"))
+    shared = posts.groupBy("list").agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("list", "many")
+    shared = materialise(shared, "shared")
+    long = max(LIST, who.agg(F.sum("n")).first()[0] // FEW)
+    common = sorted((r.many, r.list) for r in shared.where(F.col("many") > long).collect())  # FEW rows at most
+    known = np.array([x for _, x in common], dtype=np.int64)
+    by_hash = np.argsort(known)
+    first = lambda n: n - -(-percent * n // 100) + 1  # noqa: E731  shingles of the prefix
+
+    @pandas_udf("rest array<long>, held array<long>")
+    def split(t: pd.Series, n: pd.Series) -> pd.DataFrame:
+        words, rows = _Words(), []
+        for x, many in zip(t, n, strict=True):
+            s = shingles(x, size, words).view(np.int64)
+            at = np.searchsorted(known[by_hash], s)
+            hit = known[by_hash][np.minimum(at, len(known) - 1)] == s if len(known) else np.zeros(len(s), dtype=bool)
+            rest = s[~hit]
+            rows.append((rest, known[np.sort(by_hash[at[hit]])][: max(0, first(int(many)) - len(rest))]))
+        return pd.DataFrame(rows, columns=["rest", "held"])
+
+    read = own.select("doc", split("text", "n").alias("s"))
+    early = F.greatest(F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("start"), F.lit(0)).cast("int")
+    of = read.select("doc", F.size("s.rest").alias("others"), F.explode("s.rest").alias("list")).join(shared.where(F.col("many") <= long), "list")
+    of = of.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("many", "list"))).alias("all"), (F.max("others") - F.count("*")).alias("start"))
+    of = of.join(who, "doc").select("doc", "n", "comp", "sig", "start", F.posexplode(F.slice(F.transform("all", lambda x: x["list"]), F.lit(1), early)).alias("i", "list"))
+    top = read.select("doc", F.size("s.rest").alias("start"), F.posexplode("s.held").alias("i", "list")).join(who, "doc").select("doc", "n", "comp", "sig", "start", "i", "list")
+    placed = of.unionByName(top).select("list", "doc", "n", "comp", "sig", F.array().cast("array<long>").alias("before"), (F.col("start") + F.col("i")).cast("long").alias("pos"))
+    placed = materialise(placed, "placed")
     open_ = F.col("pos") + F.ceil(2 * percent * F.col("n") / (100 + percent)) <= F.col("n")
     several = placed.groupBy("list").agg(F.count("*").alias("many"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.max(open_).alias("open")).where("lo < hi and open")
     return _in_lists(placed, materialise(several.select("list", "many"), "mixed"), ["list"], placed.count())
