@@ -61,6 +61,7 @@ class Config:
     strong_families: int = 3
     corroboration_factor: float = 1.3
     evidence_keys: int = 20
+    rules_at_once: int = 4
     cards: int = 15
     # graph
     pmi_min: float = 2.0

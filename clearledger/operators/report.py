@@ -76,11 +76,13 @@ def outlier_clinicians(lines: DataFrame, times: float = 2.0) -> DataFrame:
 
 
 def percent_ranks(volume: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """percent_rank times 100 of each column among all entities; keys before the last one partition."""
-    ranked = materialise(volume.select(*keys, *columns), "volume")
-    for c in columns:
-        ranked = with_percent_rank(ranked, c, keys[:-1], f"rank_{c}")
-    return ranked.select(*keys, *[f"rank_{c}" for c in columns])
+    """percent_rank times 100 of each column among all entities; keys before the last one partition, and all keys name one row.
+
+    All columns are ranked in one pass, as rows of (metric, value); values compare as doubles.
+    """
+    long = volume.unpivot(keys, [F.col(c).cast("double").alias(c) for c in columns], "_metric", "_value")
+    ranked = with_percent_rank(materialise(long, "volume"), "_value", [*keys[:-1], "_metric"], "_rank")
+    return ranked.groupBy(*keys).agg(*[F.max(F.when(F.col("_metric") == c, F.col("_rank"))).alias(f"rank_{c}") for c in columns])
 
 
 def code_profile(lines: DataFrame, key: str, cfg: Config) -> DataFrame:

@@ -96,3 +96,22 @@ def test_null_keys_are_groups(spark):
     cfg = Config()
     what = rules.with_evidence(rules.member_day_volume(prep(claims(spark, *rows), cfg), cfg), cfg)
     assert [(r.cos, r.n_lines, r.metric) for r in what.hits.collect()] == [(None, 30, 30.0)]
+
+
+def test_rules_run_side_by_side_as_one_by_one(spark):
+    """The same hits and lines, whatever runs at a time; a rule that fails fails the run."""
+    rows = [{"member_id": m % 7, "claim_id": m, "servicing_id": m % 11, "qty": float(m % 5)} for m in range(60)]
+    few = {r: rules.RULES[r] for r in ("R6", "R7", "R8A")}
+    base = {"volume_pctile": 0.5, "renderers_pctile": 0.1, "renderers_floor": 0}
+    seen = []
+    for n in (1, 3):
+        cfg = Config(rules_at_once=n, **base)
+        what = rules.run_rules(prep(claims(spark, *rows), cfg), cfg, few)
+        seen.append((sorted(map(str, what.hits.collect())), sorted(map(str, what.lines.collect()))))
+    assert seen[0] == seen[1] and seen[0][0]
+
+    def fails(paid, cfg):
+        raise KeyError("no such column")
+
+    with pytest.raises(KeyError):
+        rules.run_rules(prep(claims(spark, *rows), cfg), cfg, {**few, "R0": fails})
