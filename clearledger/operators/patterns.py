@@ -98,13 +98,9 @@ def nested_features(lines: DataFrame, key: str, unit: list[str], cfg: Config) ->
     return j.select(*k, pct("dup_days", "days").alias("pct_days_dup_pattern"), pct("dup_members", "members").alias("pct_members_in_dup"), pct("repeat_members", "members").alias("pct_members_repeat_pkg"), "avg_session_hours", "top_code", "top_code_share")
 
 
-def pattern_table(lines: DataFrame, days: DataFrame, cfg: Config, keys: list[str] | None = None) -> DataFrame:
-    """One row per clinician (and window): days over 24 hours, own and others' billing, and the label, empty if none fits.
-
-    Where others bill but the clinician does not, the units ratio is open and others carry the case; where neither has timed
-    days it is not.
-    """
-    k = [*(keys or []), "servicing_id"]
+def pattern_table(lines: DataFrame, days: DataFrame, cfg: Config) -> DataFrame:
+    """One row per clinician: days over 24 hours, own and others' billing, and the label, empty if none fits (see _labelled)."""
+    k = ["servicing_id"]
     own, other = F.col("channel") == "self", F.col("channel") == "other"
     when = lambda c, v: F.when(c, F.col(v))
     long = F.col("minutes") > 1440
@@ -117,7 +113,45 @@ def pattern_table(lines: DataFrame, days: DataFrame, cfg: Config, keys: list[str
     )
     o = lines.where(other).groupBy(*k, "billing_id").agg(money("paid").alias("p"))
     top = o.withColumn("rk", F.row_number().over(W.partitionBy(*k).orderBy(F.desc("p"), "billing_id"))).where("rk = 1").select(*k, F.col("billing_id").alias("top_other_biller"))
-    t = c.join(d, k, "left").join(top, k, "left").na.fill(0, ["days_over_24h", "days_over_24h_with_other"])
+    return _labelled(c.join(d, k, "left").join(top, k, "left"), cfg)
+
+
+def nested_pattern_table(lines: DataFrame, days: DataFrame, cfg: Config) -> DataFrame:
+    """pattern_table of every window at once, from lines and days with _level (see prep.with_level): lines are read and shuffled once.
+
+    Lines become sums by clinician, biller and day, whose rows are added up by level; a biller counts in the windows that hold its latest day.
+    """
+    k = ["window", "servicing_id"]
+    own, other = F.col("channel") == "self", F.col("channel") == "other"
+    long = F.col("minutes") > 1440
+    total = lambda c, v: F.sum(F.when(c, F.col(v)))
+    per = lines.groupBy("servicing_id", "billing_id", "channel", "svc_dt", "_level").agg(
+        F.sum(F.col("paid").cast("decimal(18,2)")).alias("p"), F.count("*").alias("n"), total(F.col("is_timed"), "qty").alias("u"), F.max("is_timed").alias("timed"),
+    )
+    by_day = per.groupBy("servicing_id", "svc_dt", "_level").agg(
+        *[total(c, v).alias(f"{who}_{name}") for who, c in (("self", own), ("other", other)) for v, name in (("p", "paid"), ("n", "lines"), ("u", "units"))],
+        F.max((own & F.col("timed")).cast("long")).alias("self_days"), F.max((other & F.col("timed")).cast("long")).alias("other_days"),
+    )
+    sums = [c for c in by_day.columns if c not in ("servicing_id", "svc_dt", "_level")]
+    c = spread(by_day.groupBy("servicing_id", "_level").agg(*[F.sum(x).alias(x) for x in sums]), cfg)
+    kind = lambda x: "double" if x.endswith(("paid", "units")) else "long"
+    c = c.groupBy(*k).agg(*[F.coalesce(F.sum(x), F.lit(0)).cast(kind(x)).alias(x) for x in sums])
+    latest = per.where(other & F.col("billing_id").isNotNull()).groupBy("servicing_id", "billing_id").agg(F.max("_level").alias("_level"))
+    billers = spread(latest.groupBy("servicing_id", "_level").agg(F.count("*").alias("n")), cfg).groupBy(*k).agg(F.sum("n").alias("n_other_billers"))
+    d = spread(days.groupBy("servicing_id", "_level").agg(F.sum(long.cast("long")).alias("a"), F.sum((long & (F.col("other_minutes") > 0)).cast("long")).alias("b")), cfg)
+    d = d.groupBy(*k).agg(F.sum("a").alias("days_over_24h"), F.sum("b").alias("days_over_24h_with_other"))
+    o = spread(per.where(other).groupBy("servicing_id", "billing_id", "_level").agg(F.sum("p").alias("p")), cfg).groupBy(*k, "billing_id").agg(F.sum("p").cast("double").alias("p"))
+    top = o.withColumn("rk", F.row_number().over(W.partitionBy(*k).orderBy(F.desc("p"), "billing_id"))).where("rk = 1").select(*k, F.col("billing_id").alias("top_other_biller"))
+    return _labelled(c.join(billers, k, "left").join(d, k, "left").join(top, k, "left").na.fill(0, ["n_other_billers"]), cfg)
+
+
+def _labelled(t: DataFrame, cfg: Config) -> DataFrame:
+    """Shares, averages and the label from sums by clinician.
+
+    Where others bill but the clinician does not, the units ratio is open and others carry the case; where neither has timed
+    days it is not.
+    """
+    t = t.na.fill(0, ["days_over_24h", "days_over_24h_with_other"])
     t = t.withColumn("other_share", F.when(F.col("self_paid") + F.col("other_paid") > 0, F.try_divide(F.col("other_paid"), F.col("self_paid") + F.col("other_paid"))))
     per = lambda units, n: F.when(F.col(n) > 0, F.try_divide(units, n))
     t = t.withColumn("self_units_per_day", per("self_units", "self_days")).withColumn("other_units_per_day", per("other_units", "other_days")).withColumn("units_ratio", F.try_divide("other_units_per_day", "self_units_per_day"))

@@ -252,17 +252,17 @@ def signature_features(spark: SparkSession, d: str) -> DataFrame:
 
 def pattern_table(spark: SparkSession, d: str) -> DataFrame:
     b = _base(spark, d)
-    return rounded(patterns.pattern_table(b.lines_w, b.days_w, CFG, ["window"]))
+    return rounded(patterns.nested_pattern_table(*b.leveled[:2], CFG))
 
 
 def primary_billers(spark: SparkSession, d: str) -> DataFrame:
     b = _base(spark, d)
-    return rounded(screen.primary_billers(patterns.pattern_table(b.lines_w, b.days_w, CFG, ["window"])))
+    return rounded(screen.primary_billers(patterns.nested_pattern_table(*b.leveled[:2], CFG)))
 
 
 def calibration(spark: SparkSession, d: str) -> DataFrame:
     b = _base(spark, d)
-    return screen.calibration(patterns.pattern_table(b.lines_w, b.days_w, CFG, ["window"]), TARGET_SERVICING, CFG)
+    return screen.calibration(patterns.nested_pattern_table(*b.leveled[:2], CFG), TARGET_SERVICING, CFG)
 
 
 def trend_labels(spark: SparkSession, d: str) -> DataFrame:

@@ -15,13 +15,12 @@ from ..operators.prep import in_windows, last_months, service_lines, with_level
 
 @dataclass
 class Base:
-    """The tables that every part of the screen starts from; leveled: lines, days and exposed lines with _level, for the features."""
+    """The tables that every part of the screen starts from; lines_w: lines once for each window, for the reports; leveled: lines, days and exposed lines with _level, for the features."""
 
     lines: DataFrame
     days: DataFrame
     exposed: DataFrame
     lines_w: DataFrame
-    days_w: DataFrame
     leveled: tuple[DataFrame, DataFrame, DataFrame]
 
 
@@ -30,8 +29,7 @@ def base(claims: DataFrame, cfg: Config) -> Base:
     days = hours.clinician_days(lines, cfg)
     exposed = hours.line_exposure(lines, days)
     anchor = lines.agg(F.max("svc_dt").alias("_anchor"))
-    w = lambda df: in_windows(df, cfg, anchor=anchor)
-    return Base(lines, days, exposed, w(lines), w(days), tuple(with_level(df, cfg, anchor=anchor) for df in (lines, days, exposed)))
+    return Base(lines, days, exposed, in_windows(lines, cfg, anchor=anchor), tuple(with_level(df, cfg, anchor=anchor) for df in (lines, days, exposed)))
 
 
 def features(b: Base, cfg: Config) -> tuple[DataFrame, DataFrame]:
@@ -41,7 +39,7 @@ def features(b: Base, cfg: Config) -> tuple[DataFrame, DataFrame]:
 
 def labels(b: Base, cfg: Config) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pattern table, labels of clinicians, labels of billers)."""
-    t = patterns.pattern_table(b.lines_w, b.days_w, cfg, ["window"])
+    t = patterns.nested_pattern_table(*b.leveled[:2], cfg)
     return t, t.select("window", "servicing_id", "pattern"), screen.primary_billers(t).withColumn("pattern", F.lit(screen.PRIMARY))
 
 
