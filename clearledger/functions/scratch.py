@@ -9,15 +9,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new folder's address below spark.checkpoint.dir; where that is unset, a local one, once per session, on a local master alone."""
+def _folder(spark: SparkSession) -> str:
+    """This application's folder below spark.checkpoint.dir; where that is unset, a local one, once per session, on a local master alone."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("clearledger.local.scratch", None)
     if not root:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-scratch-")
         spark.conf.set("clearledger.local.scratch", root)
-    return f"{root.rstrip('/')}/clearledger/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/clearledger/{spark.sparkContext.applicationId}"
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's address in this application's folder."""
+    return f"{_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> bool:
+    """Delete all intermediate tables that this application wrote; whether there were any. Other applications' tables stay.
+
+    Results are lazy and read these tables, so call it once the results are written; DataFrames made before fail afterwards.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_folder(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

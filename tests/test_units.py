@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import itertools
 import random
+import uuid
 from collections import Counter
+from pathlib import Path
 
 import pandas as pd
 import pytest
@@ -15,7 +17,7 @@ from clearledger.config import Config
 from clearledger.contracts import CLAIMS, check_schema
 from clearledger.functions.expressions import minutes_per_unit, ratio, share_over, up_to
 from clearledger.functions.orderstats import deviation, percentiles, with_average_rank, with_percent_rank
-from clearledger.functions.scratch import connected_components
+from clearledger.functions.scratch import connected_components, drop_scratch, materialise, scratch
 from clearledger.operators import duplicates, evidence, gate, patterns, rules, scoring, screen
 from clearledger.operators.prep import in_windows, prep, service_lines
 from clearledger.sources import editfiles, loads, sinks
@@ -229,3 +231,15 @@ def test_invariants_hold(spark, sf_dir):
     from clearledger.plans.queries import check_leads, invariants
 
     assert all(r.violations == 0 for r in itertools.chain(invariants(spark, sf_dir).collect(), check_leads(spark, sf_dir).collect()))
+
+
+def test_scratch_tables_are_deleted_on_request(spark):
+    """Only this application's tables go; later ones are written as before."""
+    folder = Path(scratch(spark, "x").removeprefix("file://")).parent
+    other = folder.parent / f"another-application-{uuid.uuid4().hex}"
+    other.mkdir(parents=True)
+    table = materialise(spark.range(5), "five")
+    assert table.count() == 5 and len(list(folder.glob("five-*"))) == 1
+    assert drop_scratch(spark) and not folder.exists() and other.is_dir() and not drop_scratch(spark)
+    assert materialise(spark.range(3), "three").count() == 3
+    other.rmdir()
