@@ -1,13 +1,15 @@
 """Quality rules: a learned decision list over text statistics.
 
-Sequential covering: rules for the minority verdict are learned one at a time. Each rule is a conjunction of
+Sequential covering: rules for label 0 (bad) are learned one at a time. Each rule is a conjunction of
 thresholds, grown on one part of the labelled rows by information gain, pruned on the other part, and
 kept while it is right more often than the rest; the rows it covers are then set aside. The list becomes
 one ordered Spark conditional expression, so scoring needs no Python.
 
 Learning takes a bounded sample of labelled rows (per_class of each class, those with the smallest id
 hash), whose statistics are a few numbers a row. Null and empty texts have all statistics 0. With no
-labelled rows, or rows of one class alone, the list is empty and keeps everything.
+labelled rows, or rows of one class alone, the list is empty and keeps everything. Repeated rows are judged each and alike; of rows
+that share an id one teaches, with the id's largest label. An empty table gives an empty result. Of equally good thresholds the first feature's lowest
+wins. Only the id and the text are read, so further columns of any name do nothing and are not returned.
 """
 
 from __future__ import annotations

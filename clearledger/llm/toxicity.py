@@ -9,7 +9,9 @@ extreme-value law whose lambda and K come from the other texts, and the sum of t
 probability by a logistic curve.
 
 Labels are a bounded sample of per_class rows of each class. Null, empty and letterless texts have no segment
-and get the curve's value there, below one half. Without toxic labels every score is 0.
+and get the curve's value there, below one half. Without toxic labels every score is 0. Repeated rows score each and alike; of
+rows that share an id one teaches, with the id's largest label. Features that are equally strong are taken by name. An empty table gives an empty
+result. Other columns stay as they are, but a column named like the score is replaced.
 """
 
 from __future__ import annotations
