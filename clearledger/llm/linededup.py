@@ -6,8 +6,9 @@ least ALIKE percent of the pattern's tokens, and with half of those after the le
 which they differ: those places are its variable fields. The other lines go one level down by their next token (tokens of fewer
 than min_docs documents share the node of variable tokens), until the last level; a line that no pattern took is a
 template of its own. A line that occurs in min_docs documents or more recurs, numbers aside; it is dropped everywhere but in the document with
-the smallest id, which stands for it. Lines that differ in words may state different things, so a template with variable fields needs more: it
-recurs, and goes but for one line, only where template_docs documents or more hold it. In fewer, each of its lines counts for itself.
+the smallest id, which stands for it. A template with variable fields recurs, and goes but for one line, where template_docs documents or more
+hold it; in fewer, each of its lines counts for itself. Lines of a template may state different things: a caller who would rather keep those
+leaves template_docs at TEMPLATE_DOCS. The query and the pipeline give MIN_DOCS, so every template that recurs goes there.
 
 Lines travel as two hashes, path and whole line, so only lines of paths that several documents have are read as text again.
 Counts are partial sums before each shuffle, and the joins that meet lines with templates or patterns are salted, so a line that a third of
@@ -166,8 +167,7 @@ w AS (SELECT doc_id, line, tokens, ARRAY_TO_STRING(tokens, ' ') AS whole FROM t
 k0 AS (SELECT LEN(tokens) || ' ' || ARRAY_TO_STRING(tokens[1:{LEAD}], ' ') AS node, whole, COUNT(DISTINCT doc_id) AS docs, ANY_VALUE(tokens) AS tokens FROM w GROUP BY whole, node),
 {"".join(_level_sql(i) for i in range(DEPTH))}
 p AS (SELECT whole, {LEAD} || node AS template FROM x0 WHERE taken {"".join(f" UNION ALL SELECT whole, '{LEAD + i} ' || node FROM x{i} WHERE taken" for i in range(1, DEPTH))}),
-v AS (SELECT template FROM w JOIN p USING (whole) GROUP BY template HAVING COUNT(DISTINCT doc_id) >= {TEMPLATE_DOCS}),
-a AS (SELECT doc_id, line, COALESCE(v.template, 'own ' || whole) AS template FROM w LEFT JOIN p USING (whole) LEFT JOIN v USING (template)),
+a AS (SELECT doc_id, line, COALESCE(template, 'own ' || whole) AS template FROM w LEFT JOIN p USING (whole)),
 f AS (SELECT template, MIN(doc_id) AS first FROM a GROUP BY template HAVING COUNT(DISTINCT doc_id) >= {MIN_DOCS}),
 g AS (SELECT DISTINCT doc_id, line FROM a JOIN f USING (template) WHERE doc_id <> first)
 SELECT l.doc_id, CAST(COUNT(*) AS BIGINT) AS n_lines, CAST(COUNT(g.line) AS BIGINT) AS n_dropped,

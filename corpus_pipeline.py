@@ -25,7 +25,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Where lines of such a document went by a template, words in which they differ may stand nowhere else: the document stays as it was.
     """
-    done = linededup.drop_recurring_lines(docs.withColumn("_whole", F.col("text")), info="_lines")
+    done = linededup.drop_recurring_lines(docs.withColumn("_whole", F.col("text")), info="_lines", template_docs=linededup.MIN_DOCS)
     word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     emptied = (F.col("_lines.n_dropped") > 0) & ~word
     kept = done.where(~emptied | (F.col("_lines.n_alike") > 0)).withColumn("text", F.when(emptied, F.col("_whole")).otherwise(F.col("text")))

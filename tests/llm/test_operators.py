@@ -8,6 +8,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pandas as pd
 import public_tokenizers
@@ -216,6 +217,23 @@ def test_lines_that_state_different_things_stay(spark):
     assert got[100].text == rows[-3][1] and [(got[i].text, got[i].i.n_dropped, got[i].i.n_alike) for i in (101, 102)] == [("", 1, 0)] * 2
 
 
+def test_query_drops_templates_of_few_documents(spark, tmp_path):
+    """A template that three documents fill in goes in the query, its SQL and the pipeline but for one line; one of two documents stays."""
+    from corpus_pipeline import line_stage
+
+    line = "this page of the town paper was filed by {} and closed for good"
+    rows = [(i, f"{OWN[i]}\n{line.format(n)}", "en", "a", 1) for i, n in enumerate(["anna", "ben", "cleo"])] + [(3 + i, f"in two documents only there is this line of {n} here") for i, n in enumerate(["anna", "ben"])]
+    docs = spark.createDataFrame([(*r, "en", "a", 1)[:5] for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    want = {i: t if i in (0, 3, 4) else OWN[i] for i, t, *_ in rows}
+    got = {r.doc_id: (r.text, r.n_dropped) for r in QUERIES["op5_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {i: (t, int(i in (1, 2))) for i, t in want.items()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert {i: t for i, t in con.execute(f"SELECT doc_id, text FROM ({ORACLES['op5_line_dedup']})").fetchall()} == want
+    assert {r.doc_id: r.text for r in line_stage(spark, docs, "").collect()} == want
+
+
 def test_line_stage_keeps_documents_that_a_template_empties(spark):
     from corpus_pipeline import line_stage
 
