@@ -16,6 +16,7 @@ table, or one without two near words, gives words without forms or no rows. Furt
 from __future__ import annotations
 
 import itertools
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -29,6 +30,8 @@ from .merkle import LOWER, UPPER
 LETTERS = r"[A-Za-zÀ-ÿ]"
 PARTS, HOT = 7, 1000
 _CHOICES = [(0, c) for c in itertools.combinations(range(PARTS), 2)] + [(k, (j,)) for k in (1, 2) for j in range(PARTS)]
+#: The choices whose posts are made together: those for words of one length, and the others.
+ROUNDS = [[c for c in _CHOICES if c[0] == 0], [c for c in _CHOICES if c[0] > 0]]
 
 
 def occurrences(docs: DataFrame, id_col: str, text_col: str, least: int, every: int) -> DataFrame:
@@ -70,27 +73,26 @@ def part_counts(words: list[str], ranks: dict[int, int]) -> tuple[np.ndarray, np
     return out, lengths
 
 
-def signatures(words: list[str], ranks: dict[int, int]) -> np.ndarray:
-    """A row a word: numbers of its signatures, in the order of _CHOICES: kind 0 for words of one length, 1 and 2 for the longer and the shorter of a pair."""
+def signatures(words: list[str], ranks: dict[int, int], choices: list[tuple[int, tuple[int, ...]]] = _CHOICES) -> np.ndarray:
+    """A row a word: numbers of its signatures, in the order of choices: kind 0 for words of one length, 1 and 2 for the longer and the shorter of a pair."""
     parts, lengths = part_counts(words, ranks)
     mixed = _mix(parts * np.arange(3, 2 * PARTS + 2, 2, dtype=np.uint64) + np.arange(PARTS, dtype=np.uint64))
     whole, out = mixed.sum(axis=1, dtype=np.uint64), []
-    for kind, left_out in _CHOICES:
+    for kind, left_out in choices:
         tag = sum(1 << j for j in left_out) | (kind > 0) << PARTS
         longer = (lengths + (kind == 2)).astype(np.uint64)
         out.append(_mix(whole - sum(mixed[:, j] for j in left_out) + np.uint64(tag) * np.uint64(0x9E3779B97F4A7C15) + (longer << np.uint64(32))))
-    return np.stack(out, axis=1).view(np.int64) if words else np.zeros((0, len(_CHOICES)), dtype=np.int64)
+    return np.stack(out, axis=1).view(np.int64) if words else np.zeros((0, len(choices)), dtype=np.int64)
 
 
-def posts(words: DataFrame) -> DataFrame:
-    """(sig, kind, word) of each word under each of its signatures."""
-    ranks = letter_ranks(words)
-    kinds = F.array(*[F.lit(kind) for kind, _ in _CHOICES])
+def posts(words: DataFrame, ranks: dict[int, int], choices: list[tuple[int, tuple[int, ...]]]) -> DataFrame:
+    """(sig, kind, word) of each word under each of its signatures in choices."""
+    kinds = F.array(*[F.lit(kind) for kind, _ in choices])
 
     @pandas_udf("array<long>")
     def run(w: pd.Series) -> pd.Series:
         with np.errstate(over="ignore"):
-            return pd.Series(list(signatures(w.tolist(), ranks)), dtype=object)
+            return pd.Series(list(signatures(w.tolist(), ranks, choices)), dtype=object)
 
     made = words.select("word", F.explode(F.arrays_zip(run("word").alias("sig"), kinds.alias("kind"))).alias("one"))
     return made.select("one.sig", "one.kind", "word")
@@ -103,15 +105,32 @@ def _half(side: str) -> Column:
     return F.concat(F.lit(side), text)
 
 
+def _met(words: DataFrame, ranks: dict[int, int], choices: list[tuple[int, tuple[int, ...]]], hot: int) -> DataFrame:
+    """(a, b): pairs that meet under a signature in choices, which are of kind 0 or of the others, and are one edit apart.
+
+    A word travels with one number, of its signature or, where that is shared by more than `hot` words, of signature and half. Numbers that
+    happen to be equal only make a pair more that is verified. Which signatures are hot is written first, so that the posts are not dealt out for it.
+    """
+    posted = posts(words, ranks, choices)
+    sizes = materialise(posted.groupBy("sig").agg(F.count("*").alias("size")).where(F.col("size") > hot).select("sig", F.lit(True).alias("split")), "hot")
+    keys = F.when(F.col("split"), F.array(F.xxhash64("sig", _half("<")), F.xxhash64("sig", _half(">")))).otherwise(F.array("sig"))
+    keyed = posted.join(sizes, "sig", "left").select("kind", "word", F.explode(keys).alias("key"))
+    side = lambda kind, name: keyed.where(F.col("kind") == kind).select("key", F.col("word").alias(name))
+    if choices[0][0] == 0:  # both sides are one exchange
+        met = side(0, "a").join(side(0, "b"), "key").where("a < b")
+    else:
+        met = side(1, "a").join(side(2, "b"), "key")
+    return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b")
+
+
 def near_pairs(words: DataFrame, hot: int = HOT) -> DataFrame:
-    """(a, b) of all words one inserted, deleted or replaced code point apart, each pair once. words: distinct and not null."""
-    posted = posts(words)
-    sizes = posted.groupBy("sig").agg(F.count("*").alias("size")).where(F.col("size") > hot)  # what most signatures have is one word
-    shared = materialise(posted.join(sizes, "sig", "left").select("sig", "kind", "word", F.explode(F.when(F.col("size").isNull(), F.array(F.lit(""))).otherwise(F.array(_half("<"), _half(">")))).alias("half")), "posts")
-    left = shared.where("kind < 2").select("sig", "half", "kind", F.col("word").alias("a"))
-    right = shared.where("kind <> 1").select("sig", "half", F.col("kind").alias("kind_b"), F.col("word").alias("b"))
-    met = left.join(right, ["sig", "half"]).where("(kind = 0 and kind_b = 0 and a < b) or (kind = 1 and kind_b = 2)")
-    return met.where(F.levenshtein("a", "b", 1) == 1).select("a", "b").distinct()
+    """(a, b) of all words one inserted, deleted or replaced code point apart, each pair once. words: distinct and not null.
+
+    The choices are taken in ROUNDS, each of which writes its pairs, so that no exchange holds the posts of all.
+    """
+    ranks = letter_ranks(words)
+    found = [materialise(_met(words, ranks, choices, hot), "met") for choices in ROUNDS]
+    return reduce(DataFrame.unionByName, found).distinct()
 
 
 def follow(forms: DataFrame, rounds: int = 40) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -124,6 +125,18 @@ def test_pairs_are_all_one_edit_apart(spark, word_list, hot):
     assert len(want) > 300 and len(got) == len(set(got)) and {(min(p), max(p)) for p in got} == want
 
 
+def test_posts_are_dealt_out_once(spark, word_list):
+    """Words of one length meet in one exchange of two narrow columns, which both sides of the join read, and nothing is dealt out for the hot ones."""
+    words = spark.createDataFrame([(w,) for w in word_list], "word string")
+    ranks = spelling.letter_ranks(words)
+    for choices, most in zip(spelling.ROUNDS, (1, 2), strict=True):
+        met = spelling._met(words, ranks, choices, 1000)
+        met.collect()
+        plan = met._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert len(re.findall(r"[+:]- Exchange hashpartitioning\(key", plan)) == plan.count("- Exchange hashpartitioning") == most, plan
+    assert sorted(c for r in spelling.ROUNDS for c in r) == sorted(spelling._CHOICES)
+
+
 def test_equal_parts_give_equal_signatures():
     ranks = {ord(c): i for i, c in enumerate("etaoin")}
     with np.errstate(over="ignore"):
