@@ -51,7 +51,7 @@ class _Words(dict):
     """Remembers words' hashes."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 100_000:
             self.clear()
         h = xxhash.xxh3_64_intdigest(word)
         if len(word) < 40:

@@ -8,13 +8,14 @@ no piece fits it steps back one piece and marks the position as failed in a bitf
 position is tried twice with the same outcome. The result is the merge order's own segmentation.
 
 Texts: null and empty give the begin and end ids alone. There is no limit on a text's length; the cache of
-parts is emptied when it is full and holds short parts only.
+parts is emptied when it is full and when a task ends, and holds short parts only, so a Python worker that waits for its next task keeps little.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 SPACE = "▁"
-#: Parts up to so many characters are remembered, so many at a time.
-CACHED_CHARS, CACHED_PARTS = 48, 500_000
+#: Parts up to so many characters are remembered, so many at a time; junctions of pieces.
+CACHED_CHARS, CACHED_PARTS, CACHED_PAIRS = 48, 100_000, 200_000
 
 
 class Pieces:
@@ -82,7 +83,7 @@ class Pieces:
         key = (left, right)
         known = self.stable.get(key)
         if known is None:
-            if len(self.stable) >= CACHED_PARTS:
+            if len(self.stable) >= CACHED_PAIRS:
                 self.stable.clear()
             known = self.stable[key] = self.merged(left + right) == ([left, right] if left else [right])
         return known
@@ -148,6 +149,10 @@ class Pieces:
         ends = np.array([self.begin, self.end], dtype="<u4").tobytes()
         return b"".join([ends[:4], *work, ends[4:]])
 
+    def forget(self) -> None:
+        """Let go of the parts, of which the next task has others; junctions stay."""
+        self.known.clear()
+
     def decode(self, packed: bytes) -> str:
         """The text of the ids: the first space stands for the model's own prefix and goes; bytes that are no UTF-8 become U+FFFD."""
         ids = np.frombuffer(packed, dtype="<u4")
@@ -168,10 +173,12 @@ def encoder(model: bytes):
     """A column function: text -> struct(ids binary, n_tokens, decoded). Null texts count as empty."""
 
     @pandas_udf("ids binary, n_tokens long, decoded string")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         p = pieces(model)
-        ids = [p.encode(t or "") for t in texts]
-        return pd.DataFrame({"ids": ids, "n_tokens": [len(x) // 4 for x in ids], "decoded": [p.decode(x) for x in ids]})
+        for texts in batches:
+            ids = [p.encode(t or "") for t in texts]
+            yield pd.DataFrame({"ids": ids, "n_tokens": [len(x) // 4 for x in ids], "decoded": [p.decode(x) for x in ids]})
+        p.forget()
 
     return run
 
@@ -180,13 +187,15 @@ def digests(model: bytes):
     """As encoder, but the SHA-256 of the ids and of the decoded text instead of the two themselves."""
 
     @pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def run(texts: pd.Series) -> pd.DataFrame:
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         p = pieces(model)
-        rows = []
-        for t in texts:
-            x = p.encode(t or "")
-            rows.append((len(x) // 4, hashlib.sha256(x).hexdigest(), hashlib.sha256(p.decode(x).encode()).hexdigest()))
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        for texts in batches:
+            rows = []
+            for t in texts:
+                x = p.encode(t or "")
+                rows.append((len(x) // 4, hashlib.sha256(x).hexdigest(), hashlib.sha256(p.decode(x).encode()).hexdigest()))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        p.forget()
 
     return run
 

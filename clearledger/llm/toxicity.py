@@ -121,7 +121,7 @@ def _counts(taught: DataFrame, text: str) -> DataFrame:
             for t, y in zip(b["t"], b["y"], strict=True):
                 for f in {f for w in set(TOKEN.findall((t or "").lower())) for f in features(w)}:
                     seen.setdefault(f, [0, 0])[int(y)] += 1
-                if len(seen) > 400_000:
+                if len(seen) > 100_000:
                     yield pd.DataFrame([(f, n[1], n[0]) for f, n in seen.items()], columns=["f", "toxic", "other"])
                     seen = {}
         yield pd.DataFrame([(f, n[1], n[0]) for f, n in seen.items()], columns=["f", "toxic", "other"])

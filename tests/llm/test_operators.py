@@ -54,6 +54,17 @@ def test_query_matches_sql(spark, duck, sf_dir, name):
     same_rows(as_sql_frame(duck, QUERIES[name](spark, sf_dir)), duck.execute(ORACLES[name]).fetchdf())
 
 
+def test_a_worker_keeps_no_parts_between_tasks(spark):
+    """The digests are those of each text alone, over several batches, and the parts are let go when the task ends."""
+    with open(MODEL, "rb") as f:
+        model = f.read()
+    texts = ["the quick brown fox", "", None, "jumps over the lazy dog"]
+    got = pd.concat(pieces.digests(model).func(iter([pd.Series(texts[:2]), pd.Series(texts[2:])])), ignore_index=True)
+    fresh = pieces.Pieces(model)
+    assert got["ids_sha256"].tolist() == [hashlib.sha256(fresh.encode(t or "")).hexdigest() for t in texts]
+    assert fresh.known and not pieces.pieces(model).known
+
+
 # ---- archives
 
 PAGES = "page_id long, url string, html string, payload string, digest string"
