@@ -7,6 +7,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import sentencepiece
 from pyspark.sql import functions as F
@@ -71,3 +72,22 @@ def test_stages_on_no_documents(spark, sf_dir):
     for _, stage in pipeline.STAGES:
         docs = materialise(stage(spark, docs, sf_dir), "empty")
         assert docs.count() == 0
+
+
+def test_stages_hold_few_texts_at_a_time(spark, sf_dir):
+    """What a worker gets at once, and what a column of a reader holds, whatever the session had before: executors keep what one stage once took."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    arrow, column = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize"
+
+    def sizes(batches):
+        for x in batches:
+            yield pd.DataFrame({"n": [len(x)]})
+
+    for name, stage in pipeline.STAGES:
+        spark.conf.set(arrow, "10000")
+        spark.conf.set(column, "4096")
+        stage(spark, docs, sf_dir)
+        most = spark.range(0, 3000, 1, 1).mapInPandas(sizes, "n long").agg(F.max("n")).first()[0]
+        assert most <= (500 if "near-dedup" in name else 250) and int(spark.conf.get(column)) <= 512
+    spark.conf.unset(arrow)
+    spark.conf.unset(column)
