@@ -81,17 +81,18 @@ def parse(lines: DataFrame, files: DataFrame, edit: str) -> tuple[DataFrame, Dat
     """(rows, status) of planned files (status load or replace) of one kind of edit, from their lines (path, place, value).
 
     Lines before the header are tolerated and never loaded, whatever they look like; a footer is recognised; any other row that does not parse fails its
-    whole file. The lines are classified once and written.
+    whole file. The lines are classified once and written. Planned files are one for each quarter, edit and service at most, so they and what is counted
+    by file are broadcast: no line is shuffled.
     """
     cols = COLUMNS[edit]
     todo = files.where((F.col("edit") == edit) & F.col("status").isin("load", "replace"))
-    text = lines.join(todo.select("path"), "path", "left_semi")
+    text = lines.join(F.broadcast(todo.select("path")), "path", "left_semi")
     cells = F.split("value", "\t")
     header = F.lower("value") == "\t".join(cols)
     kind = F.when(header, "header").when(F.trim("value") == "", "blank").when(F.col("value").rlike(FOOTER), "footer").when(F.size(cells) == len(cols), "row").otherwise("other")
     t = materialise(text.select("path", "place", kind.alias("kind"), cells.alias("cells")), "parsed")
     heads = t.where("kind = 'header'").groupBy("path").agg(F.min("place").alias("head"))  # a row for each file
-    t = t.join(heads, "path", "left").withColumn("kind", F.when(F.col("place") < F.col("head"), "preamble").otherwise(F.col("kind")))
+    t = t.join(F.broadcast(heads), "path", "left").withColumn("kind", F.when(F.col("place") < F.col("head"), "preamble").otherwise(F.col("kind")))
     r = t.where("kind = 'row'").select("path", *[F.trim(F.col("cells")[i]).alias(c) for i, c in enumerate(cols)])
     if edit == "ptp":
         bad = F.when((F.col("column_one") == "") | (F.col("column_two") == ""), "missing code").when(~_date_ok(F.col("effective_date")), "bad date").when((F.col("deletion_date") != "*") & (F.col("deletion_date") != "") & ~_date_ok(F.col("deletion_date")), "bad date").when(~F.col("modifier_indicator").isin("0", "1", "9"), "bad indicator")
@@ -101,7 +102,7 @@ def parse(lines: DataFrame, files: DataFrame, edit: str) -> tuple[DataFrame, Dat
     per = t.groupBy("path").agg(F.sum((F.col("kind") == "header").cast("long")).alias("headers"), F.sum((F.col("kind") == "other").cast("long")).alias("others"), F.sum(F.col("kind").isin("preamble", "footer", "blank").cast("long")).alias("tolerated_rows"))
     rows = r.groupBy("path").agg(F.count("*").alias("rows"), F.min("bad").alias("bad"))
     status = per.join(rows, "path", "left").select("path", F.coalesce("rows", F.lit(0)).alias("rows"), "tolerated_rows", F.when(F.col("headers") != 1, "no header or several").when(F.col("others") > 0, "unknown lines").when(F.coalesce("rows", F.lit(0)) == 0, "no rows").otherwise(F.col("bad")).alias("error"))
-    good = r.join(status.where("error is null"), "path", "left_semi").join(todo.select("path", "quarter", "service", "revision"), "path")
+    good = r.join(F.broadcast(status.where("error is null").select("path")), "path", "left_semi").join(F.broadcast(todo.select("path", "quarter", "service", "revision")), "path")
     return good.drop("bad"), status
 
 

@@ -86,11 +86,13 @@ def load_lines(files: DataFrame, lines: DataFrame, target: str, batch: str, over
             rows, status = parse(lines, planned, edit)
             rows.write.mode("overwrite").partitionBy("quarter", "service").parquet(f"{target}/{edit}/batch={batch}")
             statuses.append(status)
-        found = planned.drop("error").join(reduce(DataFrame.unionByName, statuses).withColumnRenamed("error", "_error"), "path", "left").join(planned.select("path", "error"), "path")
+        parsed = reduce(DataFrame.unionByName, statuses).withColumnRenamed("error", "_error")  # six rows a quarter at most
+        found = planned.join(F.broadcast(parsed), "path", "left")
         error = F.coalesce("error", "_error")
         status = F.when(error.isNotNull(), "failed").when(F.col("status") == "load", "loaded").when(F.col("status") == "replace", "replaced").otherwise(F.col("status"))
         told = found.withColumns({"status": status, "error": error, "version": F.lit(version), "batch": F.lit(batch), "replaced_path": F.when(error.isNull(), F.col("replaced_path"))})
-        told.select(*[F.col(f.name).cast(f.dataType) for f in LOAD_LOG if f.name != "batch"]).coalesce(1).write.parquet(own)  # a row for each file; the batch counts from here on
+        told = materialise(told.select(*[F.col(f.name).cast(f.dataType) for f in LOAD_LOG if f.name != "batch"]), "told")
+        told.coalesce(1).write.parquet(own)  # a row for each file; the batch counts from here on
     return log(spark, target).where(F.col("batch") == batch)
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from clearledger.plans import queries
 from clearledger.sources import editfiles, loads
 from clearledger.streaming.dropzone import load_new_files
 
@@ -101,3 +103,24 @@ def test_cross_check_of_copies(spark):
     two = spark.createDataFrame([("a", 1), ("b", 1), ("b", 2), ("c", 1)], "path string, row int")
     assert sorted(tuple(r) for r in editfiles.cross_check(one, two, ["path"]).collect()) == [("a", 2, 1), ("b", 1, 2), ("c", None, 1)]
     assert editfiles.cross_check(one, one, ["path"]).collect() == []
+
+
+def test_the_query_classifies_files_once(spark, sf_dir):
+    for written in queries._edit_text(spark, sf_dir):
+        assert "orders.parquet" not in "".join(written.inputFiles())  # loads pass over files and lines many times
+
+
+def test_lines_are_not_shuffled(spark):
+    """With planned files that Spark takes for large: their tables hold other files as well."""
+    files = editfiles.classify(spark.createDataFrame([("/d/ptp_dme_2024q1.txt",), ("/d/mue_dme_2024q1.txt",)], "path string")).withColumn("status", F.lit("load"))
+    texts = [("/d/ptp_dme_2024q1.txt", PTP), ("/d/ptp_dme_2024q1.txt", "A\tB\t20240101\t*\t1"), ("/d/ptp_dme_2024q1.txt", "A\tC\t20240101\t*\t1"), ("/d/other.txt", "x")]
+    lines = spark.createDataFrame([(path, (0, at), text) for at, (path, text) in enumerate(texts)], "path string, place struct<block:long,line:long>, value string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows, status = editfiles.parse(lines, files, "ptp")
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan.split("== Initial Plan ==")[0].split("BroadcastExchange")[0] and "ShuffledHashJoin" not in plan
+        assert sorted(r.column_two for r in rows.collect()) == ["B", "C"] and [tuple(r) for r in status.collect()] == [("/d/ptp_dme_2024q1.txt", 2, 0, None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
