@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from ..functions.expressions import in_group
+from ..functions.scratch import materialise
 
 
 def anchored(df: DataFrame, cfg: Config, day: str = "svc_dt") -> DataFrame:
@@ -18,21 +20,30 @@ def anchored(df: DataFrame, cfg: Config, day: str = "svc_dt") -> DataFrame:
     return df.crossJoin(F.broadcast(df.agg(F.max(day).alias("_anchor"))))  # one row
 
 
+def last_day(df: DataFrame, until: date, day: str = "svc_dt") -> date | None:
+    """The last day of df, whose days are not after `until`: looked for in the months before it first, so that few rows are joined to find it."""
+    for months in (3, 24):
+        if found := df.where(F.col(day) > F.add_months(F.lit(until), -months)).agg(F.max(day)).first()[0]:
+            return found
+    return df.agg(F.max(day)).first()[0]
+
+
 def prep(claims: DataFrame, cfg: Config) -> DataFrame:
     """Paid lines with a service date not after as_of, in the window before the anchor; null money and quantity become 0.
 
-    Adds member_day and in_detection_window; with context_months, older lines of that longer window stay too.
+    Adds member_day and in_detection_window; with context_months, older lines of that longer window stay too. The anchor is read first and is a constant
+    of the plan, so the window holds where the lines are read, before they are joined to anything.
     """
     known = (
         claims.where((F.col("status") == cfg.paid_status) & F.col("svc_dt").isNotNull() & (F.col("svc_dt") <= F.lit(cfg.as_of)))
         .withColumn("paid", F.coalesce(F.col("paid").cast("double"), F.lit(0.0)))
         .withColumn("qty", F.coalesce(F.col("qty").cast("double"), F.lit(0.0)))
     )
-    a = anchored(known, cfg)
-    start = F.add_months("_anchor", -cfg.window_months)
-    first = F.add_months("_anchor", -cfg.context_months) if cfg.context_months else start
-    kept = a.where(F.col("svc_dt") >= first).withColumn("in_detection_window", F.col("svc_dt") >= start)
-    return kept.withColumn("member_day", F.concat_ws("|", "member_id", "svc_dt")).drop("_anchor")
+    anchor = F.lit(cfg.as_of if cfg.anchor == "as_of" else last_day(known, cfg.as_of)).cast("date")
+    start = F.add_months(anchor, -cfg.window_months)
+    first = F.add_months(anchor, -cfg.context_months) if cfg.context_months else start
+    kept = known.where(F.col("svc_dt") >= first).withColumn("in_detection_window", F.col("svc_dt") >= start)
+    return kept.withColumn("member_day", F.concat_ws("|", "member_id", "svc_dt"))
 
 
 def active_entities(paid: DataFrame) -> DataFrame:
@@ -44,7 +55,7 @@ def active_entities(paid: DataFrame) -> DataFrame:
 
 def restrict_to_detection(hits: DataFrame, paid: DataFrame) -> DataFrame:
     """Hits of entities that are active in the detection window in the role they were flagged in."""
-    return hits.join(active_entities(paid), ["entity_id", "entity_type"], "left_semi")
+    return hits.join(materialise(active_entities(paid), "active"), ["entity_id", "entity_type"], "left_semi")
 
 
 def service_lines(claims: DataFrame, cfg: Config) -> DataFrame:
